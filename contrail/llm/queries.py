@@ -25,6 +25,34 @@ def op1_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+RULES_ALLOW, RULES_BLOCK = ("org/", "com/fr/"), ("example.org/es/", "example.org/en/1", "com/de/")
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from contrail.llm import url_filter
+
+    weights = url_filter.fit(spark, url_filter.labelled_urls())
+    return url_filter.judge(table(spark, sf_dir, "pages"), weights, RULES_ALLOW, RULES_BLOCK).drop("log_odds")
+
+
+def op4_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from contrail.llm.sharding import assign
+
+    return assign(table(spark, sf_dir, "documents"), shards=24)
+
+
+def op5_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from contrail.llm.simhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=3)
+
+
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from contrail.llm.token_files import round_trip
+
+    return round_trip(table(spark, sf_dir, "documents"), vocabulary(), length=2048, end_id=2)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
 
