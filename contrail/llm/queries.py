@@ -47,15 +47,45 @@ def op5_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=3)
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from contrail.llm.decontamination import contaminated, scan
+
+    found = scan(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"), window=13)
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), contaminated().alias("contaminated")
+    )
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from contrail.llm.token_files import round_trip
 
     return round_trip(table(spark, sf_dir, "documents"), vocabulary(), length=2048, end_id=2)
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from contrail.llm import langid
+
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs.where(~langid.held_out()))
+    found = langid.identify(docs.select("doc_id", langid.held_out().alias("held_out"), "text"), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+SITES = 10
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from contrail.llm.line_dedup import remove_boilerplate
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return remove_boilerplate(docs, sites=SITES).select("doc_id", "text", "n_lines", "n_removed")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from contrail.llm import decontamination, line_dedup
+
+    return {"op6_decontamination": decontamination.ORACLE, "op9_line_dedup": line_dedup.oracle(SITES)}
