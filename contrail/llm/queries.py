@@ -81,6 +81,13 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_boilerplate(docs, sites=SITES).select("doc_id", "text", "n_lines", "n_removed")
 
 
+def op10_collision_counting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from contrail.llm.ann import nearest
+
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return nearest(vectors, F.col("vec_id") % 50 == 0, k=5)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
 
