@@ -49,14 +49,15 @@ def fingerprint(text: str | None, shingle: int = 3, seed: int = 42, block: int =
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp): the 64 bits as a signed long. Null texts and texts without words: 0."""
+    """(doc_id, t, fp): t is the text's hash, fp the 64 bits as a signed long. Null texts and texts without words: 0."""
 
     def run(batches):
         for batch in batches:
-            found = b"".join([fingerprint(x.as_py(), shingle) for x in batch.column(1)])
-            yield pa.record_batch({"doc_id": batch.column(0), "fp": pa.array(np.frombuffer(found, dtype=">i8").astype(np.int64))})
+            found = b"".join([fingerprint(x.as_py(), shingle) for x in batch.column(2)])
+            yield pa.record_batch({"doc_id": batch.column(0), "t": batch.column(1), "fp": pa.array(np.frombuffer(found, dtype=">i8").astype(np.int64))})
 
-    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInArrow(run, "doc_id long, fp long")
+    text = docs[text_col]
+    return docs.select(docs[id_col].cast("long").alias("doc_id"), F.xxhash64(text).alias("t"), text.alias("text")).mapInArrow(run, "doc_id long, t long, fp long")
 
 
 class Golay:
@@ -172,8 +173,23 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", t
     """
     rows = written(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
     fps = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    labels = written(linked(fps), "linked")
-    of = fps.join(labels, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
+    of = labelled(fps)
     smallest = of.groupBy("label").agg(F.min("least").alias("component_id"))
     reach = of.join(smallest, "label").select("fp", "component_id")
     return rows.join(reach, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def labelled(fps: DataFrame) -> DataFrame:
+    """fps, which are distinct, with the label of each one's component."""
+    labels = written(linked(fps), "linked")
+    return fps.join(labels, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
+
+
+def keep_one(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs with one row of each component of near-duplicates: that of the least id (nulls last, then the least hash of the text)."""
+    rows = written(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
+    fps = rows.groupBy("fp").agg(F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "t")).alias("least"))
+    kept = labelled(fps).groupBy("label").agg(F.min("least").alias("least")).select(F.col("least.doc_id").alias("_id"), F.col("least.t").alias("_t"))
+    keyed = docs.withColumn("_text_hash", F.xxhash64(docs[text_col]))
+    stays = keyed.join(kept.distinct(), keyed[id_col].cast("long").eqNullSafe(kept["_id"]) & (keyed["_text_hash"] == kept["_t"]), "left_semi")
+    return stays.dropDuplicates([id_col, "_text_hash"]).drop("_text_hash")
