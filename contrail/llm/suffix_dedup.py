@@ -3,14 +3,16 @@
 Every string of `length` bytes holds an anchor: its ANCHOR bytes with the least hash, the leftmost if several. Equal strings
 have equal anchors, so the stretch of strings that share an anchor goes to the shard of that anchor's hash, and equal strings
 meet there wherever they stand. Only anchors that two documents have can matter; the others are left out first. Equal stretches
-become one, with the least document that has it. Each shard sorts the suffixes of its stretches by induced sorting; suffixes with
-a common prefix of `length` bytes are neighbours in that order, and the least document among them goes back to
-every stretch. Anchors of very many documents are split further by what their strings have in common.
+count as one, with the least document that has it, and an anchor whose stretches are all equal is settled by that. The stretches of the
+others are sent: each shard sorts their suffixes by induced sorting; suffixes with a common prefix of `length` bytes are
+neighbours in that order, and the least document among them goes back to every stretch. Anchors of very many documents are
+split further by what their strings have in common.
 """
 
 from __future__ import annotations
 
 import gc
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -55,46 +57,68 @@ def least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(out[:n], out[width - size : width - size + n]) if size < width else out
 
 
+def window_hashes(data: bytes, at: np.ndarray, n: int) -> np.ndarray:
+    """A 64-bit hash of the n bytes from each given place on."""
+    eights = np.ndarray((len(data) - 7,), "<u8", data, 0, (1,))
+    h = np.full(len(at), n, dtype=np.uint64)
+    for k in [*range(0, n - 7, 8), *([n - 8] if n % 8 else [])]:
+        h = (h ^ eights[at + k]) * MIX_B
+        h ^= h >> np.uint64(31)
+    return h
+
+
 def stretches(data: bytes, length: int):
-    """(first, last, anchor, hash) arrays for blocks of a document: strings that start at first to last share the anchor at that place."""
+    """(first, last, anchor, hash, whole) arrays for blocks of a document: strings that start at first to last share the anchor at that
+    place; whole is a hash of all bytes of the stretch and of the anchor's place in it. A stretch is shorter than two strings."""
     for at in range(0, max(len(data) - length + 1, 0), BLOCK):
         block = data[at : at + BLOCK + length - 1]
         h = hashes(block, ANCHOR)
         m = least(h & ~PLACE | np.arange(len(h), dtype=np.uint64), length - ANCHOR + 1)
         first = np.flatnonzero(np.concatenate(([True], m[1:] != m[:-1])))
+        last = np.append(first[1:], len(m)) - 1
         anchor = (m[first] & PLACE).astype(np.int64)
-        yield at + first, at + np.append(first[1:], len(m)) - 1, at + anchor, h[anchor].view(np.int64)
+        whole = window_hashes(block, first, length) * MIX_A ^ window_hashes(block, last, length)
+        whole ^= ((last - first) << 8 | anchor - first).astype(np.uint64) * MIX_B
+        yield at + first, at + last, at + anchor, h[anchor].view(np.int64), whole.view(np.int64)
 
 
 def release(spark: SparkSession) -> None:
-    """Let go of the shuffle files of phases that are over and written: Spark drops them when the driver's handles are collected."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let go of the shuffle files of phases that are over and written. Spark drops them some time after the driver has collected
+    their handles, which takes a second round: the first only frees what Python holds of them."""
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(1)
 
 
 def shared_anchors(docs: DataFrame, length: int) -> DataFrame:
-    """(doc_id, hashes, hot): for each document its anchors that documents of another id have too, and which of them very many have."""
+    """(doc_id, settled, open, hot): for each document its anchors that documents of another id have too. settled: all their stretches are
+    equal, and a document of a smaller id has one; open: they differ; hot: those of the open ones that very many have."""
 
     def run(batches):
         for batch in batches:
             for part in (batch.slice(k, 500) for k in range(0, batch.num_rows, 500)):
-                found, of = [], []
+                found, whole, of = [], [], []
                 for doc_id, text in zip(part.column(0).to_pylist(), part.column(1)):
                     data = (text.as_py() or "").encode()
-                    if len(data) >= length:
-                        found.append(np.unique(np.concatenate([h for *_, h in stretches(data, length)])))
-                        of.append(np.full(len(found[-1]), doc_id, dtype=np.int64))
+                    for *_, h, w in stretches(data, length):
+                        found.append(h)
+                        whole.append(w)
+                        of.append(np.full(len(h), doc_id, dtype=np.int64))
                 if found:
-                    yield pa.record_batch({"h": np.concatenate(found), "doc_id": np.concatenate(of)})
+                    yield pa.record_batch({"h": np.concatenate(found), "whole": np.concatenate(whole), "doc_id": np.concatenate(of)})
 
     w = Window.partitionBy("h")
-    found = docs.select("doc_id", "text").mapInArrow(run, "h long, doc_id long")
-    found = found.select("doc_id", "h", F.min("doc_id").over(w).alias("lo"), F.max("doc_id").over(w).alias("hi"), F.count("*").over(w).alias("n")).where("lo <> hi")
-    return found.groupBy("doc_id").agg(F.collect_list("h").alias("hashes"), F.collect_list(F.when(F.col("n") > HOT, F.col("h"))).alias("hot"))
+    found = docs.select("doc_id", "text").mapInArrow(run, "h long, whole long, doc_id long")
+    found = found.select("doc_id", "h", F.min("doc_id").over(w).alias("lo"), F.max("doc_id").over(w).alias("hi"), (F.min("whole").over(w) == F.max("whole").over(w)).alias("equal"), F.count("*").over(w).alias("n"))
+    found = found.where("lo <> hi and (not equal or lo < doc_id)")
+    lists = {"settled": F.col("equal"), "open": ~F.col("equal"), "hot": ~F.col("equal") & (F.col("n") > HOT)}
+    return found.groupBy("doc_id").agg(*[F.collect_set(F.when(c, F.col("h"))).alias(n) for n, c in lists.items()])
 
 
 def shared_stretches(docs: DataFrame, anchors: DataFrame, length: int) -> DataFrame:
-    """(doc_id, t, at, key, part): the bytes of every stretch whose anchor is shared, and their place in the document."""
+    """(doc_id, t, at, key, part) of every open stretch: its place and bytes; and one row for each document with settled ones: at and key are
+    null, starts and ends are the places [start, end) of their strings."""
 
     def run(batches):
         from xxhash import xxh64_intdigest
@@ -102,15 +126,19 @@ def shared_stretches(docs: DataFrame, anchors: DataFrame, length: int) -> DataFr
         for batch in batches:
             for piece in (batch.slice(k, 500) for k in range(0, batch.num_rows, 500)):
                 rows: list[tuple] = []
-                columns = (piece.column(0).to_pylist(), piece.column(1).to_pylist(), piece.column(2), piece.column(3), piece.column(4))
-                for doc_id, t, text, wanted, hot in zip(*columns):
+                columns = (piece.column(0).to_pylist(), piece.column(1).to_pylist(), *[piece.column(k) for k in range(2, 6)])
+                for doc_id, t, text, settled, wanted, hot in zip(*columns):
                     data = text.as_py().encode()
-                    wanted, hot = wanted.values.to_numpy(), set(hot.as_py())
-                    for first, last, anchor, h in stretches(data, length):
+                    settled, wanted, hot = settled.values.to_numpy(), wanted.values.to_numpy(), set(hot.as_py())
+                    starts, ends = [], []
+                    for first, last, anchor, h, _ in stretches(data, length):
+                        known = np.isin(h, settled)
+                        starts.append(first[known])
+                        ends.append(last[known] + 1)
                         for k in np.flatnonzero(np.isin(h, wanted)).tolist():
                             a, b, p, key = int(first[k]), int(last[k]), int(anchor[k]), int(h[k])
                             if key not in hot:
-                                rows.append((doc_id, t, a, key, data[a : b + length]))
+                                rows.append((doc_id, t, a, key, data[a : b + length], None, None))
                                 continue
                             for low in range(0, length - ANCHOR + 1, RANGE):
                                 # strings in which the anchor's place is from low to high share the bytes in between
@@ -118,15 +146,17 @@ def shared_stretches(docs: DataFrame, anchors: DataFrame, length: int) -> DataFr
                                 x, y = max(a, p - high), min(b, p - low)
                                 if x <= y:
                                     core = xxh64_intdigest(data[p - low : p - high + length], (key + low) & (1 << 64) - 1)
-                                    rows.append((doc_id, t, x, core - (1 << 63), data[x : y + length]))
+                                    rows.append((doc_id, t, x, core - (1 << 63), data[x : y + length], None, None))
+                    if sum(map(len, starts)):
+                        rows.append((doc_id, t, None, None, None, np.concatenate(starts), np.concatenate(ends)))
                 if rows:
                     yield pa.record_batch([pa.array(x, k) for x, k in zip(zip(*rows), STRETCH.types)], schema=STRETCH)
 
-    joined = docs.join(anchors, "doc_id").select("doc_id", "t", "text", "hashes", "hot")
-    return joined.mapInArrow(run, "doc_id long, t long, at int, key long, part binary")
+    joined = docs.join(anchors, "doc_id").select("doc_id", "t", "text", "settled", "open", "hot")
+    return joined.mapInArrow(run, "doc_id long, t long, at int, key long, part binary, starts array<int>, ends array<int>")
 
 
-STRETCH = pa.schema([("doc_id", pa.int64()), ("t", pa.int64()), ("at", pa.int32()), ("key", pa.int64()), ("part", pa.binary())])
+STRETCH = pa.schema([("doc_id", pa.int64()), ("t", pa.int64()), ("at", pa.int32()), ("key", pa.int64()), ("part", pa.binary()), ("starts", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32()))])
 RUNS = pa.schema([("key", pa.int64()), ("ph", pa.int64()), ("starts", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32())), ("ids", pa.list_(pa.int64()))])
 
 
@@ -186,18 +216,22 @@ def least_documents(distinct: DataFrame, length: int) -> DataFrame:
 
 
 def removable(docs: DataFrame, length: int) -> DataFrame:
-    """(doc_id, t, starts, ends): places [start, end) of strings that a document of a smaller id has."""
+    """(doc_id, t, a, b): places [a, b) of strings that a document of a smaller id has."""
     spark = docs.sparkSession
     anchors = written(shared_anchors(docs.where("doc_id is not null"), length), "anchors")
     release(spark)
-    parts = written(shared_stretches(docs, anchors, length).withColumn("ph", F.xxhash64("part")), "stretches")
+    found = written(shared_stretches(docs, anchors, length).withColumn("ph", F.xxhash64("part")), "stretches")
     release(spark)
-    distinct = parts.groupBy("key", "part", "ph").agg(F.min("doc_id").alias("least"))
+    parts = found.where("key is not null")
+    distinct = parts.groupBy("key", "part").agg(F.min("doc_id").alias("least")).withColumn("ph", F.xxhash64("part"))
     runs = written(least_documents(distinct, length), "runs")
     release(spark)
     back = parts.select("doc_id", "t", "at", "key", "ph").join(runs, ["key", "ph"])
     each = back.select("doc_id", "t", "at", F.explode(F.arrays_zip("starts", "ends", "ids")).alias("r")).where("r.ids < doc_id")
-    return each.groupBy("doc_id", "t").agg(F.collect_list(F.struct((F.col("at") + F.col("r.starts")).alias("a"), (F.col("at") + F.col("r.ends")).alias("b"))).alias("found"))
+    each = each.select("doc_id", "t", F.array(F.col("at") + F.col("r.starts")).alias("a"), F.array(F.col("at") + F.col("r.ends")).alias("b"))
+    settled = found.where("key is null").select("doc_id", "t", F.col("starts").alias("a"), F.col("ends").alias("b"))
+    lists = each.unionByName(settled).groupBy("doc_id", "t").agg(F.collect_list(F.struct("a", "b")).alias("found"))
+    return lists.select("doc_id", "t", F.flatten("found.a").alias("a"), F.flatten("found.b").alias("b"))
 
 
 def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -212,9 +246,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
     text = docs[text_col]
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), F.xxhash64(text).alias("t"), text.alias("text"))
     found = removable(rows, length)
-    joined = rows.join(found.withColumnsRenamed({"doc_id": "i", "t": "u"}), (F.col("doc_id") == F.col("i")) & (F.col("t") == F.col("u")), "left").select(
-        "doc_id", "text", F.transform("found", lambda x: x["a"]).alias("a"), F.transform("found", lambda x: x["b"]).alias("b")
-    )
+    joined = rows.join(found.withColumnsRenamed({"doc_id": "i", "t": "u"}), (F.col("doc_id") == F.col("i")) & (F.col("t") == F.col("u")), "left").select("doc_id", "text", "a", "b")
 
     def run(batches):
         for batch in batches:
