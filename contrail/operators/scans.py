@@ -45,17 +45,23 @@ def _ramp(alt: float, low_ft: float, high_ft: float, low: float, high: float) ->
     return low if alt <= low_ft else high if alt >= high_ft else low + (alt - low_ft) * (high - low) / (high_ft - low_ft)
 
 
-def accepted(t, lat, lon, alt, cap_lo_ft=1000.0, cap_hi_ft=10000.0, low_kmh=555.0, high_kmh=1300.0) -> list[bool]:
-    """Which fixes can be reached from the last accepted one at a speed that their altitude allows. The first is."""
+def reachable(anchor: tuple[float, float, float], t: float, lat: float, lon: float, alt: float, cap_lo_ft=1000.0, cap_hi_ft=10000.0, low_kmh=555.0, high_kmh=1300.0) -> bool:
+    """Whether a fix can follow anchor (t, lat, lon) at a speed that the fix's altitude allows; at the same time or before, within half a kilometre."""
+    hours, dist = (t - anchor[0]) / 3600.0, _km(anchor[1:], (lat, lon))
+    return dist / hours <= _ramp(alt, cap_lo_ft, cap_hi_ft, low_kmh, high_kmh) if hours > 0 else dist < 0.5
+
+
+def whole_feet(baro: float | None, ground: bool) -> float:
+    return 0.0 if ground or baro is None or baro != baro else float(int(baro))
+
+
+def accepted(t, lat, lon, alt, **caps) -> list[bool]:
+    """Which fixes can be reached from the last accepted one. The first is."""
     out: list[bool] = []
     anchor = None
-    for now, y, x, a in zip(t, lat, lon, alt):
-        ok = True
-        if anchor is not None:
-            dt, dist = now - anchor[0], _km(anchor[1:], (y, x))
-            ok = dist / (dt / 3600.0) <= _ramp(a, cap_lo_ft, cap_hi_ft, low_kmh, high_kmh) if dt > 0 else dist < 0.5
-        if ok:
-            anchor = (now, y, x)
+    for fix in zip(t, lat, lon, alt):
+        ok = anchor is None or reachable(anchor, *fix, **caps)
+        anchor = fix[:3] if ok else anchor
         out.append(ok)
     return out
 
@@ -64,7 +70,7 @@ def speed_gate(df: DataFrame, **caps) -> DataFrame:
     """df with `accepted`."""
 
     def kernel(c):
-        alt = [0.0 if g or b is None else float(int(b)) for b, g in zip(c["baro"], c["gnd"])]
+        alt = list(map(whole_feet, c["baro"], c["gnd"]))
         return {"accepted": accepted(c["t"], c["lat"], c["lon"], alt, **caps)}
 
     return per_track(df, {"accepted": "boolean"}, kernel, "t", "lat", "lon", "baro", "gnd")
