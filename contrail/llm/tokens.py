@@ -50,7 +50,7 @@ class Encoder:
     Tokenizers of another build than plain byte-level BPE get every text whole.
     """
 
-    def __init__(self, path: str, keep: int = 1_000_000, longest: int = 64):
+    def __init__(self, path: str, keep: int = 600_000, longest: int = 16):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
