@@ -100,6 +100,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from contrail.llm import decontamination, line_dedup
+    from contrail.llm import decontamination, line_dedup, url_filter
 
-    return {"op6_decontamination": decontamination.ORACLE, "op9_line_dedup": line_dedup.oracle(SITES)}
+    weights = url_filter.plain_weights(url_filter.labelled_urls())
+    return {"op2_url_filter": url_filter.oracle(weights, RULES_ALLOW, RULES_BLOCK), "op6_decontamination": decontamination.ORACLE, "op9_line_dedup": line_dedup.oracle(SITES)}

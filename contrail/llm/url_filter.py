@@ -22,7 +22,7 @@ MOST_LABELS, MOST_RULES = 10_000, 1_000
 
 #: A small labelled table. Unwanted: gambling, pills, adult, advertising, link farms. Wanted: plain words.
 UNWANTED = "casino-win best-casino online-casino casino-royal free-bets bet-online sports-bets free-spins poker-win win-jackpot slot-bonus cheap-pills pills-online cheap-meds buy-viagra pharma-cheap adult-x adult-cams xxx-adult sex-chat adult-video ads-track track-ads ad-click click-ads ads-server spam-farm link-farm seo-spam farm-links spam-mail".split()
-WANTED = "news weather library museum science garden school city-hall history physics kitchen travel-notes music books archive forum recipes bird-watch open-data health-care the-times docs blog-post sports farm-life trackside wintertime addresses spices better".split()
+WANTED = "news weather library museum science garden school city-hall history physics kitchen travel-notes music books archive forum recipes bird-watch open-data health-care the-times docs blog-post sports farm-life trackside wintertime addresses spices better nation station edition tradition motion reading listing heating mother other theatre thread threshold honest resort handmade stone tables noble sections".split()
 PLACES = ("https://{}.example.com/en/120", "http://www.{}.example.net/fr/7731.html", "https://m.{}.example.org/de/88?page=2&ref=x", "http://blog.{}.example.com/es/4#top")
 
 
@@ -57,9 +57,13 @@ def matching_rule(host: Column, path: Column, rules: Iterable[str]) -> Column:
 def features(host: Column, path: Column) -> Column:
     """Numbers below DIMS of the character n-grams of ^host$ and of ^path$, each marked with its part, repeats included."""
 
+    def cut(text: Column, mark: str, n: int) -> Column:
+        at = F.sequence(F.lit(1), F.greatest(F.char_length(text) - n, F.lit(1)))
+        return F.transform(at, lambda i: F.concat(F.lit(mark), F.substring(text, i + 1, F.lit(n))))
+
     def grams(text: Column, mark: str) -> Column:
         text = F.concat(F.lit(mark + "^"), text, F.lit("$"))
-        return F.flatten(F.array(*[F.transform(F.sequence(F.lit(1), F.greatest(F.char_length(text) - n, F.lit(1))), lambda i, n=n: F.concat(F.lit(mark), F.substring(text, i + 1, F.lit(n)))) for n in SIZES]))
+        return F.concat(*[cut(text, mark, n) for n in SIZES])
 
     return F.transform(F.concat(grams(host, "h"), grams(path, "p")), lambda g: F.conv(F.substring(F.md5(g), 1, DIGITS), 16, 10).cast("int"))
 
@@ -71,7 +75,11 @@ def fit(spark: SparkSession, labelled: Iterable[tuple[str, int]], rounds: int =
     if len(labelled) > MOST_LABELS:
         raise ValueError(f"more than {MOST_LABELS} labelled URLs")
     df = spark.createDataFrame(labelled, "url string, label int")
-    rows = df.select("label", features(host(F.col("url")), path(F.col("url"))).alias("f")).collect()
+    return descent(df.select("label", features(host(F.col("url")), path(F.col("url"))).alias("f")).collect(), rounds, rate, l2)
+
+
+def descent(rows: Iterable[tuple[int, list[int]]], rounds: int = 200, rate: float = 0.5, l2: float = 1e-3) -> list[float]:
+    """Weights and intercept from (label, features) of the labelled table."""
     weights, bias = [0.0] * DIMS, 0.0
     points = []
     for label, f in rows:
@@ -114,6 +122,20 @@ def judge(pages: DataFrame, weights: list[float], allow: Iterable[str], block: I
     return rows.select("page_id", "host", "path", "rule", F.when(blocked, "block").otherwise("allow").alias("verdict"), "log_odds")
 
 
+def plain_weights(labelled: Iterable[tuple[str, int]]) -> list[float]:
+    """fit() without Spark, from n-grams cut in Python: for the SQL and for tests."""
+    import hashlib
+    import re
+
+    rows = []
+    for url, label in labelled:
+        h, p = re.match(r"(?s)^.*?://([^/?#]*)([^?#]*)", url).groups()
+        texts = (("h", f"h^{h.lower()}$"), ("p", f"p^{p}$"))
+        grams = [m + t[i : i + n] for m, t in texts for n in SIZES for i in range(1, max(len(t) - n, 1) + 1)]
+        rows.append((label, [int(hashlib.md5(g.encode()).hexdigest()[:DIGITS], 16) for g in grams]))
+    return descent(rows)
+
+
 def oracle(weights: list[float], allow: Iterable[str], block: Iterable[str]) -> str:
     """The same judgement in DuckDB's SQL, over the view pages."""
     rules = sorted([*allow, *block], key=lambda x: (-len(x), x))
