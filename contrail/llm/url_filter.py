@@ -22,7 +22,7 @@ MOST_LABELS, MOST_RULES = 10_000, 1_000
 
 #: A small labelled table. Unwanted: gambling, pills, adult, advertising, link farms. Wanted: plain words.
 UNWANTED = "casino-win best-casino online-casino casino-royal free-bets bet-online sports-bets free-spins poker-win win-jackpot slot-bonus cheap-pills pills-online cheap-meds buy-viagra pharma-cheap adult-x adult-cams xxx-adult sex-chat adult-video ads-track track-ads ad-click click-ads ads-server spam-farm link-farm seo-spam farm-links spam-mail".split()
-WANTED = "news weather library museum science garden school city-hall history physics kitchen travel-notes music books archive forum recipes bird-watch open-data health-care the-times docs blog-post sports farm-life trackside wintertime addresses spices better nation station edition tradition motion reading listing heating mother other theatre thread threshold honest resort handmade stone tables noble sections".split()
+WANTED = "news weather library museum science garden school city-hall history physics kitchen travel-notes music books archive forum recipes bird-watch open-data health-care the-times docs blog-post sports farm-life trackside wintertime addresses spices better nation station edition tradition motion reading listing heating mother other theatre thread threshold honest resort handmade stone tables noble sections city-council sea-life art-school film-club book-review high-street train-times local-history home-garden".split()
 PLACES = ("https://{}.example.com/en/120", "http://www.{}.example.net/fr/7731.html", "https://m.{}.example.org/de/88?page=2&ref=x", "http://blog.{}.example.com/es/4#top")
 
 
