@@ -3,10 +3,10 @@
 Every string of `length` bytes holds an anchor: its ANCHOR bytes with the least hash, the leftmost if several. Equal strings
 have equal anchors, so the stretch of strings that share an anchor goes to the shard of that anchor's hash, and equal strings
 meet there wherever they stand. Only anchors that two documents have can matter; the others are left out first. Equal stretches
-count as one, with the least document that has it, and an anchor whose stretches are all equal is settled by that. The stretches of the
-others are sent: each shard sorts their suffixes by induced sorting; suffixes with a common prefix of `length` bytes are
-neighbours in that order, and the least document among them goes back to every stretch. Anchors of very many documents are
-split further by what their strings have in common.
+count as one: all but that of the least document are settled, already in the batch they are read with where it is there too.
+The first of each kind are sent where an anchor has several kinds: each shard sorts their suffixes by induced sorting; suffixes
+with a common prefix of `length` bytes are neighbours in that order, and the least document among them says what goes.
+Anchors of very many kinds are split further by what their strings have in common.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ import time
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -25,7 +26,7 @@ from contrail.llm.suffix_array import repeats_before, suffix_array
 ANCHOR = 16
 #: Strings that are handled at a time; places within fit into PLACE bits.
 BLOCK, PLACE = 1 << 20, np.uint64((1 << 21) - 1)
-#: Anchors of more documents are split by parts of RANGE places of the anchor in the string.
+#: Anchors of more kinds of stretches are split by parts of RANGE places of the anchor in the string.
 HOT, RANGE = 5_000, 7
 #: Bytes of one shard's suffix array.
 SHARD = 1 << 20
@@ -92,12 +93,12 @@ def release(spark: SparkSession) -> None:
 
 
 def shared_anchors(docs: DataFrame, length: int) -> DataFrame:
-    """(doc_id, settled, open, hot): for each document its anchors that documents of another id have too. settled: all their stretches are
-    equal, and a document of a smaller id has one; open: they differ; hot: those of the open ones that very many have."""
+    """(doc_id, settled, open, hot): whole hashes of each document's stretches that matter. settled: a document of a smaller id has the
+    same stretch; open: the first of its kind, of an anchor with several kinds; hot: those of the open ones whose anchor has very many."""
 
     def run(batches):
         for batch in batches:
-            for part in (batch.slice(k, 500) for k in range(0, batch.num_rows, 500)):
+            for part in (batch.slice(k, 2000) for k in range(0, batch.num_rows, 2000)):
                 found, whole, of = [], [], []
                 for doc_id, text in zip(part.column(0).to_pylist(), part.column(1)):
                     data = (text.as_py() or "").encode()
@@ -105,15 +106,27 @@ def shared_anchors(docs: DataFrame, length: int) -> DataFrame:
                         found.append(h)
                         whole.append(w)
                         of.append(np.full(len(h), doc_id, dtype=np.int64))
-                if found:
-                    yield pa.record_batch({"h": np.concatenate(found), "whole": np.concatenate(whole), "doc_id": np.concatenate(of)})
-
-    w = Window.partitionBy("h")
-    found = docs.select("doc_id", "text").mapInArrow(run, "h long, whole long, doc_id long")
-    found = found.select("doc_id", "h", F.min("doc_id").over(w).alias("lo"), F.max("doc_id").over(w).alias("hi"), (F.min("whole").over(w) == F.max("whole").over(w)).alias("equal"), F.count("*").over(w).alias("n"))
-    found = found.where("lo <> hi and (not equal or lo < doc_id)")
-    lists = {"settled": F.col("equal"), "open": ~F.col("equal"), "hot": ~F.col("equal") & (F.col("n") > HOT)}
-    return found.groupBy("doc_id").agg(*[F.collect_set(F.when(c, F.col("h"))).alias(n) for n, c in lists.items()])
+                if not found:
+                    continue
+                h, w, d = np.concatenate(found), np.concatenate(whole), np.concatenate(of)
+                by = np.lexsort((d, w))
+                h, w, d = h[by], w[by], d[by]
+                kind = np.flatnonzero(np.concatenate(([True], w[1:] != w[:-1])))
+                later = d > np.repeat(d[kind], np.diff(np.append(kind, len(d))))
+                # what a document read with it settles needs no partner: it is dealt out evenly
+                key = np.where(later, (d.view(np.uint64) * MIX_A ^ w.view(np.uint64)).view(np.int64), h)
+                yield pa.record_batch({"h": key, "whole": w, "doc_id": d, "later": pa.array(later)})
+
+    own = F.when(~F.col("later"), F.col("doc_id"))
+    w, same = Window.partitionBy("h"), Window.partitionBy("h", "whole")
+    found = docs.select("doc_id", "text").mapInArrow(run, "h long, whole long, doc_id long, later boolean")
+    found = found.select("doc_id", "h", "whole", "later", F.min(own).over(w).alias("lo"), F.max(own).over(w).alias("hi"), F.min("whole").over(w).alias("first"), F.max("whole").over(w).alias("last"))
+    found = found.where("later or lo <> hi").withColumn("least", F.min(own).over(same))
+    settled = F.col("later") | (F.col("least") < F.col("doc_id"))
+    found = found.select("doc_id", "h", "whole", settled.alias("settled"), (F.col("first") != F.col("last")).alias("several")).where("settled or several")
+    found = found.withColumn("n", F.sum(F.when(~F.col("settled"), 1).otherwise(0)).over(w))
+    lists = {"settled": F.col("settled"), "open": ~F.col("settled"), "hot": ~F.col("settled") & (F.col("n") > HOT)}
+    return found.groupBy("doc_id").agg(*[F.collect_set(F.when(c, F.col("whole"))).alias(n) for n, c in lists.items()])
 
 
 def shared_stretches(docs: DataFrame, anchors: DataFrame, length: int) -> DataFrame:
@@ -131,13 +144,13 @@ def shared_stretches(docs: DataFrame, anchors: DataFrame, length: int) -> DataFr
                     data = text.as_py().encode()
                     settled, wanted, hot = settled.values.to_numpy(), wanted.values.to_numpy(), set(hot.as_py())
                     starts, ends = [], []
-                    for first, last, anchor, h, _ in stretches(data, length):
-                        known = np.isin(h, settled)
+                    for first, last, anchor, h, whole in stretches(data, length):
+                        known = np.isin(whole, settled)
                         starts.append(first[known])
                         ends.append(last[known] + 1)
-                        for k in np.flatnonzero(np.isin(h, wanted)).tolist():
+                        for k in np.flatnonzero(np.isin(whole, wanted)).tolist():
                             a, b, p, key = int(first[k]), int(last[k]), int(anchor[k]), int(h[k])
-                            if key not in hot:
+                            if int(whole[k]) not in hot:
                                 rows.append((doc_id, t, a, key, data[a : b + length], None, None))
                                 continue
                             for low in range(0, length - ANCHOR + 1, RANGE):
@@ -157,9 +170,6 @@ def shared_stretches(docs: DataFrame, anchors: DataFrame, length: int) -> DataFr
 
 
 STRETCH = pa.schema([("doc_id", pa.int64()), ("t", pa.int64()), ("at", pa.int32()), ("key", pa.int64()), ("part", pa.binary()), ("starts", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32()))])
-RUNS = pa.schema([("key", pa.int64()), ("ph", pa.int64()), ("starts", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32())), ("ids", pa.list_(pa.int64()))])
-
-
 def shard_runs(parts: list[bytes], ids: np.ndarray, length: int):
     """For each part the runs of its strings' places [start, end) with the least document that has them: (starts, ends, ids) lists."""
     sizes = np.array([len(x) for x in parts])
@@ -188,31 +198,40 @@ def shard_runs(parts: list[bytes], ids: np.ndarray, length: int):
     return part[cut], place[at[cut]], place[at[ends - 1]] + 1, value[cut]
 
 
-def least_documents(distinct: DataFrame, length: int) -> DataFrame:
-    """(key, ph, starts, ends, ids) of every distinct part: distinct has key, part, ph and least."""
+def repeated(parts: DataFrame, length: int) -> DataFrame:
+    """(doc_id, t, a, b): places [a, b) of the strings of parts that a part of a document of a smaller id has too."""
 
     def run(batches):
-        held: list[tuple] = []
-        size = 0
+        held: list[pa.RecordBatch] = []
+        size, last = 0, None
 
-        def done(rows):
-            part, a, b, v = shard_runs([r[1] for r in rows], np.array([r[3] for r in rows], dtype=np.int64), length)
-            offsets = pa.array(np.searchsorted(part, np.arange(len(rows) + 1)).astype(np.int32))
-            lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (a.astype(np.int32), b.astype(np.int32), v)]
-            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int64()), *lists], schema=RUNS)
+        def done(table: pa.Table):
+            ids = table.column("doc_id").to_numpy()
+            part, a, b, v = shard_runs(table.column("part").to_pylist(), ids, length)
+            gone = v < ids[part]
+            part, at = part[gone], table.column("at").to_numpy()
+            if len(part):
+                yield pa.record_batch({"doc_id": ids[part], "t": table.column("t").to_numpy()[part], "a": (at[part] + a[gone]).astype(np.int32), "b": (at[part] + b[gone]).astype(np.int32)})
 
         for batch in batches:
-            for row in zip(*[c.to_pylist() for c in batch.columns]):
-                if size >= SHARD and held[-1][0] != row[0]:
-                    yield done(held)
-                    held, size = [], 0
-                held.append(row)
-                size += len(row[1])
+            keys = batch.column(3).to_numpy()
+            # shards end where the key changes
+            edges = np.concatenate(([0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)]))
+            ends = pc.binary_length(batch.column(4)).to_numpy().cumsum()
+            begun = 0
+            for k, (x, y) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())):
+                if size >= SHARD and (k or keys[0] != last):
+                    held.append(batch.slice(begun, x - begun))
+                    yield from done(pa.Table.from_batches([h for h in held if h.num_rows]))
+                    held, size, begun = [], 0, x
+                size += int(ends[y - 1] - (ends[x - 1] if x else 0))
+            held.append(batch.slice(begun))
+            last = keys[-1]
         if held:
-            yield done(held)
+            yield from done(pa.Table.from_batches(held))
 
-    shards = distinct.select("key", "part", "ph", "least").repartition("key").sortWithinPartitions("key")
-    return shards.mapInArrow(run, "key long, ph long, starts array<int>, ends array<int>, ids array<long>")
+    shards = parts.select("doc_id", "t", "at", "key", "part").repartition("key").sortWithinPartitions("key")
+    return shards.mapInArrow(run, "doc_id long, t long, a int, b int")
 
 
 def removable(docs: DataFrame, length: int) -> DataFrame:
@@ -220,15 +239,9 @@ def removable(docs: DataFrame, length: int) -> DataFrame:
     spark = docs.sparkSession
     anchors = written(shared_anchors(docs.where("doc_id is not null"), length), "anchors")
     release(spark)
-    found = written(shared_stretches(docs, anchors, length).withColumn("ph", F.xxhash64("part")), "stretches")
-    release(spark)
-    parts = found.where("key is not null")
-    distinct = parts.groupBy("key", "part").agg(F.min("doc_id").alias("least")).withColumn("ph", F.xxhash64("part"))
-    runs = written(least_documents(distinct, length), "runs")
+    found = written(shared_stretches(docs, anchors, length), "stretches")
     release(spark)
-    back = parts.select("doc_id", "t", "at", "key", "ph").join(runs, ["key", "ph"])
-    each = back.select("doc_id", "t", "at", F.explode(F.arrays_zip("starts", "ends", "ids")).alias("r")).where("r.ids < doc_id")
-    each = each.select("doc_id", "t", F.array(F.col("at") + F.col("r.starts")).alias("a"), F.array(F.col("at") + F.col("r.ends")).alias("b"))
+    each = repeated(found.where("key is not null"), length).select("doc_id", "t", F.array("a").alias("a"), F.array("b").alias("b"))
     settled = found.where("key is null").select("doc_id", "t", F.col("starts").alias("a"), F.col("ends").alias("b"))
     lists = each.unionByName(settled).groupBy("doc_id", "t").agg(F.collect_list(F.struct("a", "b")).alias("found"))
     return lists.select("doc_id", "t", F.flatten("found.a").alias("a"), F.flatten("found.b").alias("b"))
