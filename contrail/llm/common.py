@@ -39,6 +39,11 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def folded(df: DataFrame, *leave: str) -> Column:
+    """All columns of df but those in leave as one struct, so that joins beside it can't clash with their names."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns if c not in leave])
+
+
 def chunks(rows, size: int):
     """Lists of at most size rows."""
     part: list = []

@@ -115,7 +115,7 @@ def _pass(df: DataFrame, schema: T.StructType, part, window: int, text_col: str,
     if last:
         new = [("n_words", T.LongType()), ("n_hit", T.LongType()), ("item_ids", T.ArrayType(T.StringType())), ("spans", T.ArrayType(span))]
     else:
-        new = [("_runs", ints), ("_items", T.ArrayType(T.StringType()))]
+        new = [("_runs", ints), ("_items", T.ArrayType(T.StringType()))]  # read by place, so their names may clash
     arrow = {"n_words": pa.int64(), "n_hit": pa.int64(), "item_ids": pa.list_(pa.string()), "spans": pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])), "_runs": pa.list_(pa.int32()), "_items": pa.list_(pa.string())}
     kept = len(schema.fields)
 

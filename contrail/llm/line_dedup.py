@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from contrail.llm.common import folded
+
 LG_K = 12
 #: Standard errors on either side of the threshold within which lines are counted exactly. One is 1.04 / sqrt(2^LG_K).
 BAND = 6
@@ -49,13 +51,13 @@ def remove_boilerplate(docs: DataFrame, sites: int = 10, id_col: str = "doc_id",
     found = occurrences(docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"), docs[site_col].alias("site")))
     spread = spread_lines(found, sites)
     doomed = found.join(spread, ["h", "c"]).where(~F.struct("doc_id", "t", "pos").eqNullSafe(F.col("first")))
-    doomed = doomed.groupBy("doc_id", "t").agg(F.collect_set("pos").alias("_doomed")).withColumnsRenamed({"doc_id": "_id", "t": "_t"})
-    keyed = docs.select(*rest, F.xxhash64(docs[text_col]).alias("_text_hash"))
-    joined = keyed.join(doomed, keyed[id_col].eqNullSafe(doomed["_id"]) & (keyed["_text_hash"] == doomed["_t"]), "left")
-    split, gone = lines(F.col(text_col)), F.col("_doomed")
+    doomed = doomed.groupBy("doc_id", "t").agg(F.collect_set("pos").alias("gone"))
+    keyed = docs.select(folded(docs, "n_lines", "n_removed").alias("row"), docs[id_col].alias("i"), docs[text_col].alias("text"), F.xxhash64(docs[text_col]).alias("u"))
+    joined = keyed.join(doomed, F.col("i").eqNullSafe(F.col("doc_id")) & (F.col("u") == F.col("t")), "left")
+    split, gone = lines(F.col("text")), F.col("gone")
     kept = F.array_join(F.filter(split, lambda x, i: ~F.array_contains(gone, i)), "\n")
-    text = F.when(gone.isNull(), F.col(text_col)).otherwise(kept)
-    return joined.select(*[text.alias(c) if c == text_col else F.col(c) for c in rest], F.coalesce(F.size(split), F.lit(0)).cast("long").alias("n_lines"), F.coalesce(F.size(gone), F.lit(0)).cast("long").alias("n_removed"))
+    text = F.when(gone.isNull(), F.col("text")).otherwise(kept)
+    return joined.select(*[(text if c == text_col else F.col("row")[c]).alias(c) for c in rest], F.coalesce(F.size(split), F.lit(0)).cast("long").alias("n_lines"), F.coalesce(F.size(gone), F.lit(0)).cast("long").alias("n_removed"))
 
 
 def oracle(sites: int) -> str:
