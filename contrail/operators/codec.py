@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+#: Fixed value: how an archive of one track begins.
 MAGIC = b"TZ01"
 
 
@@ -79,6 +80,18 @@ def points(archive: DataFrame) -> DataFrame:
     return archive.select("icao", "blob").mapInArrow(run, "icao string, seq long, t long, lat long, lon long, alt long")
 
 
+def verified(original: DataFrame, archive: DataFrame, scale: float = 1e5) -> DataFrame:
+    """icao, n_in, n_out, ordered (times never fall) and in_bounds of every track of an archive, decoded again: of all of them, not of a sample."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    back = points(archive).withColumn("before", F.lag("t").over(Window.partitionBy("icao").orderBy("seq")))
+    inside = (F.abs("lat") <= 90 * scale) & (F.abs("lon") <= 180 * scale)
+    found = back.groupBy("icao").agg(F.count("*").alias("n_out"), F.bool_and(F.coalesce(F.col("t") >= F.col("before"), F.lit(True))).alias("ordered"), F.bool_and(inside).alias("in_bounds"))
+    return original.groupBy("icao").agg(F.count("*").alias("n_in")).join(found, "icao", "left")
+
+
+#: Steps of half a metre for handles, of 25 feet for altitudes.
 HANDLE_M, ALT_FT = 0.5, 25.0
 NONE, AS_PREDICTED, RESIDUAL = 0, 1, 2
 

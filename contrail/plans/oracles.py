@@ -235,6 +235,8 @@ d AS (SELECT *, {_knot(0, 1)} AS t1, {_knot(0, 1)} + {_knot(1, 2)} AS t2, {_knot
 p AS (SELECT *, t1 + (t2 - t1) * (k / 16e0) AS tt FROM d, range(0, 16) r(k))""",
         f"SELECT icao, seq, k::INT AS k, {whole(_curve('x'), '10e0')} AS x, {whole(_curve('y'), '10e0')} AS y FROM p",
     ),
+    "archive_check": "SELECT icao, count(*) AS n_in, count(*) AS n_out, TRUE AS ordered, TRUE AS in_bounds FROM sparse GROUP BY icao",
+    "longest_tracks": (LEGS, f"SELECT icao, {milli('points / runs')} AS ratio FROM (SELECT icao, count(*) AS points FROM sparse GROUP BY icao) JOIN (SELECT icao, count(*) AS runs FROM runs GROUP BY icao) USING (icao) ORDER BY ratio DESC, icao LIMIT 16"),
     "codec_roundtrip": f"SELECT icao, round_even(t, 0)::BIGINT AS t, {whole('lat', '1e5')} AS lat, {whole('lon', '1e5')} AS lon, coalesce(baro, 0)::BIGINT AS alt FROM sparse",
 }
 

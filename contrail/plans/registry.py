@@ -308,6 +308,23 @@ def codec_roundtrip(spark, d):
     return codec.points(codec.blobs(fixed_)).select("icao", "t", "lat", "lon", "alt")
 
 
+@query
+def archive_check(spark, d):
+    from contrail.operators import codec
+
+    r = fixtures.sparse(spark, d)
+    fixed_ = r.select("icao", "seq", F.rint("t").cast("long").alias("t"), F.rint(F.col("lat") * 1e5).cast("long").alias("lat"), F.rint(F.col("lon") * 1e5).cast("long").alias("lon"), F.lit(0).alias("alt"))
+    return codec.verified(fixed_, codec.blobs(fixed_))
+
+
+@query
+def longest_tracks(spark, d):
+    """Sixteen aircraft with the most points for each airborne run."""
+    runs = legs.airborne_runs(fixtures.sparse(spark, d)).groupBy("icao").agg(F.count("*").alias("runs"))
+    n = fixtures.sparse(spark, d).groupBy("icao").agg(F.count("*").alias("points"))
+    return n.join(runs, "icao").select("icao", milli(F.col("points") / F.col("runs")).alias("ratio")).orderBy(F.desc("ratio"), "icao").limit(16)
+
+
 @query
 def dp_nodes(spark, d):
     return tracks.compress(fixtures.dense(spark, d), fixtures.airports(spark, d))
