@@ -71,11 +71,18 @@ def with_meta(df: DataFrame, meta: DataFrame | None) -> DataFrame:
     return df.join(one, TRACK, "left")
 
 
-def points_legs(points: DataFrame, airports: DataFrame, meta: DataFrame | None = None, **limits) -> DataFrame:
-    """Every point with its leg and the leg's airports; unknown altitudes are 0."""
-    legs = leg_points(points, limits.get("least_km", 2.0))
-    known = flights(points, airports, meta, **limits).select("leg_id", "dep", "arr", "reg", "type")
-    out = legs.drop("i", "leg").join(known, "leg_id", "left")
+def points_legs(points: DataFrame, airports: DataFrame, meta: DataFrame | None = None, least_km: float = 2.0, radius_km: float = 10.0) -> DataFrame:
+    """Every point with its leg and the leg's airports; unknown altitudes are 0. The ends come by windows with the track's key, so
+    the points aren't moved again to meet their legs."""
+    legs = leg_points(points, least_km)
+    every = Window.partitionBy(TRACK, "leg").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    at = F.struct("lat", "lon")
+    ground = F.when(F.coalesce("gnd", F.lit(False)), at)
+    ends = {"_a": F.coalesce(F.first(ground, ignorenulls=True).over(every), F.first(at).over(every)), "_b": F.coalesce(F.last(ground, ignorenulls=True).over(every), F.last(at).over(every))}
+    out = legs.withColumns(ends).withColumns({"_ay": F.col("_a.lat"), "_ax": F.col("_a.lon"), "_by": F.col("_b.lat"), "_bx": F.col("_b.lon")})
+    out = nearest_airport(out, airports, "ident", "dep", "_ay", "_ax", radius_km)
+    out = nearest_airport(out, airports, "ident", "arr", "_by", "_bx", radius_km)
+    out = with_meta(out.drop("i", "leg", *[c for c in out.columns if c.startswith("_")]), meta)
     return out.withColumn("alt", F.coalesce("alt", F.lit(0))) if "alt" in out.columns else out
 
 
