@@ -246,4 +246,15 @@ def _sql(body: str | tuple[str, str]) -> str:
     return f"WITH RECURSIVE {VIEWS}{',' + chr(10) + more if more else ''}\n{select}"
 
 
-SQL = {k: _sql(v) for k, v in BODIES.items()}
+#: Whole numbers that may be missing come as doubles in both engines, as not every client has integers with nulls.
+MISSING = {
+    "trace_points": ("baro",), "dense_points": ("baro", "geom", "gs", "vr"), "decimate_1s": ("baro", "geom", "gs", "vr"), "alt_despike": ("alt", "repaired"), "datum_fill": ("alt",),
+    "surface": ("elev", "alt"), "ground_hold": ("elev", "held"), "corners": ("angle",),
+}
+
+
+def _as_doubles(sql: str, columns: tuple[str, ...]) -> str:
+    return f"SELECT * REPLACE ({', '.join(f'{c}::DOUBLE AS {c}' for c in columns)}) FROM (\n{sql})" if columns else sql
+
+
+SQL = {k: _as_doubles(_sql(v), MISSING.get(k, ())) for k, v in BODIES.items()}

@@ -5,6 +5,7 @@ Lengths and angles come as whole thousandths, so that equal rows have equal valu
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -15,15 +16,23 @@ from contrail.operators import legs, scans
 from contrail.operators import sequence as seq
 from contrail.operators.nearest import nearest_airport, surface_snap
 from contrail.plans import tracks
-from contrail.plans.oracles import SQL
+from contrail.plans.oracles import MISSING, SQL
 from contrail.sources import fixtures
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def query(f):
-    QUERIES[f.__name__] = f
-    return f
+    """Register f under its name, with whole numbers that may be missing as doubles."""
+    columns = MISSING.get(f.__name__, ())
+
+    @functools.wraps(f)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        df = f(spark, sf_dir)
+        return df.withColumns({c: F.col(c).cast("double") for c in columns}) if columns else df
+
+    QUERIES[f.__name__] = run
+    return run
 
 
 def milli(x: Column | str) -> Column:
