@@ -15,7 +15,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from contrail.llm.common import scratch, written
+from contrail.llm.common import scratch
 from contrail.llm.tokens import encoder
 
 MANIFEST = "file_no int, path string, n_sequences long, n_tokens long, n_docs long"
