@@ -97,20 +97,30 @@ class Buckets:
 
 
 def doubled(names: np.ndarray, covered: int) -> np.ndarray:
-    """The order of the suffixes of names by their first `covered` names at least: ranks of pairs of ranks, again and again."""
-    rank, width = names.astype(np.int64), 1
-    while True:
-        order = np.argsort(rank, kind="stable")
+    """The order of the suffixes of names by their first `covered` names at least: by pairs of ranks, again and again. A rank is the
+    place where a group of suffixes that are equal so far begins in the order; only such groups are sorted again."""
+    n = len(names)
+    order = np.argsort(names, kind="stable")
+    new = np.flatnonzero(np.concatenate(([True], np.diff(names[order]) != 0)))
+    rank = np.empty(n, dtype=np.int64)
+    rank[order] = np.repeat(new, np.diff(np.append(new, n)))
+    width = 1
+    while width < covered:
         ranked = rank[order]
-        if width >= covered or not (ranked[1:] == ranked[:-1]).any():
-            return order
-        after = np.zeros_like(rank)
-        after[:-width] = rank[width:] + 1
-        pair = rank * (len(names) + 2) + after
-        order = np.argsort(pair, kind="stable")
-        sorted_pairs = pair[order]
-        rank[order] = np.cumsum(np.concatenate(([0], (sorted_pairs[1:] != sorted_pairs[:-1]).astype(np.int64))))
+        same = ranked[1:] == ranked[:-1]
+        at = np.flatnonzero(np.append(same, False) | np.append(False, same))
+        if not len(at):
+            break
+        members = order[at]
+        after = np.where(members + width < n, rank[np.minimum(members + width, n - 1)] + 1, 0)
+        pair = rank[members] * (n + 2) + after
+        by = np.argsort(pair)
+        members, pair = members[by], pair[by]
+        order[at] = members
+        new = np.flatnonzero(np.concatenate(([True], pair[1:] != pair[:-1])))
+        rank[members] = np.repeat(at[new], np.diff(np.append(new, len(at))))
         width *= 2
+    return order
 
 
 def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
