@@ -189,7 +189,12 @@ def keep_one(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col
     """docs with one row of each component of near-duplicates: that of the least id (nulls last, then the least hash of the text)."""
     rows = written(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
     fps = rows.groupBy("fp").agg(F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "t")).alias("least"))
-    kept = labelled(fps).groupBy("label").agg(F.min("least").alias("least")).select(F.col("least.doc_id").alias("doc_id"), F.col("least.t").alias("t")).distinct()
+    return chosen(docs, labelled(fps).groupBy("label").agg(F.min("least").alias("least")), id_col, text_col)
+
+
+def chosen(docs: DataFrame, least: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of docs that the structs least name by doc_id and t, each once."""
+    kept = least.select(F.col("least.doc_id").alias("doc_id"), F.col("least.t").alias("t")).distinct()
     keyed = docs.select(folded(docs).alias("row"), docs[id_col].cast("long").alias("i"), F.xxhash64(docs[text_col]).alias("u"))
     stays = keyed.join(kept, F.col("i").eqNullSafe(F.col("doc_id")) & (F.col("u") == F.col("t")), "left_semi").dropDuplicates(["i", "u"])
     return stays.select(*[F.col("row")[c].alias(c) for c in docs.columns])

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm import decontamination, langid, line_dedup, packing, simhash
+from contrail.llm import decontamination, jaccard, langid, line_dedup, packing
 from contrail.llm.common import written
 from contrail.llm.queries import SITES, table, vocabulary
 
@@ -31,8 +31,8 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays."""
-    return simhash.keep_one(docs, shingle=3).select(*docs.columns)
+    """One document stays of each group that links of four fifths of their five-word shingles join."""
+    return jaccard.keep_one(docs).select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,7 +54,7 @@ STAGES = [
     ("packing", pack),
 ]
 
-#: SimHash components and token ids have no SQL form; tests hold the stages against brute force.
+#: Near-duplicate components and token ids have no SQL form; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
