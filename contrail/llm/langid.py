@@ -16,8 +16,8 @@ DIMS = 1 << 15
 SIZES = (1, 2, 3)
 #: Odd multipliers of the rolling hash, one for each place in an n-gram, and one that mixes in its size.
 FACTORS, SIZE_FACTOR = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D), 0x27D4EB2F
-#: Most languages and most labelled rows that a model is fitted on.
-MOST_LANGUAGES, MOST_ROWS = 1_000, 50_000
+#: Most languages that a model is fitted on.
+MOST_LANGUAGES = 1_000
 #: Characters that are handled at a time.
 BLOCK = 1 << 20
 
@@ -134,12 +134,10 @@ class Model:
         return [self.languages[b] if s else "und" for b, s in zip(best.tolist(), seen.tolist())], np.where(seen > 0, score, 0.0).tolist()
 
 
-def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", most_rows: int = MOST_ROWS, smoothing: float = 0.5, seed: int = 7) -> Model:
-    """Fit on labelled rows whose language isn't null, on about most_rows of them drawn by a hash of the text where
-    there are more. Languages stand in ascending order, so ties go to the first."""
+def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", smoothing: float = 0.5) -> Model:
+    """Fit on all labelled rows whose language and text aren't null. Languages stand in ascending order, so ties go to
+    the first."""
     rows = labelled.select(labelled[text_col].alias("text"), labelled[lang_col].alias("lang")).where("lang is not null and text is not null")
-    if (n := rows.count()) > most_rows:
-        rows = rows.where(F.pmod(F.xxhash64("text", F.lit(seed)), F.lit(1 << 30)) < int(most_rows / n * (1 << 30)))
     found = rows.mapInArrow(_counts, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     found = found.groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("c")).orderBy("lang").limit(MOST_LANGUAGES + 1)  # DIMS + 1 pairs a language at most
     got = found.collect()
