@@ -99,13 +99,18 @@ def write(docs: DataFrame, tokenizer: str, path: str, length: int = 2048, end_id
         final, part = f"{folder}/tokens-{task.partitionId():06d}.arrows", f"{folder}/.tokens-{task.taskAttemptId()}.part"
         made = None
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                if made is None:
-                    files.create_dir(folder)
-                    sink = files.open_output_stream(part)
-                    made = Writer(sink, length, wide)
-                ids = np.frombuffer(tool.encode(text.as_py()), dtype="<u4")
-                made.add(doc_id, np.append(ids, end_id).astype(made.kind))
+            doc_ids = batch.column(0).to_pylist()
+            if made is None and doc_ids:
+                files.create_dir(folder)
+                sink = files.open_output_stream(part)
+                made = Writer(sink, length, wide)
+            for first, ids, ends in tool.column(batch.column(1)):
+                # each text's ids with the end after them
+                ids = np.insert(ids.astype(made.kind), ends, end_id)
+                begin = 0
+                for k, stop in enumerate((ends + np.arange(1, len(ends) + 1)).tolist()):
+                    made.add(doc_ids[first + k], ids[begin:stop])
+                    begin = stop
         if made is not None:
             made.close()
             sink.close()

@@ -1,8 +1,9 @@
-"""Token ids of whole texts, with a bounded cache of the pieces between blanks.
+"""Token ids of whole texts, column by column: each distinct pre-token is encoded once and then looked up.
 
-In a byte-level BPE with the usual pre-tokenizer a blank followed by a non-blank always opens a new
-pre-token, so a text may be cut before each such blank and the ids of the parts put together. Every id
-comes from the tokenizers library; parts that came before are looked up instead of encoded again.
+A byte-level BPE encodes each pre-token by itself, so a text's ids are those of its pre-tokens put together. Where pre-tokens
+begin is worked out for all texts of a block at once, on their UTF-8 bytes; what kind of character a code point is, is
+asked of the tokenizer's own pre-tokenizer. Arrow's dictionary encoding finds the distinct pre-tokens of a block, and every id
+comes from the tokenizers library.
 """
 
 from __future__ import annotations
@@ -10,11 +11,20 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from collections.abc import Iterator
 
-CUT = re.compile(r" (?=\S)")
-#: Parts made of nothing but runs that are each one pre-token: letters, digits, signs without apostrophes, single line ends.
-RUN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+|[0-9]+|[!-&(-/:-@\[-`{-~]+|\n(?!\n)")
-PLAIN = re.compile(f"(?:{RUN.pattern})+")
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+#: Kinds of characters: letters, digits, the blank, other white space, and everything else.
+LETTER, DIGIT, OTHER, BLANK, SPACE = range(5)
+#: Bytes of text that are worked on at a time; a longer text is cut before a blank.
+BLOCK = 4 << 20
+#: A blank before a printable ASCII sign always begins a pre-token.
+SAFE = re.compile(rb" [!-~]")
+#: What an apostrophe makes one pre-token with, by the usual pattern of byte-level vocabularies.
+SHORT, LONG = b"stmd", (b"re", b"ve", b"ll")
 
 
 def byte_letters() -> str:
@@ -30,65 +40,199 @@ def byte_letters() -> str:
     return "".join(out)
 
 
+class Kinds:
+    """The kind of each code point, as the pre-tokenizer has it; asked once for each that occurs."""
+
+    def __init__(self, pre_tokenizer):
+        self.split = pre_tokenizer.pre_tokenize_str
+        self.table = np.full(0x110000, 255, dtype=np.uint8)
+        self.ascii = self.of(np.arange(256))
+        self.ascii[128:] = OTHER
+
+    def _ask(self, c: str) -> int:
+        if c == " ":
+            return BLANK
+        if len(self.split("a" + c)) == 1:
+            return LETTER
+        if len(self.split("1" + c)) == 1:
+            return DIGIT
+        # a run of white space before a letter leaves its last sign to stand alone, other signs stay together
+        return SPACE if len(self.split(c + c + "a")) == 3 else OTHER
+
+    def of(self, codes: np.ndarray) -> np.ndarray:
+        found = self.table[codes]
+        if (found == 255).any():
+            for k in np.unique(codes[found == 255]).tolist():
+                self.table[k] = self._ask(chr(k))
+            found = self.table[codes]
+        return found
+
+
+def begins(data: np.ndarray, firsts: np.ndarray, kinds: Kinds) -> np.ndarray:
+    """The places where pre-tokens begin in data, the UTF-8 bytes of texts of which one starts at each of firsts (ascending, all
+    within data)."""
+    n = len(data)
+    kind = kinds.ascii[data]
+    lead = np.flatnonzero(data >= 0xC0)
+    if len(lead):
+        padded = np.append(data, np.zeros(3, dtype=np.uint8)).astype(np.int32)
+        b = padded[lead]
+        two, three, four = lead[b < 0xE0], lead[(b >= 0xE0) & (b < 0xF0)], lead[b >= 0xF0]
+        for at, size in ((two, 2), (three, 3), (four, 4)):
+            code = padded[at] & (0xFF >> size + 1)
+            for k in range(1, size):
+                code = code << 6 | padded[at + k] & 0x3F
+            found = kinds.of(code)
+            for k in range(size):
+                kind[at + k] = found
+    white = kind >= BLANK
+    group = np.minimum(kind, BLANK)
+    new = np.empty(n, dtype=bool)
+    np.not_equal(group[1:], group[:-1], out=new[1:])
+    new[firsts] = True
+    starts_text = np.zeros(n + 1, dtype=bool)
+    starts_text[firsts] = True
+    # the last sign of white space before something else: a blank joins what follows, another stands alone
+    after = np.flatnonzero(white[:-1] & ~white[1:] & ~starts_text[1:n]) + 1
+    joins = kind[after - 1] == BLANK
+    new[after[joins]] = False
+    new[after[joins] - 1] = True
+    last = after[~joins] - 1
+    while len(last):
+        inner = data[last] & 0xC0 == 0x80
+        new[last[~inner]] = True
+        last = last[inner] - 1
+    # 's, 't, 're and so on, where the apostrophe begins a pre-token
+    mark = np.flatnonzero(data[:-1] == 39) if n else np.empty(0, dtype=np.int64)
+    mark = mark[new[mark] & ~starts_text[mark + 1]]
+    if len(mark):
+        one = np.isin(data[mark + 1], np.frombuffer(SHORT, dtype=np.uint8))
+        two = np.zeros(len(mark), dtype=bool)
+        far = np.minimum(mark + 2, n - 1)
+        for x, y in LONG:
+            two |= (data[mark + 1] == x) & (data[far] == y)
+        two &= (mark + 2 < n) & ~starts_text[np.minimum(mark + 2, n)] & ~one
+        for at, size in ((mark[one], 2), (mark[two], 3)):
+            new[at + 1] = False
+            end = at + size
+            new[end[end < n]] = True
+    return np.flatnonzero(new)
+
+
 class Cache(dict):
-    """Ids by part; a part that's missing is made and, unless it is long, kept."""
+    """Numbers of pre-tokens in the order in which they came; their ids stand one after the other in a flat array. When half of
+    `keep` have come, they become the old ones, and those that come again move on; the older ones go."""
 
-    def __init__(self, make, longest: int):
-        self.make, self.longest = make, longest
+    def __init__(self, make, keep: int):
+        self.make, self.keep, self.old = make, keep, ({}, array("I"), array("q", [0]))
+        self.flat, self.ends = array("I"), array("q", [0])
 
-    def __missing__(self, part: str) -> bytes:
-        ids = self.make(part)
-        if len(part) <= self.longest:
-            self[part] = ids
-        return ids
+    def age(self) -> None:
+        if len(self) > self.keep // 2:
+            self.old = (dict(self), self.flat, self.ends)
+            self.clear()
+            self.flat, self.ends = array("I"), array("q", [0])
+
+    def __missing__(self, part: str) -> int:
+        known, flat, ends = self.old
+        at = known.get(part)
+        self.flat.extend(self.make(part) if at is None else flat[ends[at] : ends[at + 1]])
+        self.ends.append(len(self.flat))
+        self[part] = k = len(self.ends) - 2
+        return k
 
 
 class Encoder:
-    """encode(text) gives the text's ids as little-endian unsigned 32-bit bytes.
+    """Ids of texts by a tokenizers JSON file, without the special tokens that a post-processor adds.
 
-    The caches hold at most about `keep` parts of at most `longest` characters each; when full they start anew.
-    Tokenizers of another build than plain byte-level BPE get every text whole.
+    Texts that hold one of the vocabulary's added tokens go to the library whole, as do all texts of tokenizers of another build than plain
+    byte-level BPE. special_as_text: added tokens in a text are ordinary text. The cache holds at most `keep` pre-tokens and
+    those of one block.
     """
 
-    def __init__(self, path: str, keep: int = 600_000, longest: int = 16):
+    def __init__(self, path: str, keep: int = 400_000, special_as_text: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.keep, self.letters = keep, byte_letters()
-        self.runs, self.parts = Cache(self._run, longest), Cache(self._part, longest)
+        self.tokenizer.encode_special_tokens = special_as_text
+        self.letters, self.cache, self.model = byte_letters(), Cache(self._part, keep), self.tokenizer.model.tokenize
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [x.content for x in added if not (special_as_text and x.special)]
         pre = self.tokenizer.pre_tokenizer
         state = pre.__getstate__() if pre is not None else b""
-        self.cuts = all(x in state for x in (b'"ByteLevel"', b'"use_regex":true', b'"add_prefix_space":false')) and self.tokenizer.normalizer is None
+        plain = all(x in state for x in (b'"ByteLevel"', b'"use_regex":true', b'"add_prefix_space":false')) and self.tokenizer.normalizer is None
+        self.kinds = Kinds(pre) if plain else None
 
-    def _whole(self, text: str) -> bytes:
-        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+    def _whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
 
-    def _run(self, run: str) -> bytes:
+    def _part(self, part: str) -> list[int]:
         """Ids of one pre-token."""
-        mapped = run.encode().decode("latin-1").translate(self.letters)
-        return array("I", [x.id for x in self.tokenizer.model.tokenize(mapped)]).tobytes()
-
-    def _part(self, part: str) -> bytes:
-        """Ids of a part with the blank before it."""
-        if not PLAIN.fullmatch(part):
-            return self._whole(" " + part)
-        first, *rest = RUN.findall(part)
-        return (self.parts[first] if rest else self._run(" " + first)) + b"".join(map(self.runs.__getitem__, rest))
+        mapped = part.encode().decode("latin-1").translate(self.letters)
+        return [x.id for x in self.model(mapped)]
+
+    def _block(self, data: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, their number up to each of firsts): of texts of which one starts at each of firsts."""
+        n = len(data)
+        at = begins(data, np.unique(firsts[firsts < n]), self.kinds) if n else np.empty(0, dtype=np.int64)
+        edges = np.append(at, n).astype(np.int32)
+        parts = pa.Array.from_buffers(pa.string(), len(at), [None, pa.py_buffer(edges), pa.py_buffer(data)]).dictionary_encode()
+        self.cache.age()
+        distinct = parts.dictionary.to_pylist()
+        number = np.fromiter(map(self.cache.__getitem__, distinct), dtype=np.int64, count=len(distinct))
+        ends = np.frombuffer(self.cache.ends, dtype=np.int64)
+        number = number[parts.indices.to_numpy()]
+        begin, size = ends[number], ends[number + 1] - ends[number]
+        total = np.concatenate(([0], np.cumsum(size)))
+        ids = np.frombuffer(self.cache.flat, dtype=np.uint32)[np.repeat(begin - total[:-1], size) + np.arange(total[-1])] if len(self.cache.flat) else np.empty(0, dtype=np.uint32)
+        del ends  # else the arrays can't grow
+        return ids, total[np.searchsorted(at, firsts)]
+
+    def _long(self, data: bytes) -> np.ndarray:
+        """Ids of a text of any length, block by block."""
+        out, low = [], 0
+        while low < len(data):
+            found = SAFE.search(data, min(low + BLOCK, len(data)))
+            high = found.start() if found else len(data)
+            out.append(self._block(np.frombuffer(data, dtype=np.uint8)[low:high], np.zeros(1, dtype=np.int64))[0])
+            low = high
+        return np.concatenate(out) if out else np.empty(0, dtype=np.uint32)
+
+    def column(self, texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(first row, ids, ends) for runs of rows: ids has those of all texts of the run, ends where each text's end; 32-bit unsigned. Null
+        and empty texts have none."""
+        if texts.type != pa.string():
+            texts = texts.cast(pa.string())
+        if texts.null_count:
+            texts = pc.fill_null(texts, "")
+        n = len(texts)
+        if not n:
+            return
+        offsets = np.frombuffer(texts.buffers()[1], dtype=np.int32)[texts.offset : texts.offset + n + 1].astype(np.int64)
+        buffer = texts.buffers()[2]
+        data = np.frombuffer(buffer, dtype=np.uint8) if buffer is not None else np.empty(0, dtype=np.uint8)
+        whole = np.full(n, self.kinds is None)
+        for token in self.added if self.kinds else []:
+            whole |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+        alone = whole | (np.diff(offsets) > BLOCK)
+        row = 0
+        while row < n:
+            if alone[row]:
+                ids = self._whole(texts[row].as_py()) if whole[row] else self._long(data[offsets[row] : offsets[row + 1]].tobytes())
+                yield row, ids, np.array([len(ids)])
+                row += 1
+                continue
+            high = int(np.searchsorted(offsets, offsets[row] + BLOCK, side="right")) - 1
+            others = np.flatnonzero(alone[row:high])
+            high = max(row + int(others[0]) if len(others) else high, row + 1)
+            ids, before = self._block(data[offsets[row] : offsets[high]], offsets[row : high + 1] - offsets[row])
+            yield row, ids, before[1:]
+            row = high
 
     def encode(self, text: str | None) -> bytes:
-        """None and the empty text have no ids."""
-        if not text:
-            return b""
-        first = CUT.search(text) if self.cuts else None
-        if first is None:
-            return self._whole(text)
-        for cache in (self.parts, self.runs):
-            if len(cache) > self.keep:
-                cache.clear()
-        head = self._whole(text[: first.start()]) if first.start() else b""
-        return head + b"".join(map(self.parts.__getitem__, CUT.split(text[first.end() :])))
+        """One text's ids as little-endian unsigned 32-bit bytes."""
+        return b"".join(ids.astype("<u4").tobytes() for _, ids, _ in self.column(pa.array([text], pa.string())))
 
 
 _ENCODERS: dict[str, Encoder] = {}
