@@ -1,17 +1,17 @@
 """Harmonic packing of token ids into sequences of one capacity.
 
-A piece of length in (capacity/(i+1), capacity/i] belongs to reciprocal class i, whose bins take i pieces
-each. Documents are cut so that every piece is exactly capacity/i long for a power of two i: whole
-capacities first, then the binary digits of what is left. So class i fills a bin with exactly i pieces and
-no padding, and each worker fills its classes by counting alone: no shuffle, no exchange of bin states.
-At the end of a worker's rows one open bin per class may be left; its m pieces become sequences of the
-powers of two in m, which need no padding either.
+Lengths are partitioned into reciprocal classes: class i has those in (capacity/(i+1), capacity/i], and a bin of class i
+takes exactly i pieces. Documents are cut so that little is lost: whole capacities first (class 1), then the rest whole if it
+falls short of its class's share, floor(capacity/i), by a part of `slack` at most; else a piece of the next class's share is
+cut off and what is left is looked at again. Each worker fills the bins of its classes by counting alone: no shuffle, no
+exchange of bin states. Bins that are still open at the end of a worker's rows are laid end to end.
 """
 
 from __future__ import annotations
 
-from array import array
+from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -22,53 +22,86 @@ SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id lon
 WORKER = 1 << 36
 
 
-def cut(n_tokens: int, capacity: int):
-    """(start, length) of a document's pieces, longest first: capacities, then descending powers of two."""
+@lru_cache(maxsize=1 << 16)
+def shares(rest: int, capacity: int, slack: int) -> tuple[tuple[int, int], ...]:
+    """(length, class) of the pieces of what is left of a document, 1 to capacity tokens."""
+    out = []
+    while rest:
+        i = capacity // rest
+        share = capacity // i
+        if (share - rest) * slack > share:
+            i = -(-capacity // rest)
+            while capacity // i > rest:
+                i += 1
+            share = capacity // i
+        out.append((min(rest, share), i))
+        rest -= out[-1][0]
+    return tuple(out)
+
+
+def cut(n_tokens: int, capacity: int, slack: int):
+    """(start, length, class) of a document's pieces."""
     start = 0
     while n_tokens - start >= capacity:
-        yield start, capacity
+        yield start, capacity, 1
         start += capacity
-    while start < n_tokens:
-        length = 1 << (n_tokens - start).bit_length() - 1
-        yield start, length
+    for length, i in shares(n_tokens - start, capacity, slack):
+        yield start, length, i
         start += length
 
 
 class Bins:
-    """The open bin of each class of one worker; rows leave when their bin is full."""
+    """The open bin of each class of one worker; pieces leave when their bin is full, with sequence_id, offset and class. A
+    piece is (doc_id, start, length, doc_tokens, its ids as bytes)."""
 
     def __init__(self, capacity: int, first: int):
         self.capacity, self.next, self.open = capacity, first, {}
 
-    def add(self, piece: tuple, length: int):
-        """piece is a row up to doc_tokens, then its ids."""
-        pieces = self.open.setdefault(length, [])
+    def add(self, piece: tuple, i: int):
+        pieces = self.open.setdefault(i, [])
         pieces.append(piece)
-        if len(pieces) * length == self.capacity:
-            yield from self._close(length, pieces)
-            self.open[length] = []
-
-    def _close(self, length: int, pieces: list[tuple]):
-        for k, (*head, ids) in enumerate(pieces):
-            yield *head, self.next, k * length, self.capacity // length, ids
+        if len(pieces) == i:
+            yield from self._close(pieces, i)
+            self.open[i] = []
+
+    def _close(self, pieces: list[tuple], i: int):
+        at = 0
+        for doc_id, start, length, n, ids in pieces:
+            yield doc_id, start, length, n, self.next, at, i, ids
+            at += length
         self.next += 1
 
     def rest(self):
-        for length, pieces in sorted(self.open.items()):
-            while pieces:
-                n = 1 << len(pieces).bit_length() - 1
-                yield from self._close(length, pieces[:n])
-                pieces = pieces[n:]
-
-
-def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+        """Pieces of open bins end to end, cut where a sequence is full; the last sequences are the powers of two in what is left,
+        which need no padding. Their class is 0."""
+        pieces = [p for _, x in sorted(self.open.items()) for p in x]
+        left = sum(p[2] for p in pieces)
+        size = self._size(left)
+        row: list[tuple] = []
+        used = 0
+        for doc_id, start, length, n, ids in pieces:
+            at = 0
+            while at < length:
+                part = min(length - at, size - used)
+                row.append((doc_id, start + at, part, n, ids[4 * at : 4 * (at + part)]))
+                at, used, left = at + part, used + part, left - part
+                if used == size:
+                    yield from self._close(row, 0)
+                    row, used, size = [], 0, self._size(left)
+
+    def _size(self, left: int) -> int:
+        return self.capacity if left >= self.capacity else 1 << max(left.bit_length() - 1, 0)
+
+
+def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 1, slack: int = 128, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece: doc_id, start, length, doc_tokens, sequence_id, offset, class, ids (little-endian
     unsigned 32-bit). Each document's ids, with end_id after them, lie in exactly one piece each; offsets of a
-    sequence run gapless from 0; a sequence is `capacity` long or a power of two.
+    sequence run gapless from 0. A sequence of class i holds i pieces and needs padding of capacity/slack + i tokens at
+    most; those of class 0 come from bins that stayed open and are `capacity` or a power of two long.
 
-    tokenizer: path of a tokenizers JSON file. capacity: a power of two. Null and empty texts are end_id alone;
+    tokenizer: path of a tokenizers JSON file. Null and empty texts are end_id alone;
     repeated rows are packed each by itself; null ids are kept; other columns are not read; no rows, no pieces.
-    A worker holds at most one open bin per class. Sequence numbers follow the input's partitions.
+    A worker holds one open bin per class, about 2 sqrt(capacity) bins. Sequence numbers follow the input's partitions.
     """
     if capacity < 1 or capacity & (capacity - 1):
         raise ValueError(f"capacity must be a power of two, not {capacity}")
@@ -76,16 +109,20 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 1,
     def run(batches):
         from pyspark import TaskContext
 
-        encode, end = encoder(tokenizer).encode, array("I", [end_id]).tobytes()
+        tool = encoder(tokenizer)
+        end = np.array([end_id], dtype="<u4").tobytes()
         bins = Bins(capacity, TaskContext.get().partitionId() * WORKER)
 
         def rows():
             for batch in batches:
-                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                    ids = encode(text.as_py()) + end
-                    n = len(ids) // 4
-                    for start, length in cut(n, capacity):
-                        yield from bins.add((doc_id, start, length, n, ids[4 * start : 4 * (start + length)]), length)
+                doc_ids = batch.column(0).to_pylist()
+                for first, ids, ends in tool.column(batch.column(1)):
+                    begin = 0
+                    for doc_id, stop in zip(doc_ids[first : first + len(ends)], ends.tolist()):
+                        own = ids[begin:stop].astype("<u4", copy=False).tobytes() + end
+                        n, begin = stop - begin + 1, stop
+                        for start, length, i in cut(n, capacity, slack):
+                            yield from bins.add((doc_id, start, length, n, own[4 * start : 4 * (start + length)]), i)
             yield from bins.rest()
 
         yield from record_batches(rows(), PIECES)

@@ -9,12 +9,12 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from contrail.llm import token_files
-from contrail.llm.packing import cut, pack
+from contrail.llm import tokens
+from contrail.llm.packing import Bins, cut, pack
 from contrail.llm.queries import op1_harmonic_packing, op7_token_files, vocabulary as path
 from contrail.llm.tokens import Encoder
 
 TOOL = Tokenizer.from_file(path())
-TOOL.encode_special_tokens = True
 ENCODER = Encoder(path())
 
 
@@ -34,17 +34,64 @@ def test_encoder_on_any_text(text):
     assert np.frombuffer(ENCODER.encode(text), "<u4").tolist() == ids(text)
 
 
-def test_a_full_cache_starts_anew():
-    small = Encoder(path(), keep=3)
-    for text in ("a b c d e f g", "h i j k l", "a b c d e f g"):
-        assert np.frombuffer(small.encode(text), "<u4").tolist() == ids(text)
+SIGNS = ["'", "s", "t", "re", "ve", "ll", "m", "d", " ", "  ", "\n", "\t", "\u00a0", "\u3000", "é", "漢", "1", "٣", "½", "!", "-", "a", "B", "😀", "\u0301", "\x1c", "\x85", "<|endoftext|>", "\u200b", "'S", "Ⅷ"]
 
 
-@pytest.mark.parametrize("n", [0, 1, 5, 2047, 2048, 2049, 9999])
-def test_cuts_cover_once(n):
-    pieces = list(cut(n, 2048))
-    assert sum(x for _, x in pieces) == n and [s for s, _ in pieces] == list(np.cumsum([0] + [x for _, x in pieces])[:-1])
-    assert all(x & (x - 1) == 0 for _, x in pieces)
+def by_column(tool, texts):
+    out = []
+    for first, found, ends in tool.column(pa.array(texts, pa.string())):
+        assert first == len(out)
+        out += [x.tolist() for x in np.split(found, ends[:-1])]
+    return out
+
+
+@pytest.mark.parametrize("block", [16, 4 << 20])
+@given(st.lists(st.none() | st.lists(st.sampled_from(SIGNS), max_size=30).map("".join), max_size=20))
+@settings(max_examples=150, deadline=None)
+def test_columns_are_the_library(block, texts):
+    tokens.BLOCK, before = block, tokens.BLOCK
+    try:
+        assert by_column(ENCODER, texts) == [ids(x) for x in texts]
+    finally:
+        tokens.BLOCK = before
+
+
+def test_added_tokens_are_the_library():
+    text = "a <|endoftext|> b"
+    assert np.frombuffer(ENCODER.encode(text), "<u4").tolist() == ids(text) == [64, 220, 50256, 275]
+    plain = Tokenizer.from_file(path())
+    plain.encode_special_tokens = True
+    assert np.frombuffer(Encoder(path(), special_as_text=True).encode(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
+def test_a_full_cache_forgets():
+    small = Encoder(path(), keep=4)
+    for text in ("a b c d e f g", "h i j k l", "a b c d e f g", "a b", "h"):
+        assert by_column(small, [text, text]) == [ids(text)] * 2
+
+
+@pytest.mark.parametrize("capacity", [1, 64, 2048])
+def test_cuts_cover_once(capacity):
+    for n in [*range(1, 2 * capacity + 2), 9999]:
+        pieces = list(cut(n, capacity, 128))
+        assert sum(x for _, x, _ in pieces) == n and [s for s, _, _ in pieces] == list(np.cumsum([0] + [x for _, x, _ in pieces])[:-1])
+        # a piece's class is that of its length, and little is missing to its share
+        assert all(capacity // x == i and (capacity // i - x) * 128 <= capacity // i for _, x, i in pieces)
+
+
+def test_bins_hold_as_many_pieces_as_their_class():
+    bins = Bins(2048, 0)
+    rng = np.random.default_rng(3)
+    rows = [r for n in rng.integers(1, 6000, 3000).tolist() for s, x, i in cut(n, 2048, 128) for r in bins.add((n, s, x, n, bytes(4 * x)), i)]
+    full, kinds, lengths = Counter(), {}, Counter()
+    for r in rows:
+        full[r[4]] += 1
+        kinds[r[4]] = r[6]
+        lengths[r[4]] += r[2]
+    assert all(n == kinds[k] for k, n in full.items()) and len(set(kinds.values())) > 20
+    assert all(2048 - n <= 2048 / 128 + kinds[k] for k, n in lengths.items())
+    assert sum(2048 - n for n in lengths.values()) < 2048 * len(lengths) / 200
+    assert {r[6] for r in bins.rest()} <= {0}
 
 
 def check_packing(rows, texts, capacity, end):
@@ -58,7 +105,7 @@ def check_packing(rows, texts, capacity, end):
         for offset, n in sorted(parts):
             assert offset == at
             at += n
-        assert at == capacity or at & (at - 1) == 0 and at < capacity
+        assert at <= capacity
     want = Counter()
     for doc_id, text in texts:
         for k in ids(text) + [end]:
@@ -93,7 +140,8 @@ def test_op1(spark, sf_dir):
     ends = Counter()
     for r in rows:
         ends[r.sequence_id] += r.length
-    assert sum(2048 - n for n in ends.values() if n & (n - 1)) == 0
+    assert sum(2048 - n for n in ends.values() if n & (n - 1)) < 0.005 * sum(ends.values())
+    assert len(rows) < 3.5 * len(docs)
 
 
 def check_files(rows, texts):
