@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from heapq import heappop, heappush
+
 import numpy as np
 
 SUB = 12
@@ -49,7 +51,7 @@ def place_nodes(points: np.ndarray, tol: np.ndarray, sub: int = SUB) -> np.ndarr
     """Indices of nodes, both ends included: as long as a point is farther from its span's curve than it may be, the worst becomes a node.
 
     excess and worst are kept for each span under its left node; a new node changes its own two spans and, as they lean
-    on their neighbours, the two beside them.
+    on their neighbours, the two beside them. A heap gives the worst span; what it holds of a span that was measured again is passed over.
     """
     points, tol, n = np.asarray(points, dtype=np.float64), np.asarray(tol, dtype=np.float64), len(points)
     if n <= 2:
@@ -67,9 +69,15 @@ def place_nodes(points: np.ndarray, tol: np.ndarray, sub: int = SUB) -> np.ndarr
             over = distances(points[a + 1 : b], line) - tol[a + 1 : b]
             k = int(over.argmax())
             excess[a], worst[a] = over[k], a + 1 + k
+            if over[k] > 0:
+                heappush(heap, (-over[k], a))
 
+    heap: list[tuple[float, int]] = []
     measure(0)
-    while excess[a := int(excess.argmax())] > 0:
+    while heap:
+        most, a = heappop(heap)
+        if -most != excess[a]:
+            continue
         b, m = after[a], worst[a]
         after[a], before[m], after[m], before[b] = m, a, b, m
         for left in (before[a], a, m, b if after[b] >= 0 else -1):

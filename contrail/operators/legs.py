@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from contrail.functions import geo
 from contrail.operators.nearest import nearest_airport
-from contrail.operators.sequence import TRACK, islands, ordered, whole
+from contrail.operators.sequence import TRACK, following, islands, ordered, whole
 
 
 def airborne_runs(points: DataFrame, least_km: float = 2.0) -> DataFrame:
@@ -36,7 +36,7 @@ def leg_points(points: DataFrame, least_km: float = 2.0) -> DataFrame:
     r = r.withColumn("_flight", flight)
     r = r.withColumn("_flies", F.max("_flight").over(track)).where("_flies")
     begin = F.when(F.col("_flight") & (F.col("i") == F.col("_s")), F.struct("i", "t"))
-    r = r.withColumn("_begin", begin).withColumn("_next", F.first("_begin", ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing)))
+    r = r.withColumn("_begin", begin).withColumn("_next", following("_begin", 1))
     done = F.when(F.col("_flight") & (F.col("i") == F.col("_e")) & F.col("_next").isNotNull(), F.struct(F.col("i").alias("e"), F.col("_next.i").alias("s"), ((F.col("t") + F.col("_next.t")) / 2).alias("mid")))
     r = r.withColumn("_done", done).withColumn("_gap", F.last("_done", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
     may = (F.col("i") <= F.col("_gap.s")) & ((F.col("t") >= F.col("_gap.mid")) | (F.col("i") == F.col("_gap.s")))

@@ -19,6 +19,12 @@ def whole():
     return Window.partitionBy(TRACK)
 
 
+def following(c: Column | str, from_row: int = 0) -> Column:
+    """The first value of c that isn't null, from this row on or from the next (1): a running last in descending order, as a frame
+    that ends with the track would be gone through anew for each row."""
+    return F.last(c, ignorenulls=True).over(Window.partitionBy(TRACK).orderBy(*[F.desc_nulls_last(x) for x in ORDER]).rowsBetween(Window.unboundedPreceding, -from_row))
+
+
 def islands(df: DataFrame, flag: Column, name: str = "run") -> DataFrame:
     """Adds the running number of the maximal runs of rows with one value of flag."""
     w = ordered()
@@ -67,7 +73,7 @@ def filled(value: Column, at: str = "t") -> Column:
     w = ordered()
     known = F.when(value.isNotNull(), F.struct(F.col(at).alias("t"), value.alias("v")))
     a = F.last(known, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    b = F.first(known, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
+    b = following(known)
     span = b["t"] - a["t"]
     mid = a["v"] + (b["v"] - a["v"]) * (F.col(at) - a["t"]) / F.when(span == 0, 1.0).otherwise(span)
     return F.coalesce(value, F.when(a.isNotNull() & b.isNotNull(), mid), a["v"], b["v"], F.lit(0.0))
@@ -142,7 +148,7 @@ def bracketed(df: DataFrame, keep: Column) -> DataFrame:
     """Adds k0 and k1: the kept points around each row, from the row's own or the last before it to the next; of a track's last rows the last pair."""
     w = ordered()
     r = df.withColumn("_k", F.when(keep, F.struct("t", "seq", "x", "y")))
-    r = r.withColumn("_kn", F.first("_k", ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing)))
+    r = r.withColumn("_kn", following("_k", 1))
     r = r.withColumn("_kp", F.last("_k", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)))
     here = F.last("_k", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
     r = r.withColumn("k0", F.when(F.col("_kn").isNull() & F.col("_k").isNotNull(), F.col("_kp")).otherwise(here))
