@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import posixpath
+import re
 import tempfile
 import uuid
 
@@ -13,25 +14,45 @@ from pyspark.sql import functions as F
 def shared_dir(spark: SparkSession) -> str:
     """The folder named in spark.checkpoint.dir, which driver and executors share.
 
-    A local folder is made only where that setting is missing, as in single-machine tests.
+    A local folder is made only where that setting is missing and everything runs in one process, as in tests.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="contrail-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder."""
-    return posixpath.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    """A new path below the shared folder, in this application's own part of it."""
+    return posixpath.join(shared_dir(spark), f"contrail-{spark.sparkContext.applicationId}", f"{name}-{uuid.uuid4().hex}")
+
+
+#: Spark's own switch for dropping a statement's shuffle files when it has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a table in the shared folder: later reads don't depend on executors that are gone."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """df as a table in the shared folder: later reads don't depend on executors that are gone. Its shuffle files go when it is written."""
+    spark, path = df.sparkSession, scratch(df.sparkSession, name)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def dropped(*tables: DataFrame | None) -> None:
+    """Delete the files of written tables that nothing reads any more."""
+    for df in tables:
+        for file in df.inputFiles()[:1] if df is not None else ():
+            folder = df.sparkSession._jvm.org.apache.hadoop.fs.Path(file).getParent()
+            if f"contrail-{df.sparkSession.sparkContext.applicationId}" in folder.toString():
+                folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def ascii_lower(text: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import written
+from contrail.llm.common import dropped, written
 
 
 def _large(edges: DataFrame) -> DataFrame:
@@ -27,9 +27,11 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     edges with a null end are left out; no edges give no rows. The rounds end when the edges stay as they are."""
     x, y = F.col(a), F.col(b)
     edges = edges.where(x.isNotNull() & y.isNotNull() & (x != y)).select(F.greatest(x, y).alias("u"), F.least(x, y).alias("v")).distinct()
-    state = None
+    state = held = None
     while True:
         edges = written(_small(_large(edges)), "stars")
+        dropped(held)
+        held = edges
         now = edges.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))")).first()
         if tuple(now) == state or now[0] == 0:
             break

@@ -1,34 +1,142 @@
-"""Near-duplicates by the Jaccard similarity of their word shingles, all of them: 4/5 or more over five words.
+"""Near-duplicates by the Jaccard similarity of their word shingles, beyond the reach of SimHash's three bits.
 
-Shingles have one order for all texts, rarer ones first. Two sets of similarity 4/5 share one of their first
-n - ceil(4 n / 5) + 1 shingles, n being either's size, so these are a text's keys and no pair is missed. Which shingles are common is
-counted in a sample; that moves them to the end of the order and bears on the work alone, since any order will do.
-Pairs that share a key, and whose sizes and places of the key leave 4/5 possible, are verified on their whole texts.
+Texts of similarity 4/5 differ in about ten of 64 fingerprint bits, so Golay keys, which find three, settle the closest
+copies only. For the rest each text has keys of a second kind: the least of its shingles under `ROWS` orders, for BANDS sets
+of orders. Two texts of similarity s have a key in common but with probability (1 - s^ROWS)^BANDS: 3 in a million at 4/5.
+What shares a key is verified exactly: a text is held against one text of each key first, which joins nearly all of a group
+without its pairs; keys that still hold several groups take more and more of their texts as such, so nothing is left out.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import written
+from contrail.llm import simhash
+from contrail.llm.common import dropped, written
 from contrail.llm.graph import components
-from contrail.llm.simhash import LOWER, chosen
 
 SHINGLE = 5
-#: Texts whose shingles are counted, and how many common shingles the order knows: 16 bytes each.
-SAMPLE, MOST_COMMON = 50_000, 200_000
-#: Rounds in which members of a key are held against one of them, before pairs are made.
-ROUNDS = 3
+BANDS, ROWS = 32, 5
+#: Bytes of text that are sketched at a time; a longer text is a block of its own.
+BLOCK = 2 << 20
+#: Odd numbers: the base of the rolling hash, and its inverse modulo 2^64.
+BASE = 0x9E3779B97F4A7C15
+UNBASE = pow(BASE, -1, 1 << 64)
+ORDERS = np.random.default_rng(7).integers(1 << 63, size=BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: How many texts of a key the others are held against grows by this factor with each round.
+GROWTH = 4
+
+_POWERS: list[np.ndarray] = []
+
+
+def mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return h ^ (h >> np.uint64(32))
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of BASE and of its inverse, n at least."""
+    if not _POWERS or len(_POWERS[0]) < n:
+        size = max(n, BLOCK * 2)
+        _POWERS[:] = [np.cumprod(np.concatenate((np.ones(1, dtype=np.uint64), np.full(size, x, dtype=np.uint64))), dtype=np.uint64) for x in (BASE, UNBASE)]
+    return _POWERS[0], _POWERS[1]
+
+
+_LOWER = np.frombuffer(simhash.LOWER, dtype=np.uint8)
+_BLANK = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
+
+
+def rolled(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of the shingles of all texts in their order, repeats included; where each text's begin and end). Texts hold no null."""
+    ended = pc.binary_join_element_wise(texts.cast(pa.large_string()), pa.scalar("", pa.large_string()), pa.scalar("\n", pa.large_string()))
+    n = len(texts)
+    offsets = np.frombuffer(ended.buffers()[1], dtype=np.int64)[ended.offset : ended.offset + n + 1]
+    data = np.frombuffer(ended.buffers()[2], dtype=np.uint8)[offsets[0] : offsets[-1]]
+    blank = _BLANK[data]
+    before = np.concatenate(([True], blank[:-1]))
+    keep = ~(blank & before)  # one blank after each word
+    data = _LOWER[data[keep]]
+    space = blank[keep]
+    data[space] = 32
+    ends = np.flatnonzero(space)
+    starts = np.concatenate(([0], ends[:-1] + 1)) if len(ends) else ends
+    # words of each text: places of texts' ends among the kept bytes
+    kept_before = np.concatenate(([0], np.cumsum(keep)))
+    limits = np.searchsorted(starts, kept_before[offsets - offsets[0]])
+    first, last = limits[:-1], limits[1:] - 1
+    count = np.where(last >= first, np.maximum(last - first + 2 - width, 1), 0)
+    bounds = np.concatenate(([0], np.cumsum(count)))
+    at = np.repeat(first - bounds[:-1], count) + np.arange(bounds[-1])
+    upto = np.minimum(at + width - 1, np.repeat(last, count))
+    up, down = powers(len(data) + 1)
+    sums = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)])))
+    a, b = starts[at], ends[upto]
+    return mixed((sums[b] - sums[a]) * down[a] + (b - a).astype(np.uint64)), bounds
+
+
+def band_keys(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """A row of BANDS keys for each text; texts without shingles have keys of their own kind, all alike."""
+    some = np.flatnonzero(np.diff(bounds))
+    out = np.zeros((len(bounds) - 1, BANDS), dtype=np.uint64)
+    if len(some):
+        begin = bounds[:-1][some]
+        for band in range(BANDS):
+            key = np.full(len(some), band + 1, dtype=np.uint64)
+            for row in range(ROWS):
+                key = mixed(key * np.uint64(BASE) ^ np.minimum.reduceat(hashes * ORDERS[band * ROWS + row], begin))
+            out[some, band] = key
+    return out.view(np.int64)
+
+
+def fingerprints_of(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """SimHash of each text from the hashes of its shingles, repeats included; 0 for a text that has none."""
+    some = np.flatnonzero(np.diff(bounds))
+    out = np.zeros(len(bounds) - 1, dtype=np.int64)
+    if len(some):
+        begin, n = bounds[:-1][some], np.diff(bounds)[some]
+        fp = np.zeros(len(some), dtype=np.uint64)
+        for k in range(64):
+            ones = np.add.reduceat((hashes >> np.uint64(k) & np.uint64(1)).astype(np.int32), begin)
+            fp |= (2 * ones > n).astype(np.uint64) << np.uint64(k)
+        out[some] = fp.view(np.int64)
+    return out
+
+
+def blocks(texts: pa.Array):
+    """Slices of at most BLOCK bytes, or of one text."""
+    ends = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).cumsum()
+    row, n = 0, len(texts)
+    while row < n:
+        high = max(int(np.searchsorted(ends, (ends[row - 1] if row else 0) + BLOCK, side="right")), row + 1)
+        yield row, high
+        row = high
+
+
+def sketches(docs: DataFrame, text_col: str) -> DataFrame:
+    """(t, fp, bands) of each distinct text: its hash, its fingerprint and its band keys."""
+
+    def run(batches):
+        for batch in batches:
+            for a, b in blocks(batch.column(1)):
+                part = batch.slice(a, b - a)
+                hashes, bounds = rolled(pc.fill_null(part.column(1), ""), SHINGLE)
+                bands = pa.ListArray.from_arrays(np.arange(0, (b - a + 1) * BANDS, BANDS, dtype=np.int32), band_keys(hashes, bounds).ravel())
+                yield pa.record_batch({"t": part.column(0), "fp": fingerprints_of(hashes, bounds), "bands": bands})
+
+    each = docs.select(F.xxhash64(text_col).alias("t"), F.col(text_col).alias("text")).mapInArrow(run, "t long, fp long, bands array<long>")
+    return written(each.groupBy("t").agg(F.first("fp").alias("fp"), F.first("bands").alias("bands")), "sketches")
 
 
 def shingles(text: str | None, width: int = SHINGLE) -> np.ndarray:
     """The distinct shingles' hashes, ascending. A text of fewer words is one shingle; one without words has none."""
     from xxhash import xxh64_digest
 
-    words = (text or "").encode().translate(LOWER).split()
+    words = (text or "").encode().translate(simhash.LOWER).split()
     if not words:
         return np.zeros(0, dtype=np.int64)
     joined = b" ".join(words)
@@ -41,116 +149,90 @@ def shingles(text: str | None, width: int = SHINGLE) -> np.ndarray:
 
 def alike(a: np.ndarray, b: np.ndarray) -> bool:
     """4/5 or more; two texts without words are alike."""
+    if 5 * min(len(a), len(b)) < 4 * max(len(a), len(b)):
+        return False
     return 9 * len(np.intersect1d(a, b, assume_unique=True)) >= 4 * (len(a) + len(b))
 
 
-def common(docs: DataFrame, id_col: str, text_col: str) -> tuple[np.ndarray, np.ndarray]:
-    """(shingle, count), by shingle, of those in three texts or more of a sample, the most common ones only."""
-
-    def run(batches):
-        for batch in batches:
-            for part in (batch.slice(k, 1000) for k in range(0, batch.num_rows, 1000)):
-                yield pa.record_batch({"key": pa.array(np.concatenate([shingles(x.as_py()) for x in part.column(0)]))})
-
-    n = max(docs.count(), 1)
-    drawn = docs.where(F.pmod(F.xxhash64(docs[id_col].cast("long"), docs[text_col]), F.lit(1 << 30)) < int(min(SAMPLE / n, 1) * (1 << 30)))
-    counts = drawn.select(docs[text_col]).mapInArrow(run, "key long").groupBy("key").agg(F.count("*").alias("n")).where("n >= 3")
-    found = counts.orderBy(F.desc("n"), "key").limit(MOST_COMMON).toArrow()
-    keys, counts = found.column(0).to_numpy(), found.column(1).to_numpy()
-    by_key = np.argsort(keys)
-    return keys[by_key], counts[by_key]
-
-
-def prefix(found: np.ndarray, known: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """The first shingles in the order of all texts. 0 for a text that has none."""
-    keys, counts = known
-    if not len(found):
-        return np.zeros(1, dtype=np.int64)
-    if len(keys):
-        at = np.minimum(np.searchsorted(keys, found), len(keys) - 1)
-        found = found[np.lexsort((found, np.where(keys[at] == found, counts[at], 0)))]
-    return found[: len(found) - (4 * len(found) + 4) // 5 + 1]
-
-
-def _keyed(docs: DataFrame, text_col: str, known: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """(key, t, n, rest): t is the text's hash, n its number of shingles, rest how many follow the key."""
-    sent = docs.sparkSession.sparkContext.broadcast(known)
-
-    def run(batches):
-        for batch in batches:
-            for part in (batch.slice(k, 500) for k in range(0, batch.num_rows, 500)):
-                sets = [shingles(x.as_py()) for x in part.column(1)]
-                firsts = [prefix(s, sent.value) for s in sets]
-                m = [len(x) for x in firsts]
-                n = np.repeat([len(s) for s in sets], m).astype(np.int32)
-                place = np.concatenate([np.arange(x) for x in m]).astype(np.int32)
-                yield pa.record_batch({"key": pa.array(np.concatenate(firsts)), "t": pa.array(np.repeat(part.column(0).to_numpy(), m)), "n": pa.array(n), "rest": pa.array(n - place - 1)})
-
-    return docs.select(F.xxhash64(text_col).alias("t"), F.col(text_col).alias("text")).mapInArrow(run, "key long, t long, n int, rest int")
-
-
-def _possible(n, rest, m, rest_m):
-    """What the places of the first shingle that two texts share leave possible; this bounds their sizes too."""
-    return 9 * (F.least(rest, rest_m) + 1).cast("long") >= 4 * (n.cast("long") + m)
-
-
-def _verified(pairs: DataFrame, docs: DataFrame, text_col: str) -> DataFrame:
-    """The pairs (a, b) of texts that are alike. Texts of candidates only are moved."""
-    pairs = written(pairs.select("a", "b").distinct(), "pairs")
-    wanted = pairs.select(F.col("a").alias("t")).unionByName(pairs.select(F.col("b").alias("t"))).distinct()
-    texts = docs.select(F.xxhash64(text_col).alias("t"), F.coalesce(text_col, F.lit("")).alias("text"))
-    texts = written(texts.join(wanted, "t", "left_semi").groupBy("t").agg(F.first("text").alias("text")), "texts")
+def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) of texts that are alike."""
     both = pairs.join(texts.select(F.col("t").alias("a"), F.col("text").alias("x")), "a").join(texts.select(F.col("t").alias("b"), F.col("text").alias("y")), "b")
 
     def run(batches):
+        last, held = None, None
         for batch in batches:
             for part in (batch.slice(k, 1000) for k in range(0, batch.num_rows, 1000)):
-                last, held, same = None, None, []
-                for a, x, y in zip(part.column(0).to_pylist(), part.column(2), part.column(3)):
-                    if a != last:
-                        last, held = a, shingles(x.as_py())
-                    same.append(alike(held, shingles(y.as_py())))
-                at = np.flatnonzero(same)
-                yield pa.record_batch({"a": part.column(0).take(pa.array(at)), "b": part.column(1).take(pa.array(at))})
+                same = []
+                for b, x, y in zip(part.column(1).to_pylist(), part.column(2), part.column(3)):
+                    if b != last:
+                        last, held = b, shingles(y.as_py())
+                    same.append(alike(shingles(x.as_py()), held))
+                at = pa.array(np.flatnonzero(same))
+                yield pa.record_batch({"a": part.column(0).take(at), "b": part.column(1).take(at)})
 
     return written(both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "alike")
 
 
-def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(t, label) of the texts, as hashes, that have a link: label is one for all that links join.
-
-    In each of a few rounds the members of a key that aren't joined yet are held against one member, another one each
-    round; that joins nearly all of a group without its pairs. Only keys that still hold several components have
-    their pairs made, between components.
-    """
-    of_key = Window.partitionBy("key")
-    keyed = _keyed(docs, text_col, common(docs, id_col, text_col))
-    left = keyed.select("*", F.min("t").over(of_key).alias("lo"), F.max("t").over(of_key).alias("hi")).where("lo <> hi").select("key", "t", "n", "rest").distinct()
-    left = written(left.withColumn("label", F.col("t")), "keys")
-    edges = None
-    for k in range(ROUNDS + 1):
-        if k < ROUNDS:
-            one = F.min(F.struct(F.xxhash64("t", F.lit(k)).alias("h"), "t", "n", "rest", "label")).over(of_key)
-            tried = left.select("*", one.alias("o")).where((F.col("label") != F.col("o.label")) & _possible(F.col("n"), F.col("rest"), F.col("o.n"), F.col("o.rest")))
-            pairs = tried.select(F.col("o.t").alias("a"), F.col("t").alias("b"))
-        else:
-            x, y = left.alias("x"), left.alias("y")
-            near = (F.col("x.t") < F.col("y.t")) & (F.col("x.label") != F.col("y.label")) & _possible(F.col("x.n"), F.col("x.rest"), F.col("y.n"), F.col("y.rest"))
-            pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & near).select(F.col("x.t").alias("a"), F.col("y.t").alias("b"))
-        found = _verified(pairs, docs, text_col)
-        edges = found if edges is None else edges.unionByName(found)
-        labels = written(components(edges, "a", "b"), "labels").select(F.col("node").alias("t"), "label")
-        if k < ROUNDS:
-            now = left.drop("label").join(labels, "t", "left").withColumn("label", F.coalesce("label", "t"))
-            mixed = now.select("*", F.min("label").over(of_key).alias("lo"), F.max("label").over(of_key).alias("hi")).where("lo <> hi")
-            left = written(mixed.select("key", "t", "n", "rest", "label"), "mixed")
+def golay_pairs(sketched: DataFrame) -> DataFrame:
+    """(a, b): texts within three bits of the least text of one of their Golay keys, one pair for each fingerprint."""
+    fps = sketched.groupBy("fp").agg(F.min("t").alias("t"))
+    keyed = simhash.keyed(fps)
+    first = keyed.where("index").groupBy("key").agg(F.min("fp").alias("pivot"))
+    near = keyed.select("key", "fp").join(first, "key").where((F.col("fp") != F.col("pivot")) & (simhash.far("fp", "pivot") <= simhash.LIMIT))
+    near = near.groupBy("fp").agg(F.min("pivot").alias("pivot"))
+    pairs = near.join(fps, "fp").select(F.col("t").alias("a"), F.col("pivot").alias("fp")).join(fps, "fp").select("a", F.col("t").alias("b"))
+    same = sketched.select(F.col("t").alias("a"), "fp").join(fps, "fp").select("a", F.col("t").alias("b")).where("a <> b")
+    return pairs.unionByName(same)
+
+
+def linked(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """(t, label) of the texts, as hashes, that have a link: label is one for all that links join."""
+    sketched = sketches(docs, text_col)
+    keys = sketched.select("t", F.explode("bands").alias("key"))
+    shared = keys.groupBy("key").agg(F.min("t").alias("lo"), F.max("t").alias("hi")).where("lo <> hi").select("key")
+    members = written(keys.join(shared, "key").distinct(), "members")
+    tried = written(golay_pairs(sketched).distinct(), "pairs")
+    wanted = members.select("t").unionByName(tried.select(F.col("a").alias("t"))).unionByName(tried.select(F.col("b").alias("t"))).distinct()
+    each = docs.select(F.xxhash64(text_col).alias("t"), F.coalesce(text_col, F.lit("")).alias("text"))
+    texts = written(each.join(wanted, "t", "left_semi").groupBy("t").agg(F.first("text").alias("text")), "texts")
+    edges = verified(tried, texts)
+    left, n = members, 1
+    while True:
+        labels = written(components(edges), "labels").select(F.col("node").alias("t"), "label")
+        known = left.select("key", "t").join(labels, "t", "left").withColumn("label", F.coalesce("label", "t"))
+        chance = F.pmod(F.xxhash64("t", F.lit(n)), F.lit(1 << 40))
+        several = known.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n"), F.min(F.struct(chance.alias("h"), "t")).alias("first"))
+        several = several.where("lo <> hi").select("key", "n", F.col("first.t").alias("first"))
+        # the texts that the others of their key are held against
+        picked = (F.col("t") == F.col("first")) | (chance < F.lit(float(n << 40)) / F.col("n"))
+        now = written(known.join(several, "key").select("key", "t", "label", picked.alias("picked")), "mixed")
+        dropped(left)
+        if now.isEmpty():
+            break
+        x, y = now.alias("x"), now.where("picked").alias("y")
+        # of two picked texts of a key one is held against the other
+        once = (F.col("x.label") != F.col("y.label")) & (~F.col("x.picked") | (F.col("x.t") < F.col("y.t")))
+        pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & once).select(F.least("x.t", "y.t").alias("a"), F.greatest("x.t", "y.t").alias("b"), F.col("x.t").alias("member"))
+        if n == 1:  # most groups are joined by one pair for each text
+            pairs = pairs.groupBy("member").agg(F.min(F.struct("a", "b")).alias("p")).select("p.a", "p.b")
+        pairs = written(pairs.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
+        tried = tried.unionByName(pairs)
+        edges = edges.unionByName(verified(pairs, texts))
+        # a text that all others of its key were held against is done with that key
+        left = now if n == 1 else now.where("not picked")
+        n *= GROWTH
     return labels
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with one row of each component of near-duplicates: that of the least id (nulls last, then the least hash of the text)."""
-    labels = linked(docs, id_col, text_col)
+    """docs with one row of each component of near-duplicates: that of the least id (nulls last, then the least hash of the text).
+
+    Texts are linked if 4/5 or more of their distinct five-word shingles are common to both. Texts of fewer words are one shingle; null texts
+    and texts without words are alike. Repeated rows are copies; null ids are kept where a component has no other; other columns
+    stay as they are; no rows, no rows.
+    """
+    labels = linked(docs, text_col)
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), F.xxhash64(docs[text_col]).alias("t"))
     texts = rows.groupBy("t").agg(F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "t")).alias("least"))
     of = texts.join(labels, "t", "left").withColumn("label", F.coalesce("label", "t"))
-    return chosen(docs, of.groupBy("label").agg(F.min("least").alias("least")), id_col, text_col)
+    return simhash.chosen(docs, of.groupBy("label").agg(F.min("least").alias("least")), id_col, text_col)

@@ -124,7 +124,7 @@ def keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
-def _keyed(fps: DataFrame) -> DataFrame:
+def keyed(fps: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             for part in (batch.slice(k, 2000) for k in range(0, batch.num_rows, 2000)):
@@ -135,7 +135,7 @@ def _keyed(fps: DataFrame) -> DataFrame:
     return fps.select("fp").mapInArrow(run, "key long, fp long, index boolean")
 
 
-def _far(a: str, b: str):
+def far(a: str, b: str):
     return F.bit_count(F.col(a).bitwiseXOR(F.col(b)))
 
 
@@ -146,17 +146,17 @@ def linked(fps: DataFrame) -> DataFrame:
     its pairs. Only keys that still hold several components have their pairs made, between components.
     """
     of_key = Window.partitionBy("key")
-    shared = _keyed(fps).select(
+    shared = keyed(fps).select(
         "*", F.min(F.when(F.col("index"), F.col("fp"))).over(of_key).alias("pivot"), F.min("fp").over(of_key).alias("lo"), F.max("fp").over(of_key).alias("hi")
     )
     shared = written(shared.where("pivot is not null and lo <> hi").select("key", "fp", "index", "pivot"), "keys")
-    first = components(shared.where((F.col("fp") != F.col("pivot")) & (_far("fp", "pivot") <= LIMIT)), "fp", "pivot")
+    first = components(shared.where((F.col("fp") != F.col("pivot")) & (far("fp", "pivot") <= LIMIT)), "fp", "pivot")
     labels = written(first, "labels")
     known = shared.select("key", "fp", "index").join(labels.withColumnRenamed("node", "fp"), "fp", "left").withColumn("label", F.coalesce("label", "fp"))
     mixed = known.select("*", F.min("label").over(of_key).alias("lo"), F.max("label").over(of_key).alias("hi")).where("lo <> hi")
     mixed = written(mixed.select("key", "fp", "index", "label"), "mixed")
     x, y = mixed.where("index").alias("x"), mixed.alias("y")
-    pairs = x.join(y, F.col("x.key") == F.col("y.key")).where((F.col("x.label") != F.col("y.label")) & (_far("x.fp", "y.fp") <= LIMIT))
+    pairs = x.join(y, F.col("x.key") == F.col("y.key")).where((F.col("x.label") != F.col("y.label")) & (far("x.fp", "y.fp") <= LIMIT))
     second = written(components(pairs.select(F.col("x.label").alias("a"), F.col("y.label").alias("b"))), "joined")
     # labels of the second round are over those of the first, or over fingerprints that had no link before
     one = labels.select(F.col("node").alias("fp"), F.col("label").alias("l")).join(second.withColumnRenamed("node", "l"), "l", "left").select("fp", F.coalesce("label", "l").alias("label"))

@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -51,15 +53,37 @@ def near_copies():
     return list(enumerate(rows))
 
 
-@pytest.mark.parametrize("sample,rounds", [(50_000, 3), (20, 1), (0, 0)])
-def test_stage_finds_every_near_copy(spark, near_copies, monkeypatch, sample, rounds):
-    monkeypatch.setattr(jaccard, "SAMPLE", sample)
-    monkeypatch.setattr(jaccard, "ROUNDS", rounds)
+@pytest.mark.parametrize("growth,block", [(4, 2 << 20), (2, 300)])
+def test_stage_finds_every_near_copy(spark, near_copies, monkeypatch, growth, block):
+    monkeypatch.setattr(jaccard, "GROWTH", growth)
+    monkeypatch.setattr(jaccard, "BLOCK", block)
     docs = spark.createDataFrame(near_copies, "doc_id long, text string").repartition(3)
     got = [r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()]
     assert sorted(got) == sorted(least_of_groups(near_copies))
 
 
+def test_rolled_shingles_are_those_of_the_words(near_copies):
+    texts = [t or "" for _, t in near_copies]
+    hashes, bounds = jaccard.rolled(pa.array(texts), 5)
+    of = {}
+    for text, found in zip(texts, np.split(hashes, bounds[1:-1])):
+        words = text.lower().split()
+        want = [" ".join(words[i : i + 5]) for i in range(max(len(words) - 4, 1))] if words else []
+        assert len(want) == len(found) and all(of.setdefault(w, h) == h for w, h in zip(want, found.tolist()))
+    assert len(set(of.values())) == len(of)
+
+
+def test_band_keys_reach_four_fifths():
+    rng = np.random.default_rng(2)
+    found = 0
+    for _ in range(200):
+        common = rng.integers(1 << 63, size=80, dtype=np.uint64)
+        a, b = (np.concatenate((common, rng.integers(1 << 63, size=10, dtype=np.uint64))) for _ in range(2))
+        keys = jaccard.band_keys(np.concatenate((a, b)), np.array([0, 90, 180]))
+        found += (keys[0] == keys[1]).any()
+    assert found == 200
+
+
 def test_keep_one_odd_rows(odd_docs, odd_rows, no_docs):
     got = jaccard.keep_one(odd_docs)
     assert got.columns == odd_docs.columns and {r.doc_id for r in got.collect()} == least_of_groups([(r[0], r[1]) for r in odd_rows])
