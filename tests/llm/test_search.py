@@ -172,6 +172,44 @@ def test_op10(spark, sf_dir):
     assert all(math.isclose(s, known[q][i], abs_tol=1e-12) for q in known for s, i in got[q])
 
 
+@pytest.mark.parametrize("n", [2_000, 20_000])
+def test_few_vectors_are_verified(n):
+    """Less than a tenth of a block for each query, with 0.9 of the true neighbours and more, on vectors without any clusters and with some."""
+    rng = np.random.default_rng(4)
+    vectors = rng.normal(size=(n, 64))
+    vectors[: n // 10] = vectors[0] + rng.normal(size=(n // 10, 64)) * 0.4
+    asked = np.arange(0, n, n // 50)
+    hits = verified = 0
+    for a in range(0, n, ann.BLOCK):
+        block = ann.Block(np.arange(a, min(a + ann.BLOCK, n)), vectors[a : a + ann.BLOCK], 128, 11)
+        units = block.units
+        for q, near, _ in block.search(ann.Vectors(asked, vectors[asked]), 5):
+            cos = units @ (vectors[q] / np.linalg.norm(vectors[q]))
+            cos[block.ids == q] = -2
+            hits += len(set(near) & set(block.ids[np.argsort(-cos)[:5]]))
+        verified += block.verified
+    blocks = -(-n // ann.BLOCK)
+    assert hits >= 0.9 * 5 * len(asked) * blocks and verified < 0.1 * n * len(asked)
+
+
+def test_blocks_and_slices_meet(spark, monkeypatch):
+    monkeypatch.setattr(ann, "QUERIES", 3)
+    rng = np.random.default_rng(1)
+    rows = [(k, rng.normal(size=8).tolist()) for k in range(600)] + [(7, rng.normal(size=8).tolist()), *[(8, [1.0] * 8)] * 50]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    got = defaultdict(list)
+    for r in ann.nearest(df, F.col("vec_id") % 50 == 0, block=100).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.vec_id, r.score))
+    want = {}
+    for q, near in exact(rows, 10**6).items():
+        best = {}
+        for s, i in near:
+            best.setdefault(i, s)
+        want[q] = sorted(best.items(), key=lambda p: (-p[1], p[0]))[:5]
+    assert set(got) == set(want)
+    assert sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want) >= 0.9 * 5 * len(want)
+
+
 def test_search_odd_vectors(spark):
     rng = np.random.default_rng(0)
     rows = [(k, rng.normal(size=4).tolist()) for k in range(1, 40)] + [(50, [1.0, 2.0, 3.0, 4.0]), (100, [1.0, 2.0, 3.0, 4.0]), (61, [2.0, 4.0, 6.0, 8.0]), (62, [1.0, 2.0, 3.0, 4.0])]
