@@ -6,28 +6,25 @@ meet there wherever they stand. Only anchors that two documents have can matter;
 count as one: all but that of the least document are settled, already in the batch they are read with where it is there too.
 The first of each kind are sent where an anchor has several kinds: each shard sorts their suffixes by induced sorting; suffixes
 with a common prefix of `length` bytes are neighbours in that order, and the least document among them says what goes.
-Anchors of very many kinds are split further by what their strings have in common.
+The strings of anchors of very many kinds are counted by their own hashes instead, so no shard grows with a phrase that stands everywhere.
 """
 
 from __future__ import annotations
 
-import gc
-import time
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from contrail.llm.common import written
-from contrail.llm.suffix_array import repeats_before, suffix_array
+from contrail.llm.common import dropped, written
+from contrail.llm.suffix_array import permuted_prefixes, suffix_array
 
 ANCHOR = 16
 #: Strings that are handled at a time; places within fit into PLACE bits.
 BLOCK, PLACE = 1 << 20, np.uint64((1 << 21) - 1)
-#: Anchors of more kinds of stretches are split by parts of RANGE places of the anchor in the string.
-HOT, RANGE = 5_000, 7
+#: Of anchors of more kinds of stretches each string goes by its own hash.
+HOT = 1_000
 #: Bytes of one shard's suffix array.
 SHARD = 1 << 20
 #: Odd multipliers of the hash.
@@ -83,15 +80,6 @@ def stretches(data: bytes, length: int):
         yield at + first, at + last, at + anchor, h[anchor].view(np.int64), whole.view(np.int64)
 
 
-def release(spark: SparkSession) -> None:
-    """Let go of the shuffle files of phases that are over and written. Spark drops them some time after the driver has collected
-    their handles, which takes a second round: the first only frees what Python holds of them."""
-    for _ in range(2):
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(1)
-
-
 def shared_anchors(docs: DataFrame, length: int) -> DataFrame:
     """(doc_id, settled, open, hot): whole hashes of each document's stretches that matter. settled: a document of a smaller id has the
     same stretch; open: the first of its kind, of an anchor with several kinds; hot: those of the open ones whose anchor has very many."""
@@ -111,65 +99,77 @@ def shared_anchors(docs: DataFrame, length: int) -> DataFrame:
                 h, w, d = np.concatenate(found), np.concatenate(whole), np.concatenate(of)
                 by = np.lexsort((d, w))
                 h, w, d = h[by], w[by], d[by]
-                kind = np.flatnonzero(np.concatenate(([True], w[1:] != w[:-1])))
-                later = d > np.repeat(d[kind], np.diff(np.append(kind, len(d))))
-                # what a document read with it settles needs no partner: it is dealt out evenly
-                key = np.where(later, (d.view(np.uint64) * MIX_A ^ w.view(np.uint64)).view(np.int64), h)
-                yield pa.record_batch({"h": key, "whole": w, "doc_id": d, "later": pa.array(later)})
+                new = np.concatenate(([True], w[1:] != w[:-1]))
+                kind = np.flatnonzero(new)
+                least = np.repeat(d[kind], np.diff(np.append(kind, len(d))))
+                # what a document read with it settles needs no partner: a row for each document, dealt out evenly
+                later = np.flatnonzero(d > least)
+                later = later[np.argsort(d[later], kind="stable")]
+                cut = np.flatnonzero(np.concatenate(([True], d[later][1:] != d[later][:-1]))) if len(later) else later
+                whose = d[later][cut]
+                known = pa.ListArray.from_arrays(np.append(cut, len(later)).astype(np.int32), w[later])
+                first = np.flatnonzero(new | (d == least) & np.append(False, d[1:] != d[:-1]))
+                none = pa.nulls(len(first), pa.list_(pa.int64()))
+                yield pa.record_batch({"h": h[first], "whole": w[first], "doc_id": d[first], "known": none})
+                yield pa.record_batch({"h": hashes(whose.tobytes(), 8)[::8].view(np.int64) if len(whose) else whose, "whole": pa.nulls(len(whose), pa.int64()), "doc_id": whose, "known": known})
 
-    own = F.when(~F.col("later"), F.col("doc_id"))
     w, same = Window.partitionBy("h"), Window.partitionBy("h", "whole")
-    found = docs.select("doc_id", "text").mapInArrow(run, "h long, whole long, doc_id long, later boolean")
-    found = found.select("doc_id", "h", "whole", "later", F.min(own).over(w).alias("lo"), F.max(own).over(w).alias("hi"), F.min("whole").over(w).alias("first"), F.max("whole").over(w).alias("last"))
-    found = found.where("later or lo <> hi").withColumn("least", F.min(own).over(same))
-    settled = F.col("later") | (F.col("least") < F.col("doc_id"))
-    found = found.select("doc_id", "h", "whole", settled.alias("settled"), (F.col("first") != F.col("last")).alias("several")).where("settled or several")
-    found = found.withColumn("n", F.sum(F.when(~F.col("settled"), 1).otherwise(0)).over(w))
-    lists = {"settled": F.col("settled"), "open": ~F.col("settled"), "hot": ~F.col("settled") & (F.col("n") > HOT)}
-    return found.groupBy("doc_id").agg(*[F.collect_set(F.when(c, F.col("whole"))).alias(n) for n, c in lists.items()])
+    own = F.when(F.col("whole").isNotNull(), F.col("doc_id"))
+    found = docs.select("doc_id", "text").mapInArrow(run, "h long, whole long, doc_id long, known array<long>")
+    found = found.select("doc_id", "h", "whole", "known", F.min(own).over(w).alias("lo"), F.max(own).over(w).alias("hi"), F.min("whole").over(w).alias("first"), F.max("whole").over(w).alias("last"))
+    found = found.where("known is not null or lo <> hi").withColumn("least", F.min(own).over(same))
+    settled = F.col("whole").isNotNull() & (F.col("least") < F.col("doc_id"))
+    found = found.select("doc_id", "h", "whole", "known", settled.alias("settled"), (F.col("first") != F.col("last")).alias("several")).where("known is not null or settled or several")
+    found = found.withColumn("n", F.sum(F.when(F.col("whole").isNotNull() & ~F.col("settled"), 1).otherwise(0)).over(w))
+    open_ = F.col("whole").isNotNull() & ~F.col("settled")
+    lists = {"settled": F.col("settled"), "open": open_ & (F.col("n") <= HOT), "hot": open_ & (F.col("n") > HOT)}
+    grouped = found.groupBy("doc_id").agg(F.flatten(F.collect_list("known")).alias("known"), *[F.collect_set(F.when(c, F.col("whole"))).alias(n) for n, c in lists.items()])
+    return grouped.select("doc_id", F.concat("known", "settled").alias("settled"), "open", "hot")
 
 
 def shared_stretches(docs: DataFrame, anchors: DataFrame, length: int) -> DataFrame:
-    """(doc_id, t, at, key, part) of every open stretch: its place and bytes; and one row for each document with settled ones: at and key are
-    null, starts and ends are the places [start, end) of their strings."""
+    """(doc_id, t, at, key, part) of every open stretch: its place and bytes; strings has the hashes of a hot one's strings instead of
+    bytes; and one row for each document with settled ones: at and key are null, starts and ends are the places [start, end) of their strings."""
 
     def run(batches):
-        from xxhash import xxh64_intdigest
-
         for batch in batches:
             for piece in (batch.slice(k, 500) for k in range(0, batch.num_rows, 500)):
                 rows: list[tuple] = []
                 columns = (piece.column(0).to_pylist(), piece.column(1).to_pylist(), *[piece.column(k) for k in range(2, 6)])
                 for doc_id, t, text, settled, wanted, hot in zip(*columns):
-                    data = text.as_py().encode()
-                    settled, wanted, hot = settled.values.to_numpy(), wanted.values.to_numpy(), set(hot.as_py())
+                    data = (text.as_py() or "").encode()
+                    settled, wanted, hot = settled.values.to_numpy(), wanted.values.to_numpy(), hot.values.to_numpy()
                     starts, ends = [], []
                     for first, last, anchor, h, whole in stretches(data, length):
                         known = np.isin(whole, settled)
                         starts.append(first[known])
                         ends.append(last[known] + 1)
-                        for k in np.flatnonzero(np.isin(whole, wanted)).tolist():
-                            a, b, p, key = int(first[k]), int(last[k]), int(anchor[k]), int(h[k])
-                            if int(whole[k]) not in hot:
-                                rows.append((doc_id, t, a, key, data[a : b + length], None, None))
-                                continue
-                            for low in range(0, length - ANCHOR + 1, RANGE):
-                                # strings in which the anchor's place is from low to high share the bytes in between
-                                high = min(low + RANGE, length - ANCHOR + 1) - 1
-                                x, y = max(a, p - high), min(b, p - low)
-                                if x <= y:
-                                    core = xxh64_intdigest(data[p - low : p - high + length], (key + low) & (1 << 64) - 1)
-                                    rows.append((doc_id, t, x, core - (1 << 63), data[x : y + length], None, None))
+                        for k in np.flatnonzero(np.isin(whole, wanted)).tolist() if len(wanted) else ():
+                            a, b = int(first[k]), int(last[k])
+                            rows.append((doc_id, t, a, int(h[k]), data[a : b + length], None, None, None))
+                        for k in np.flatnonzero(np.isin(whole, hot)).tolist() if len(hot) else ():
+                            at = np.arange(first[k], last[k] + 1)
+                            rows.append((doc_id, t, int(first[k]), None, None, window_hashes(data, at, length).view(np.int64), None, None))
                     if sum(map(len, starts)):
-                        rows.append((doc_id, t, None, None, None, np.concatenate(starts), np.concatenate(ends)))
+                        rows.append((doc_id, t, None, None, None, None, np.concatenate(starts), np.concatenate(ends)))
                 if rows:
                     yield pa.record_batch([pa.array(x, k) for x, k in zip(zip(*rows), STRETCH.types)], schema=STRETCH)
 
     joined = docs.join(anchors, "doc_id").select("doc_id", "t", "text", "settled", "open", "hot")
-    return joined.mapInArrow(run, "doc_id long, t long, at int, key long, part binary, starts array<int>, ends array<int>")
+    return joined.mapInArrow(run, "doc_id long, t long, at int, key long, part binary, strings array<long>, starts array<int>, ends array<int>")
+
+
+STRETCH = pa.schema([("doc_id", pa.int64()), ("t", pa.int64()), ("at", pa.int32()), ("key", pa.int64()), ("part", pa.binary()), ("strings", pa.list_(pa.int64())), ("starts", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32()))])
+
+
+def counted(stretches: DataFrame) -> DataFrame:
+    """(doc_id, t, a, b): places [a, b) of the strings of hot stretches that one of a document of a smaller id has too, by the strings' hashes."""
+    each = stretches.where("strings is not null").select("doc_id", "t", "at", F.posexplode("strings").alias("k", "string"))
+    least = each.groupBy("string").agg(F.min("doc_id").alias("least"))
+    gone = each.join(least, "string").where(F.col("doc_id") > F.col("least"))
+    return gone.select("doc_id", "t", (F.col("at") + F.col("k")).alias("a"), (F.col("at") + F.col("k") + 1).alias("b"))
 
 
-STRETCH = pa.schema([("doc_id", pa.int64()), ("t", pa.int64()), ("at", pa.int32()), ("key", pa.int64()), ("part", pa.binary()), ("starts", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32()))])
 def shard_runs(parts: list[bytes], ids: np.ndarray, length: int):
     """For each part the runs of its strings' places [start, end) with the least document that has them: (starts, ends, ids) lists."""
     sizes = np.array([len(x) for x in parts])
@@ -179,8 +179,8 @@ def shard_runs(parts: list[bytes], ids: np.ndarray, length: int):
     inside[starts + sizes] = inside[-1] = False
     text[inside] = np.frombuffer(b"".join(parts), dtype=np.uint8).astype(np.uint16) + 1
     text[-1] = 0
-    order = suffix_array(text, length)
-    joined = repeats_before(text, order, length)
+    order = suffix_array(text)
+    joined = permuted_prefixes(text, order, length) >= length
     owner = np.repeat(np.arange(len(parts)), sizes + 1)
     place = np.arange(len(owner)) - starts[owner]
     whole = place + length <= sizes[owner]
@@ -236,15 +236,15 @@ def repeated(parts: DataFrame, length: int) -> DataFrame:
 
 def removable(docs: DataFrame, length: int) -> DataFrame:
     """(doc_id, t, a, b): places [a, b) of strings that a document of a smaller id has."""
-    spark = docs.sparkSession
     anchors = written(shared_anchors(docs.where("doc_id is not null"), length), "anchors")
-    release(spark)
     found = written(shared_stretches(docs, anchors, length), "stretches")
-    release(spark)
-    each = repeated(found.where("key is not null"), length).select("doc_id", "t", F.array("a").alias("a"), F.array("b").alias("b"))
-    settled = found.where("key is null").select("doc_id", "t", F.col("starts").alias("a"), F.col("ends").alias("b"))
+    dropped(anchors)
+    each = repeated(found.where("key is not null"), length).unionByName(counted(found)).select("doc_id", "t", F.array("a").alias("a"), F.array("b").alias("b"))
+    settled = found.where("starts is not null").select("doc_id", "t", F.col("starts").alias("a"), F.col("ends").alias("b"))
     lists = each.unionByName(settled).groupBy("doc_id", "t").agg(F.collect_list(F.struct("a", "b")).alias("found"))
-    return lists.select("doc_id", "t", F.flatten("found.a").alias("a"), F.flatten("found.b").alias("b"))
+    lists = written(lists.select("doc_id", "t", F.flatten("found.a").alias("a"), F.flatten("found.b").alias("b")), "places")
+    dropped(found)
+    return lists
 
 
 def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

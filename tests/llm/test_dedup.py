@@ -12,12 +12,32 @@ from contrail.llm import graph, line_dedup, queries, simhash, suffix_array, suff
 from tests.compare import connect, same
 
 
+@pytest.mark.parametrize("short", [0, 1 << 17])
 @given(st.lists(st.integers(1, 4), min_size=1, max_size=120))
 @settings(max_examples=200, deadline=None)
-def test_suffix_array(values):
-    text = np.array([*values, 0], dtype=np.uint16)
-    order = suffix_array.suffix_array(text, len(text))
-    assert order.tolist() == sorted(range(len(text)), key=lambda i: text[i:].tolist())
+def test_suffix_array(short, values):
+    suffix_array.SHORT, before = short, suffix_array.SHORT
+    try:
+        text = np.array([*values, 0], dtype=np.uint16)
+        order = suffix_array.suffix_array(text)
+        assert order.tolist() == sorted(range(len(text)), key=lambda i: text[i:].tolist())
+        prefixes = suffix_array.permuted_prefixes(text, order, 9)
+        for a, b in zip(order.tolist(), order[1:].tolist()):
+            assert prefixes[b] == next((k for k in range(9) if text[a + k] != text[b + k]), 9)
+    finally:
+        suffix_array.SHORT = before
+
+
+@pytest.mark.parametrize("names", [300, 70_000])
+def test_suffix_array_of_many_letters(names):
+    """Buckets of one and of many, over several levels."""
+    rng = np.random.default_rng(names)
+    text = np.append(np.tile(rng.integers(1, names, 3_000), 5), 0).astype(np.int32)
+    order = suffix_array.suffix_array(text)
+    follow = np.empty(len(text), dtype=np.int64)
+    follow[order] = np.arange(len(text))
+    pairs = list(zip(text[order[1:]].tolist(), follow[(order[1:] + 1) % len(text)].tolist()))
+    assert pairs == sorted(pairs) and sorted(order.tolist()) == list(range(len(text))) and order[0] == len(text) - 1
 
 
 def removed(rows, length=50):
@@ -46,7 +66,7 @@ def test_op3(spark, sf_dir):
     assert Counter(map(tuple, queries.op3_suffix_dedup(spark, sf_dir).collect())) == removed([tuple(r) for r in docs])
 
 
-@pytest.mark.parametrize("hot,block,shard", [(5_000, 1 << 20, 1 << 20), (2, 300, 200)])
+@pytest.mark.parametrize("hot,block,shard", [(1_000, 1 << 20, 1 << 20), (2, 300, 200)])
 def test_suffix_dedup_odd_rows(odd_docs, odd_rows, no_docs, monkeypatch, hot, block, shard):
     for name, value in (("HOT", hot), ("BLOCK", block), ("SHARD", shard)):
         monkeypatch.setattr(suffix_dedup, name, value)
@@ -56,6 +76,16 @@ def test_suffix_dedup_odd_rows(odd_docs, odd_rows, no_docs, monkeypatch, hot, bl
     assert suffix_dedup.remove_repeats(no_docs).count() == 0
 
 
+@pytest.mark.parametrize("hot", [1_000, 1])
+def test_one_id_with_null_empty_and_repeated_text(spark, monkeypatch, hot):
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    rng = random.Random(8)
+    text = "".join(rng.choices("abcdef ", k=300))
+    docs = [(1, text), (2, text + " tail"), (2, None), (2, ""), (2, text), (2, text), (None, text), (None, None), (3, "x" + text[40:200] + "y" + text[100:]), (4, text[:120] + "z" + text[60:])]
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()
+    assert Counter((r.doc_id, r.n_bytes, r.n_bytes - len(r.kept), len(r.spans), hashlib.sha256(r.kept).hexdigest()) for r in got) == removed(docs)
+
+
 def test_one_letter_many_times(spark):
     docs = [(k, "a" * (40 + 10 * k) + ("b" if k % 2 else "")) for k in range(8)]
     got = suffix_dedup.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string")).collect()
