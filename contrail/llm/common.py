@@ -30,6 +30,16 @@ def scratch(spark: SparkSession, name: str) -> str:
     return posixpath.join(shared_dir(spark), f"contrail-{spark.sparkContext.applicationId}", f"{name}-{uuid.uuid4().hex}")
 
 
+#: Most bytes of one Arrow batch for a Python worker; by rows alone a batch of long texts has no bound.
+BATCH_BYTES = 8 << 20
+
+
+def bounded(df: DataFrame) -> DataFrame:
+    """df, whose session from now on sends Python workers batches of at most BATCH_BYTES, or one row."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df
+
+
 #: Spark's own switch for dropping a statement's shuffle files when it has ended.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import numpy as np
 
+#: Most of the order that is taken at a time.
+STRETCH = 1 << 16
 #: Strings of names up to this length are sorted by pairs of ranks, where scans of whole arrays gain nothing.
 SHORT = 1 << 17
 
@@ -36,7 +38,7 @@ def _scan(order: np.ndarray, text: np.ndarray, right_kind: np.ndarray, cursor: n
         before = held[at] - 1
         fits = right_kind[before].nonzero()[0]
         if not len(fits):
-            i, size = j, size * 2
+            i, size = j, min(size * 2, STRETCH)
             continue
         at, before = at[fits], before[fits]
         chars = text[before]
@@ -58,7 +60,7 @@ def _scan(order: np.ndarray, text: np.ndarray, right_kind: np.ndarray, cursor: n
             size = max((first - i) * 3 // 2, 64)
             i = first
         else:
-            i, size = j, size * 2
+            i, size = j, min(size * 2, STRETCH)
         order[target] = before[by]
         cursor[ranked] = target + 1  # the last of a bucket counts
 

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from contrail.llm.common import dropped, written
+from contrail.llm.common import bounded, dropped, written
 from contrail.llm.suffix_array import permuted_prefixes, suffix_array
 
 ANCHOR = 16
@@ -65,19 +65,61 @@ def window_hashes(data: bytes, at: np.ndarray, n: int) -> np.ndarray:
     return h
 
 
-def stretches(data: bytes, length: int):
-    """(first, last, anchor, hash, whole) arrays for blocks of a document: strings that start at first to last share the anchor at that
+def blocks(texts: list[bytes], length: int):
+    """(data, ends, docs, starts): runs of whole texts, or parts of a long one that overlap by a string less a byte. ends are the ends in data,
+    docs which of texts they are, starts what to take from a place in data for the place in the text."""
+    run: list[int] = []
+    size = 0
+
+    def joined():
+        ends = np.cumsum([len(texts[d]) for d in run])
+        return b"".join([texts[d] for d in run]), ends, np.array(run), np.concatenate(([0], ends[:-1]))
+
+    for d, text in enumerate(texts):
+        if len(text) < length:
+            continue
+        if len(text) > BLOCK:
+            for at in range(0, len(text) - length + 1, BLOCK):
+                part = text[at : at + BLOCK + length - 1]
+                yield part, np.array([len(part)]), np.array([d]), np.array([-at])
+            continue
+        if size + len(text) > BLOCK:
+            yield joined()
+            run, size = [], 0
+        run.append(d)
+        size += len(text)
+    if run:
+        yield joined()
+
+
+def stretches(data: bytes, ends: np.ndarray, length: int):
+    """(first, last, anchor, hash, whole, k) arrays: strings of the k-th text that start at first to last in data share the anchor at that
     place; whole is a hash of all bytes of the stretch and of the anchor's place in it. A stretch is shorter than two strings."""
-    for at in range(0, max(len(data) - length + 1, 0), BLOCK):
-        block = data[at : at + BLOCK + length - 1]
-        h = hashes(block, ANCHOR)
-        m = least(h & ~PLACE | np.arange(len(h), dtype=np.uint64), length - ANCHOR + 1)
-        first = np.flatnonzero(np.concatenate(([True], m[1:] != m[:-1])))
-        last = np.append(first[1:], len(m)) - 1
-        anchor = (m[first] & PLACE).astype(np.int64)
-        whole = window_hashes(block, first, length) * MIX_A ^ window_hashes(block, last, length)
-        whole ^= ((last - first) << 8 | anchor - first).astype(np.uint64) * MIX_B
-        yield at + first, at + last, at + anchor, h[anchor].view(np.int64), whole.view(np.int64)
+    h = hashes(data, ANCHOR)
+    m = least(h & ~PLACE | np.arange(len(h), dtype=np.uint64), length - ANCHOR + 1)
+    crosses = np.zeros(len(m) + 2, dtype=bool)  # strings over a text's end, and what stands before the first and after the last
+    crosses[[0, -1]] = True
+    for k in range(1, length):
+        at = ends - k + 1
+        crosses[at[at <= len(m)]] = True
+    differs = np.concatenate(([True], m[1:] != m[:-1], [True]))
+    inside = ~crosses[1:-1]
+    first = np.flatnonzero(inside & (crosses[:-2] | differs[:-1]))
+    last = np.flatnonzero(inside & (crosses[2:] | differs[1:]))
+    anchor = (m[first] & PLACE).astype(np.int64)
+    whole = window_hashes(data, first, length) * MIX_A ^ window_hashes(data, last, length)
+    whole ^= ((last - first) << 8 | anchor - first).astype(np.uint64) * MIX_B
+    return first, last, anchor, h[anchor].view(np.int64), whole.view(np.int64), np.searchsorted(ends, first, side="right")
+
+
+def with_text(whole: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """One number for a hash and the text it belongs to."""
+    return whole.view(np.uint64) ^ (k.astype(np.uint64) + np.uint64(1)) * MIX_B
+
+
+def as_bytes(texts: pa.Array) -> list[bytes]:
+    """Texts as UTF-8; null texts are empty."""
+    return pc.fill_null(texts.cast(pa.binary()), b"").to_pylist()
 
 
 def shared_anchors(docs: DataFrame, length: int) -> DataFrame:
@@ -88,13 +130,13 @@ def shared_anchors(docs: DataFrame, length: int) -> DataFrame:
         for batch in batches:
             for part in (batch.slice(k, 2000) for k in range(0, batch.num_rows, 2000)):
                 found, whole, of = [], [], []
-                for doc_id, text in zip(part.column(0).to_pylist(), part.column(1)):
-                    data = (text.as_py() or "").encode()
-                    for *_, h, w in stretches(data, length):
-                        found.append(h)
-                        whole.append(w)
-                        of.append(np.full(len(h), doc_id, dtype=np.int64))
-                if not found:
+                ids = part.column(0).to_numpy()
+                for data, ends, docs_, _ in blocks(as_bytes(part.column(1)), length):
+                    *_, h, w, k = stretches(data, ends, length)
+                    found.append(h)
+                    whole.append(w)
+                    of.append(ids[docs_[k]])
+                if not sum(map(len, found)):
                     continue
                 h, w, d = np.concatenate(found), np.concatenate(whole), np.concatenate(of)
                 by = np.lexsort((d, w))
@@ -135,23 +177,30 @@ def shared_stretches(docs: DataFrame, anchors: DataFrame, length: int) -> DataFr
         for batch in batches:
             for piece in (batch.slice(k, 500) for k in range(0, batch.num_rows, 500)):
                 rows: list[tuple] = []
-                columns = (piece.column(0).to_pylist(), piece.column(1).to_pylist(), *[piece.column(k) for k in range(2, 6)])
-                for doc_id, t, text, settled, wanted, hot in zip(*columns):
-                    data = (text.as_py() or "").encode()
-                    settled, wanted, hot = settled.values.to_numpy(), wanted.values.to_numpy(), hot.values.to_numpy()
-                    starts, ends = [], []
-                    for first, last, anchor, h, whole in stretches(data, length):
-                        known = np.isin(whole, settled)
-                        starts.append(first[known])
-                        ends.append(last[known] + 1)
-                        for k in np.flatnonzero(np.isin(whole, wanted)).tolist() if len(wanted) else ():
-                            a, b = int(first[k]), int(last[k])
-                            rows.append((doc_id, t, a, int(h[k]), data[a : b + length], None, None, None))
-                        for k in np.flatnonzero(np.isin(whole, hot)).tolist() if len(hot) else ():
-                            at = np.arange(first[k], last[k] + 1)
-                            rows.append((doc_id, t, int(first[k]), None, None, window_hashes(data, at, length).view(np.int64), None, None))
-                    if sum(map(len, starts)):
-                        rows.append((doc_id, t, None, None, None, None, np.concatenate(starts), np.concatenate(ends)))
+                ids, hashes_ = piece.column(0).to_pylist(), piece.column(1).to_pylist()
+                lists = []
+                for column in (piece.column(n) for n in (3, 4, 5)):
+                    ends = np.asarray(column.offsets)
+                    lists.append((column.values.to_numpy()[ends[0] : ends[-1]], np.repeat(np.arange(len(column)), np.diff(ends))))
+                lists = [with_text(*x) for x in lists]
+                places: dict[int, list] = {}
+                for data, ends, docs_, starts in blocks(as_bytes(piece.column(2)), length):
+                    first, last, _, h, whole, k = stretches(data, ends, length)
+                    d, key = docs_[k], with_text(whole, docs_[k])
+                    known = np.flatnonzero(np.isin(key, lists[0]))
+                    cut = np.flatnonzero(np.concatenate(([True], np.diff(k[known]) != 0))) if len(known) else known
+                    for x in np.split(known, cut[1:]) if len(known) else ():
+                        off = starts[k[x[0]]]
+                        places.setdefault(int(d[x[0]]), []).append((first[x] - off, last[x] + 1 - off))
+                    for x in np.flatnonzero(np.isin(key, lists[1])).tolist():
+                        a, i = int(first[x]), int(d[x])
+                        rows.append((ids[i], hashes_[i], a - int(starts[k[x]]), int(h[x]), data[a : int(last[x]) + length], None, None, None))
+                    for x in np.flatnonzero(np.isin(key, lists[2])).tolist():
+                        i = int(d[x])
+                        strings = window_hashes(data, np.arange(first[x], last[x] + 1), length).view(np.int64)
+                        rows.append((ids[i], hashes_[i], int(first[x] - starts[k[x]]), None, None, strings, None, None))
+                for i, found in places.items():
+                    rows.append((ids[i], hashes_[i], None, None, None, None, *(np.concatenate(x) for x in zip(*found))))
                 if rows:
                     yield pa.record_batch([pa.array(x, k) for x, k in zip(zip(*rows), STRETCH.types)], schema=STRETCH)
 
@@ -257,7 +306,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
     if length < ANCHOR + 8:
         raise ValueError(f"length must be {ANCHOR + 8} at least")
     text = docs[text_col]
-    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), F.xxhash64(text).alias("t"), text.alias("text"))
+    rows = bounded(docs).select(docs[id_col].cast("long").alias("doc_id"), F.xxhash64(text).alias("t"), text.alias("text"))
     found = removable(rows, length)
     joined = rows.join(found.withColumnsRenamed({"doc_id": "i", "t": "u"}), (F.col("doc_id") == F.col("i")) & (F.col("t") == F.col("u")), "left").select("doc_id", "text", "a", "b")
 

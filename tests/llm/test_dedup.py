@@ -66,7 +66,7 @@ def test_op3(spark, sf_dir):
     assert Counter(map(tuple, queries.op3_suffix_dedup(spark, sf_dir).collect())) == removed([tuple(r) for r in docs])
 
 
-@pytest.mark.parametrize("hot,block,shard", [(1_000, 1 << 20, 1 << 20), (2, 300, 200)])
+@pytest.mark.parametrize("hot,block,shard", [(1_000, 1 << 20, 1 << 20), (2, 300, 200), (1_000, 100, 1 << 20)])
 def test_suffix_dedup_odd_rows(odd_docs, odd_rows, no_docs, monkeypatch, hot, block, shard):
     for name, value in (("HOT", hot), ("BLOCK", block), ("SHARD", shard)):
         monkeypatch.setattr(suffix_dedup, name, value)
