@@ -15,20 +15,46 @@ from pyspark.sql import functions as F
 from contrail.llm.common import ascii_lower
 
 #: Hashed features; a power of 16, as a feature is the first hex digits of the n-gram's MD5.
-DIGITS, DIMS = 3, 16**3
+DIGITS, DIMS = 4, 16**4
 SIZES = (3, 4)
-#: Most labelled URLs that are fitted, and most rules that go into one expression.
-MOST_LABELS, MOST_RULES = 10_000, 1_000
-
-#: A small labelled table. Unwanted: gambling, pills, adult, advertising, link farms. Wanted: plain words.
-UNWANTED = "casino-win best-casino online-casino casino-royal free-bets bet-online sports-bets free-spins poker-win win-jackpot slot-bonus cheap-pills pills-online cheap-meds buy-viagra pharma-cheap adult-x adult-cams xxx-adult sex-chat adult-video ads-track track-ads ad-click click-ads ads-server spam-farm link-farm seo-spam farm-links spam-mail".split()
-WANTED = "news weather library museum science garden school city-hall history physics kitchen travel-notes music books archive forum recipes bird-watch open-data health-care the-times docs blog-post sports farm-life trackside wintertime addresses spices better nation station edition tradition motion reading listing heating mother other theatre thread threshold honest resort handmade stone tables noble sections city-council sea-life art-school film-club book-review high-street train-times local-history home-garden".split()
-PLACES = ("https://{}.example.com/en/120", "http://www.{}.example.net/fr/7731.html", "https://m.{}.example.org/de/88?page=2&ref=x", "http://blog.{}.example.com/es/4#top")
+#: Most labelled URLs that are fitted.
+MOST_LABELS = 10_000
+#: The share of unwanted URLs that is expected where the filter works.
+SHARE = 0.25
+
+#: A small labelled table of names, by topic. Names of several words are written with and without hyphens.
+UNWANTED = {
+    "gambling": "grand-casino casino-vegas casinoroyale royal-casino mobile-casino betting-odds bets-today best-bets livebets poker-room pokerstars-club roulette-bonus slots-jackpot freespins win-money winbig lucky-win lotto-winners blackjack-bonus casino-games online-bets betting-bonus bonus-spins poker-bonus jackpot-city slot-machines gamble-now",
+    "medicines": "cheap-meds cheapdrugs pills-store discount-pills diet-pills pillsonline viagra-now cialis-shop pharma-deals cheap-tablets no-prescription viagra-pills cheap-viagra cialis-online online-pharmacy pharma-pills weightloss-pills",
+    "adult": "adult-dating adulttube adult-cams xxx-videos xxxclips sex-cams sexchat escort-girls porn-clips nude-models hot-adult adult-video xxx-girls sex-girls porn-tube hot-escort nude-cams",
+    "advertising": "ads-network popup-ads ad-tracker banner-ads track-clicks clicktrack adserver adserving ads-exchange pixel-track affiliate-ads adserv-net click-ads popads tracker-pixel ad-banner adclicks",
+    "link farms": "spam-links bulk-spam mailspam link-farm seo-farm content-farm farmlinks backlink-seller spamblast cheap-traffic free-followers buy-followers spam-mail link-exchange seo-links free-backlinks buy-traffic",
+}
+WANTED = {
+    "news": "news daily-post morning-herald weather sports-report the-tribune local-news headlines press-review world-affairs evening-times magazine",
+    "learning": "university school-district library physics chemistry mathematics history-notes education language-course dictionary encyclopedia astronomy lectures",
+    "public life": "city-council parliament ministry health-service transport police-station fire-brigade post-office election-results national-archive tax-office environment",
+    "culture": "museum theatre orchestra painting literature poetry film-festival music-store photography gallery folk-dance architecture",
+    "home": "garden kitchen recipes baking furniture knitting woodwork pottery parenting pet-care bicycle-repair gardening-tips",
+    "outdoors": "mountain-club hiking sailing fishing birdwatching camping river-trust national-park football-club athletics horse-riding farm-museum",
+    "work": "engineering software-notes open-source data-science accounting hardware-store printing logistics agriculture steel-works shipping construction",
+    "travel": "travel-guide train-times airport hotel-review road-map island-ferry city-walks beach-holiday countryside heritage-trail railway-museum tourist-office",
+}
+PLACES = ("https://{}.test/", "http://{}.invalid/index.php", "https://shop.{}.localhost/a/b?q=1", "http://{}-site.test/home", "https://{}.city.invalid/~x/page.htm", "http://w3.{}.test:8080/")
+
+
+def labelled_names() -> list[tuple[str, int]]:
+    """(name, 1 if unwanted)."""
+    return [(x, label) for groups, label in ((UNWANTED, 1), (WANTED, 0)) for names in groups.values() for x in names.split()]
 
 
 def labelled_urls() -> list[tuple[str, int]]:
-    """(url, 1 if unwanted): each fixed name on each of a few kinds of host and path."""
-    return [(p.format(x), label) for names, label in ((UNWANTED, 1), (WANTED, 0)) for x in names for p in PLACES]
+    """(url, 1 if unwanted): each name on two kinds of host and path, in turn, so that no kind speaks for a label."""
+    return placed(labelled_names())
+
+
+def placed(names: list[tuple[str, int]]) -> list[tuple[str, int]]:
+    return [(PLACES[(2 * k + j) % len(PLACES)].format(x), label) for k, (x, label) in enumerate(names) for j in (0, 1)]
 
 
 def host(url: Column) -> Column:
@@ -42,16 +68,25 @@ def path(url: Column) -> Column:
 
 
 def matching_rule(host: Column, path: Column, rules: Iterable[str]) -> Column:
-    """The longest rule that fits host or a domain above it and the path's start; null if none does."""
-    rules = sorted(set(rules), key=lambda x: (-len(x), x))
-    if len(rules) > MOST_RULES:
-        raise ValueError(f"more than {MOST_RULES} rules")
-    out = F.lit(None).cast("string")
-    for rule in reversed(rules):
-        name, _, rest = rule.partition("/")
-        fits = ((host == name) | host.endswith("." + name)) & path.startswith("/" + rest)
-        out = F.when(fits, F.lit(rule)).otherwise(out)
-    return out
+    """The longest rule that fits host or a domain above it and the path's start, the first of equally long ones; null if none does.
+
+    A row looks up its own domains in a sorted list, so the expression stays the same for any number of rules.
+    """
+    by_domain: dict[str, list[str]] = {}
+    for rule in sorted(set(rules)):
+        by_domain.setdefault(rule.partition("/")[0], []).append(rule)
+    if not by_domain:
+        return F.lit(None).cast("string")
+    domains, listed = (F.split(F.lit("\n".join(x)), "\n") for x in (by_domain, map("\t".join, by_domain.values())))
+    labels = F.split(host, r"\.")
+    above = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+
+    def fitting(domain: Column) -> Column:
+        of = F.split(F.element_at(listed, F.array_position(domains, domain).cast("int")), "\t")
+        return F.filter(of, lambda r: F.startswith(path, F.concat(F.lit("/"), F.substr(r, F.length(domain) + 2))))
+
+    found = F.flatten(F.transform(F.filter(above, lambda x: F.array_contains(domains, x)), fitting))
+    return F.array_min(F.transform(found, lambda r: F.struct((-F.length(r)).alias("n"), r.alias("rule"))))["rule"]
 
 
 def features(host: Column, path: Column) -> Column:
@@ -68,9 +103,10 @@ def features(host: Column, path: Column) -> Column:
     return F.transform(F.concat(grams(host, "h"), grams(path, "p")), lambda g: F.conv(F.substring(F.md5(g), 1, DIGITS), 16, 10).cast("int"))
 
 
-def fit(spark: SparkSession, labelled: Iterable[tuple[str, int]], rounds: int = 200, rate: float = 0.5, l2: float = 1e-3) -> list[float]:
+def fit(spark: SparkSession, labelled: Iterable[tuple[str, int]], rounds: int = 500, rate: float = 0.5, l2: float = 1e-3) -> list[float]:
     """DIMS weights and the intercept, by full gradient descent from zero on the labelled table: the same input
-    gives the same weights. Weights are rounded to 9 decimals."""
+    gives the same weights. Weights are rounded to 9 decimals. The intercept is moved from the labelled table's share of unwanted
+    URLs to SHARE."""
     labelled = list(labelled)
     if len(labelled) > MOST_LABELS:
         raise ValueError(f"more than {MOST_LABELS} labelled URLs")
@@ -78,7 +114,7 @@ def fit(spark: SparkSession, labelled: Iterable[tuple[str, int]], rounds: int =
     return descent(df.select("label", features(host(F.col("url")), path(F.col("url"))).alias("f")).collect(), rounds, rate, l2)
 
 
-def descent(rows: Iterable[tuple[int, list[int]]], rounds: int = 200, rate: float = 0.5, l2: float = 1e-3) -> list[float]:
+def descent(rows: Iterable[tuple[int, list[int]]], rounds: int = 500, rate: float = 0.5, l2: float = 1e-3) -> list[float]:
     """Weights and intercept from (label, features) of the labelled table."""
     weights, bias = [0.0] * DIMS, 0.0
     points = []
@@ -98,12 +134,15 @@ def descent(rows: Iterable[tuple[int, list[int]]], rounds: int = 200, rate: floa
         for i, g in sorted(grad.items()):
             weights[i] -= rate * (g / len(points) * 20 + l2 * weights[i])
         bias -= rate * off / len(points)
+    unwanted = sum(label for label, _ in points)
+    if 0 < unwanted < len(points):
+        bias += math.log(SHARE / (1 - SHARE)) - math.log(unwanted / (len(points) - unwanted))
     return [round(x, 9) for x in [*weights, bias]]
 
 
 def score(host: Column, path: Column, weights: list[float]) -> Column:
     """The log-odds of being unwanted."""
-    table, f = F.lit(weights[:DIMS]), features(host, path)
+    table, f = F.split(F.lit(",".join(map(repr, weights[:DIMS]))), ",").cast("array<double>"), features(host, path)
     total = F.aggregate(f, F.lit(0.0), lambda a, i: a + F.element_at(table, i + 1))
     return F.lit(weights[DIMS]) + total / F.sqrt(F.size(f).cast("double"))
 
@@ -122,18 +161,20 @@ def judge(pages: DataFrame, weights: list[float], allow: Iterable[str], block: I
     return rows.select("page_id", "host", "path", "rule", F.when(blocked, "block").otherwise("allow").alias("verdict"), "log_odds")
 
 
-def plain_weights(labelled: Iterable[tuple[str, int]]) -> list[float]:
-    """fit() without Spark, from n-grams cut in Python: for the SQL and for tests."""
+def plain_features(url: str) -> list[int]:
+    """features() without Spark, from n-grams cut in Python; the url has a ://."""
     import hashlib
     import re
 
-    rows = []
-    for url, label in labelled:
-        h, p = re.match(r"(?s)^.*?://([^/?#]*)([^?#]*)", url).groups()
-        texts = (("h", f"h^{h.lower()}$"), ("p", f"p^{p}$"))
-        grams = [m + t[i : i + n] for m, t in texts for n in SIZES for i in range(1, max(len(t) - n, 1) + 1)]
-        rows.append((label, [int(hashlib.md5(g.encode()).hexdigest()[:DIGITS], 16) for g in grams]))
-    return descent(rows)
+    h, p = re.match(r"(?s)^.*?://([^/?#]*)([^?#]*)", url).groups()
+    texts = (("h", f"h^{h.lower()}$"), ("p", f"p^{p}$"))
+    grams = [m + t[i : i + n] for m, t in texts for n in SIZES for i in range(1, max(len(t) - n, 1) + 1)]
+    return [int(hashlib.md5(g.encode()).hexdigest()[:DIGITS], 16) for g in grams]
+
+
+def plain_weights(labelled: Iterable[tuple[str, int]]) -> list[float]:
+    """fit() without Spark: for the SQL and for tests."""
+    return descent((label, plain_features(url)) for url, label in labelled)
 
 
 def oracle(weights: list[float], allow: Iterable[str], block: Iterable[str]) -> str:
@@ -151,7 +192,7 @@ def oracle(weights: list[float], allow: Iterable[str], block: Iterable[str]) ->
     )
     lower = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     return f"""
-WITH w AS (SELECT [{", ".join(map(repr, weights[:DIMS]))}]::DOUBLE[] AS weights),
+WITH w AS (SELECT string_split('{",".join(map(repr, weights[:DIMS]))}', ',')::DOUBLE[] AS weights),
 parts AS (
   SELECT page_id, {lower.format("coalesce(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), '')")} AS host,
     coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') AS path FROM pages),

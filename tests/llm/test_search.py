@@ -32,6 +32,39 @@ def test_urls(spark):
     assert url_filter.fit(spark, url_filter.labelled_urls()) == url_filter.plain_weights(url_filter.labelled_urls())
 
 
+def test_held_out_names():
+    """Of names that were not learned nearly all wanted ones pass, and most unwanted ones don't."""
+    names = url_filter.labelled_names()
+    names = [names[k] for k in np.random.default_rng(1).permutation(len(names))]
+    right, n = Counter(), Counter()
+    for fold in range(5):
+        weights = url_filter.plain_weights(url_filter.placed([x for k, x in enumerate(names) if k % 5 != fold]))
+        for name, label in names[fold::5]:
+            f = url_filter.plain_features(f"https://www.{name}.example.net/en/120.html")
+            right[label] += (weights[url_filter.DIMS] + sum(weights[i] for i in f) / math.sqrt(len(f)) >= 0) == bool(label)
+            n[label] += 1
+    assert right[0] >= 0.95 * n[0] and right[1] >= 0.55 * n[1]
+
+
+def test_many_rules(spark):
+    """As by trying every rule on every url."""
+    rng = np.random.default_rng(6)
+    names = ["org", "a.org", "b.a.org", "net", "x.net", "xa.org"]
+    rules = {f"{rng.choice(names)}/{''.join(rng.choice(list('ab/'), rng.integers(0, 4)))}" for _ in range(60)} | {f"host{k}.org/" for k in range(3_000)}
+    rows = [(f"{rng.choice(['', 'w.', 'b.'])}{rng.choice([*names, 'host7.org'])}", "/" * int(rng.integers(0, 2)) + "".join(rng.choice(list("ab/"), rng.integers(0, 6)))) for _ in range(200)] + [("", "")]
+    df = spark.createDataFrame(rows, "h string, p string").select("h", "p", url_filter.matching_rule(F.col("h"), F.col("p"), rules).alias("r"))
+    for h, p, r in df.collect():
+        fits = [x for x in rules if (h == x.partition("/")[0] or h.endswith("." + x.partition("/")[0])) and p.startswith("/" + x.partition("/")[2])]
+        assert r == min(fits, key=lambda x: (-len(x), x), default=None)
+
+
+def test_long_and_repeated_urls(spark):
+    weights = url_filter.fit(spark, url_filter.labelled_urls())
+    long = "https://grand-casino.example.net/" + "slots-jackpot/" * 5_000
+    got = url_filter.judge(spark.createDataFrame([(1, long), (1, long), (2, "http://" + "a." * 3_000 + "org/")], "page_id long, url string"), weights, ["org/"], []).collect()
+    assert [(r.page_id, r.verdict, r.rule) for r in sorted(got)] == [(1, "block", None)] * 2 + [(2, "allow", "org/")]
+
+
 def test_unseen_urls(spark):
     names = {"mega-casino-bonus": "block", "pills-discount": "block", "free-poker-bets": "block", "university": "allow", "painting": "allow", "mountain-club": "allow"}
     pages = spark.createDataFrame([(k, f"https://{n}.example.net/it/99") for k, n in enumerate(names)], "page_id long, url string")
