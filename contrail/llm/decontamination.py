@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from contrail.llm.common import bounded
+
 #: Words are runs of digits, a-z and all beyond ASCII, after A-Z are lower-cased: other bytes become blanks.
 NORMAL = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
@@ -98,7 +100,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = 13, text_col: str
     stay; those named as the results are replaced. An empty benchmark hits nothing.
     """
     context = docs.sparkSession.sparkContext
-    rest = docs.drop(*RESULTS)
+    rest = bounded(docs).drop(*RESULTS)
     items = benchmark.select(benchmark[item_col].cast("string").alias("item_id"), benchmark[item_text_col].alias("text"))
     items = items.where("text is not null")
     parts = [context.broadcast(x) for x in _parts(items, most_bytes)]

@@ -16,13 +16,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contrail.llm import simhash
-from contrail.llm.common import dropped, written
+from contrail.llm.common import bounded, dropped, written
 from contrail.llm.graph import components
 
 SHINGLE = 5
 BANDS, ROWS = 32, 5
 #: Bytes of text that are sketched at a time; a longer text is a block of its own.
-BLOCK = 2 << 20
+BLOCK = 1 << 19
 #: Odd numbers: the base of the rolling hash, and its inverse modulo 2^64.
 BASE = 0x9E3779B97F4A7C15
 UNBASE = pow(BASE, -1, 1 << 64)
@@ -128,7 +128,7 @@ def sketches(docs: DataFrame, text_col: str) -> DataFrame:
                 bands = pa.ListArray.from_arrays(np.arange(0, (b - a + 1) * BANDS, BANDS, dtype=np.int32), band_keys(hashes, bounds).ravel())
                 yield pa.record_batch({"t": part.column(0), "fp": fingerprints_of(hashes, bounds), "bands": bands})
 
-    each = docs.select(F.xxhash64(text_col).alias("t"), F.col(text_col).alias("text")).mapInArrow(run, "t long, fp long, bands array<long>")
+    each = bounded(docs).select(F.xxhash64(text_col).alias("t"), F.col(text_col).alias("text")).mapInArrow(run, "t long, fp long, bands array<long>")
     return written(each.groupBy("t").agg(F.first("fp").alias("fp"), F.first("bands").alias("bands")), "sketches")
 
 
@@ -185,20 +185,32 @@ def golay_pairs(sketched: DataFrame) -> DataFrame:
     return pairs.unionByName(same)
 
 
+def joined(labels: DataFrame | None, found: DataFrame) -> DataFrame:
+    """(t, label) of all texts that have a link, after found, pairs (a, b) of texts, is added to what labels has."""
+    if labels is None:
+        return written(components(found), "labels").select(F.col("node").alias("t"), "label")
+    ends = [labels.select(F.col("t").alias(c), F.col("label").alias(f"l{c}")) for c in "ab"]
+    between = found.join(ends[0], "a", "left").join(ends[1], "b", "left").select(F.coalesce("la", "a").alias("x"), F.coalesce("lb", "b").alias("y"))
+    moved = written(components(between, "x", "y"), "moved")
+    before = labels.select("t", F.col("label").alias("node")).join(moved, "node", "left").select("t", F.coalesce("label", "node").alias("label"))
+    new = moved.join(labels.select(F.col("t").alias("node")), "node", "left_anti").select(F.col("node").alias("t"), "label")
+    out = written(before.unionByName(new), "labels")
+    dropped(moved)
+    return out
+
+
 def linked(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(t, label) of the texts, as hashes, that have a link: label is one for all that links join."""
     sketched = sketches(docs, text_col)
     keys = sketched.select("t", F.explode("bands").alias("key"))
     shared = keys.groupBy("key").agg(F.min("t").alias("lo"), F.max("t").alias("hi")).where("lo <> hi").select("key")
-    members = written(keys.join(shared, "key").distinct(), "members")
-    tried = written(golay_pairs(sketched).distinct(), "pairs")
-    wanted = members.select("t").unionByName(tried.select(F.col("a").alias("t"))).unionByName(tried.select(F.col("b").alias("t"))).distinct()
+    left = written(keys.join(shared, "key").distinct(), "members")
+    pairs = written(golay_pairs(sketched).distinct(), "pairs")
+    wanted = left.select("t").unionByName(pairs.select(F.col("a").alias("t"))).unionByName(pairs.select(F.col("b").alias("t"))).distinct()
     each = docs.select(F.xxhash64(text_col).alias("t"), F.coalesce(text_col, F.lit("")).alias("text"))
     texts = written(each.join(wanted, "t", "left_semi").groupBy("t").agg(F.first("text").alias("text")), "texts")
-    edges = verified(tried, texts)
-    left, n = members, 1
+    tried, labels, n = pairs, joined(None, verified(pairs, texts)), 1
     while True:
-        labels = written(components(edges), "labels").select(F.col("node").alias("t"), "label")
         known = left.select("key", "t").join(labels, "t", "left").withColumn("label", F.coalesce("label", "t"))
         chance = F.pmod(F.xxhash64("t", F.lit(n)), F.lit(1 << 40))
         several = known.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n"), F.min(F.struct(chance.alias("h"), "t")).alias("first"))
@@ -208,7 +220,7 @@ def linked(docs: DataFrame, text_col: str = "text") -> DataFrame:
         now = written(known.join(several, "key").select("key", "t", "label", picked.alias("picked")), "mixed")
         dropped(left)
         if now.isEmpty():
-            break
+            return labels
         x, y = now.alias("x"), now.where("picked").alias("y")
         # of two picked texts of a key one is held against the other
         once = (F.col("x.label") != F.col("y.label")) & (~F.col("x.picked") | (F.col("x.t") < F.col("y.t")))
@@ -217,11 +229,10 @@ def linked(docs: DataFrame, text_col: str = "text") -> DataFrame:
             pairs = pairs.groupBy("member").agg(F.min(F.struct("a", "b")).alias("p")).select("p.a", "p.b")
         pairs = written(pairs.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
         tried = tried.unionByName(pairs)
-        edges = edges.unionByName(verified(pairs, texts))
+        labels = joined(labels, verified(pairs, texts))
         # a text that all others of its key were held against is done with that key
         left = now if n == 1 else now.where("not picked")
         n *= GROWTH
-    return labels
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

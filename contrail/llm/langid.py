@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from contrail.llm.common import bounded
+
 DIMS = 1 << 15
 SIZES = (1, 2, 3)
 #: Odd multipliers of the rolling hash, one for each place in an n-gram, and one that mixes in its size.
@@ -137,7 +139,7 @@ class Model:
 def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", smoothing: float = 0.5) -> Model:
     """Fit on all labelled rows whose language and text aren't null. Languages stand in ascending order, so ties go to
     the first."""
-    rows = labelled.select(labelled[text_col].alias("text"), labelled[lang_col].alias("lang")).where("lang is not null and text is not null")
+    rows = bounded(labelled).select(labelled[text_col].alias("text"), labelled[lang_col].alias("lang")).where("lang is not null and text is not null")
     found = rows.mapInArrow(_counts, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     found = found.groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("c")).orderBy("lang").limit(MOST_LANGUAGES + 1)  # DIMS + 1 pairs a language at most
     got = found.collect()
@@ -160,7 +162,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
     und with score 0 for null texts, texts without letters, and where no language was learned. Only the text decides,
     the whole of it; every row keeps its other columns, but for columns named lang_pred or score, which are replaced.
     """
-    rest = docs.drop("lang_pred", "score")
+    rest = bounded(docs).drop("lang_pred", "score")
     sent = docs.sparkSession.sparkContext.broadcast(model)  # languages * DIMS * 4 bytes: 131 MB for the most languages
 
     def run(batches):

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from contrail.llm.common import folded, written
+from contrail.llm.common import bounded, folded, written
 from contrail.llm.graph import components
 
 LIMIT = 3
@@ -57,7 +57,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text
             yield pa.record_batch({"doc_id": batch.column(0), "t": batch.column(1), "fp": pa.array(np.frombuffer(found, dtype=">i8").astype(np.int64))})
 
     text = docs[text_col]
-    return docs.select(docs[id_col].cast("long").alias("doc_id"), F.xxhash64(text).alias("t"), text.alias("text")).mapInArrow(run, "doc_id long, t long, fp long")
+    return bounded(docs).select(docs[id_col].cast("long").alias("doc_id"), F.xxhash64(text).alias("t"), text.alias("text")).mapInArrow(run, "doc_id long, t long, fp long")
 
 
 class Golay:

@@ -15,7 +15,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from contrail.llm.common import scratch
+from contrail.llm.common import bounded, scratch
 from contrail.llm.tokens import encoder
 
 MANIFEST = "file_no int, path string, n_sequences long, n_tokens long, n_docs long"
@@ -118,7 +118,7 @@ def write(docs: DataFrame, tokenizer: str, path: str, length: int = 2048, end_id
             name = final if "://" not in path else f"{path}/{final.rpartition('/')[2]}"
             yield pa.record_batch({"file_no": pa.array([task.partitionId()], pa.int32()), "path": [name], "n_sequences": [made.n_sequences], "n_tokens": [made.n_tokens], "n_docs": [made.n_docs]})
 
-    narrow = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
+    narrow = bounded(docs).select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
     # equal ids may be many: the text's hash and the place in the input let a range end among them
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), F.monotonically_increasing_id()]
     placed = narrow.select("*", order[1].alias("h"), order[2].alias("m")).repartitionByRange(F.col("doc_id").asc_nulls_first(), "h", "m")
