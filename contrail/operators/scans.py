@@ -16,24 +16,35 @@ from pyspark.sql import types as T
 from contrail.functions.geo import KM_PER_DEGREE
 
 
-def per_track(df: DataFrame, new: dict[str, str], kernel: Callable[[dict[str, list]], dict[str, list]], *reads: str) -> DataFrame:
-    """df with the columns that kernel makes from the columns it reads, for each icao by itself. A column that df has is replaced."""
-    fields = [f for f in df.schema.fields if f.name not in new]
-    schema = T.StructType([*fields, *[T.StructField(n, T._parse_datatype_string(t)) for n, t in new.items()]])
+def per_track(df: DataFrame, new: dict[str, str], kernel: Callable[[dict[str, list]], dict[str, list]], *reads: str, errors: bool = False) -> DataFrame:
+    """df with the columns that kernel makes from the columns it reads, for each icao by itself. A column that df has is replaced.
+
+    With errors a track that kernel fails on doesn't end the job: its new columns are null, and error, a further column, says
+    why in the track's first row.
+    """
+    kinds = new | ({"error": "string"} if errors else {})
+    fields = [f for f in df.schema.fields if f.name not in kinds]
+    schema = T.StructType([*fields, *[T.StructField(n, T._parse_datatype_string(t)) for n, t in kinds.items()]])
     kept = [f.name for f in fields]
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by([("t", "ascending"), ("seq", "ascending")])
-        made = kernel({c: table.column(c).to_pylist() for c in reads})
+        n = table.num_rows
+        try:
+            made = kernel({c: table.column(c).to_pylist() for c in reads}) | {"error": [None] * n}
+        except Exception as e:
+            if not errors:
+                raise
+            made = {c: [None] * n for c in new} | {"error": [f"{type(e).__name__}: {e}"] + [None] * (n - 1)}
         out = table.select(kept)
-        for n in new:
-            out = out.append_column(n, pa.array(made[n]))
-        return out.cast(pa.schema([*[table.schema.field(c) for c in kept], *[pa.field(n, _ARROW[t]) for n, t in new.items()]]))
+        for c in kinds:
+            out = out.append_column(c, pa.array(made[c], _ARROW[kinds[c]]))
+        return out.cast(pa.schema([*[table.schema.field(c) for c in kept], *[pa.field(c, _ARROW[t]) for c, t in kinds.items()]]))
 
     return df.groupBy("icao").applyInArrow(run, schema)
 
 
-_ARROW = {"boolean": pa.bool_(), "double": pa.float64(), "int": pa.int32(), "long": pa.int64()}
+_ARROW = {"boolean": pa.bool_(), "double": pa.float64(), "int": pa.int32(), "long": pa.int64(), "string": pa.string()}
 
 
 def _km(a: tuple[float, float], b: tuple[float, float]) -> float:
@@ -67,13 +78,14 @@ def accepted(t, lat, lon, alt, **caps) -> list[bool]:
 
 
 def speed_gate(df: DataFrame, **caps) -> DataFrame:
-    """df with `accepted`."""
+    """df with `accepted`. Where df has gate_ft, altitudes as the gate reads them, these count instead of the barometric ones."""
 
     def kernel(c):
-        alt = list(map(whole_feet, c["baro"], c["gnd"]))
+        alt = list(map(whole_feet, c[feet], c["gnd"]))
         return {"accepted": accepted(c["t"], c["lat"], c["lon"], alt, **caps)}
 
-    return per_track(df, {"accepted": "boolean"}, kernel, "t", "lat", "lon", "baro", "gnd")
+    feet = "gate_ft" if "gate_ft" in df.columns else "baro"
+    return per_track(df, {"accepted": "boolean"}, kernel, "t", "lat", "lon", feet, "gnd")
 
 
 def far_enough(x, y, least_m: float = 1.0) -> list[bool]:

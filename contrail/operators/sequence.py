@@ -45,7 +45,8 @@ def spike_gate(accepted: DataFrame, cap_lo_ft: float = 1000.0, cap_hi_ft: float
     r = accepted.withColumns(near)
     back, ahead = geo.km("lat_p", "lon_p", "lat", "lon"), geo.km("lat", "lon", "lat_n", "lon_n")
     across = geo.km("lat_p", "lon_p", "lat_n", "lon_n")
-    cap = geo.ramp(geo.gate_altitude("baro", "gnd"), cap_lo_ft, cap_hi_ft, low_km, high_km)
+    feet = "gate_ft" if "gate_ft" in accepted.columns else "baro"
+    cap = geo.ramp(geo.gate_altitude(feet, "gnd"), cap_lo_ft, cap_hi_ft, low_km, high_km)
     spike = (back > cap) & (ahead > cap) & (across < 0.5 * F.greatest(back, ahead))
     return r.withColumn("spike", F.coalesce(spike, F.lit(False))).drop(*near)
 

@@ -6,6 +6,8 @@ moves the samples once to bring a track's rows together, plus once for the decim
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -39,19 +41,36 @@ def reversal_places(t, lat, lon, ground, gs, jitter_m=30.0, step_m=8.0, share=0.
     return at[b[(now[c] - now[a] <= gap_s) & (step > step_m) & out]]
 
 
-def gated(samples: DataFrame, **caps) -> DataFrame:
-    """Samples that pass the speed gate and the spike gate."""
-    return seq.spike_gate(scans.speed_gate(samples, **caps).where("accepted")).where("not spike").drop("accepted", "spike")
+def day_key(df: DataFrame, date: str = "date") -> DataFrame:
+    """df with its column date put into icao, so that an aircraft's day is a track of its own for every plan; icao holds no line end."""
+    return df.withColumn("icao", F.concat_ws("\n", "icao", F.col(date).cast("string"))).drop(date)
+
+
+def by_day(plan: Callable[..., DataFrame], samples: DataFrame, *more, date: str = "date", **options) -> DataFrame:
+    """plan over samples of several days, told apart by their column date, which the result has beside icao."""
+    part = F.split("icao", "\n", 2)
+    return plan(day_key(samples, date), *more, **options).withColumns({"icao": part[0], date: part[1]})
+
+
+def gated(samples: DataFrame, speed: dict[str, float] | None = None, jump: dict[str, float] | None = None) -> DataFrame:
+    """Samples that pass the speed gate and the spike gate. speed: cap_lo_ft, cap_hi_ft, low_kmh, high_kmh; jump: cap_lo_ft, cap_hi_ft, low_km, high_km."""
+    return seq.spike_gate(scans.speed_gate(samples, **(speed or {})).where("accepted"), **(jump or {})).where("not spike").drop("accepted", "spike")
+
+
+def _chosen(r: DataFrame, keep: str, errors: bool) -> DataFrame:
+    """The rows that a kernel kept and, with errors, one row of each track that it failed on."""
+    return r.where(F.col(keep) | F.col("error").isNotNull()) if errors else r.where(keep)
 
 
-def compress(samples: DataFrame, airports: DataFrame | None = None, denoise: bool = True, **limits) -> DataFrame:
+def compress(samples: DataFrame, airports: DataFrame | None = None, denoise: bool = True, speed: dict[str, float] | None = None, jump: dict[str, float] | None = None, parked: dict[str, float] | None = None, errors: bool = False, **limits) -> DataFrame:
     """icao, seq, t (whole seconds), lat, lon (hundred-thousandths), alt (feet), on_ground: the thinned track.
 
     Gates, parked runs, one altitude datum, field elevations, then in one kernel despiking, thinning across and up, reversals,
-    and both again on what is kept. Of rows in one second the last stays.
+    and both again on what is kept. Of rows in one second the last stays. speed and jump: of the gates; parked: gs_kt and radius_m; limits: those of
+    thinning. errors: see per_track; a track that fails has one row, with error.
     """
-    r = gated(samples)
-    r = seq.parked(r).drop("merged") if denoise else r
+    r = gated(samples, speed, jump)
+    r = seq.parked(r, **(parked or {})).drop("merged") if denoise else r
     whole_feet = {c: F.col(c).cast("long").cast("double") for c in ("baro", "geom")}
     r = seq.datum(seq.long_enough(r, 2).withColumns(whole_feet))
     r = r.withColumn("alt", F.when(F.col("geom").isNull(), F.rint("alt")).otherwise(F.col("alt"))).withColumn("alt", F.when(~F.col("gnd"), F.col("alt")))
@@ -71,9 +90,13 @@ def compress(samples: DataFrame, airports: DataFrame | None = None, denoise: boo
         keep[[0, -1]] = True
         return {"keep": keep.tolist(), "alt": alt}
 
-    r = scans.per_track(r, {"keep": "boolean", "alt": "double"}, kernel, "t", "lat", "lon", "alt", "gnd", "gs").where("keep")
+    r = scans.per_track(r, {"keep": "boolean", "alt": "double"}, kernel, "t", "lat", "lon", "alt", "gnd", "gs", errors=errors)
+    return _thinned(_chosen(r, "keep", errors), errors)
+
+
+def _thinned(r: DataFrame, errors: bool) -> DataFrame:
     r = seq.last_of_second(r, F.rint("t").cast("int"))
-    return r.select("icao", "seq", F.rint("t").cast("int").alias("t"), geo.encode("lat").alias("lat"), geo.encode("lon").alias("lon"), F.rint("alt").cast("int").alias("alt"), F.col("gnd").alias("on_ground"))
+    return r.select("icao", "seq", F.rint("t").cast("int").alias("t"), geo.encode("lat").alias("lat"), geo.encode("lon").alias("lon"), F.rint("alt").cast("int").alias("alt"), F.col("gnd").alias("on_ground"), *(["error"] if errors else []))
 
 
 def counts(samples: DataFrame, kept: DataFrame) -> DataFrame:
@@ -119,9 +142,9 @@ def _track(c: dict, least_m: float):
     return at, xy[at], alt, ground
 
 
-def fit(samples: DataFrame, airports: DataFrame | None = None, ground_m: float = 2.0, cruise_m: float = 150.0, degrees: float = 35.0) -> DataFrame:
+def fit(samples: DataFrame, airports: DataFrame | None = None, ground_m: float = 2.0, cruise_m: float = 150.0, degrees: float = 35.0, errors: bool = False) -> DataFrame:
     """nodes: icao, seq, t (tenths of a second), lat, lon, alt, on_ground, cusp. The curve through them, broken at cusps, stays
-    within each thinned point's tolerance."""
+    within each thinned point's tolerance. errors: see per_track; a track that fails has one row, with error."""
 
     def kernel(c):
         n = len(c["t"])
@@ -134,8 +157,8 @@ def fit(samples: DataFrame, airports: DataFrame | None = None, ground_m: float =
                 out["node"][at[k]], out["cusp"][at[k]], out["node_alt"][at[k]] = True, bool(b), float(alt[k])
         return out
 
-    r = scans.per_track(prepared(samples, airports), {"node": "boolean", "cusp": "boolean", "node_alt": "double"}, kernel, "t", "lat", "lon", "alt", "elev", "gnd").where("node")
-    return r.select("icao", "seq", F.rint(F.col("t") * 10).cast("int").alias("t"), geo.encode("lat").alias("lat"), geo.encode("lon").alias("lon"), F.rint("node_alt").cast("int").alias("alt"), F.col("gnd").alias("on_ground"), "cusp")
+    r = scans.per_track(prepared(samples, airports), {"node": "boolean", "cusp": "boolean", "node_alt": "double"}, kernel, "t", "lat", "lon", "alt", "elev", "gnd", errors=errors)
+    return _chosen(r, "node", errors).select("icao", "seq", F.rint(F.col("t") * 10).cast("int").alias("t"), geo.encode("lat").alias("lat"), geo.encode("lon").alias("lon"), F.rint("node_alt").cast("int").alias("alt"), F.col("gnd").alias("on_ground"), "cusp", *(["error"] if errors else []))
 
 
 def bezier_nodes(samples: DataFrame, airports: DataFrame | None = None, ground_m: float = 2.0, cruise_m: float = 150.0, degrees: float = 35.0) -> DataFrame:
@@ -169,21 +192,21 @@ def bezier_nodes(samples: DataFrame, airports: DataFrame | None = None, ground_m
     return r.groupBy("icao").applyInArrow(run, schema)
 
 
-def smooth(samples: DataFrame, airports: DataFrame | None = None, ground_m: float = 5.0, **limits) -> DataFrame:
-    """icao, seq, t (whole seconds), lat, lon, alt, on_ground: the smoothed track, thinned."""
+def smooth(samples: DataFrame, airports: DataFrame | None = None, ground_m: float = 5.0, settings: kalman.Settings = kalman.Settings(), errors: bool = False, **limits) -> DataFrame:
+    """icao, seq, t (whole seconds), lat, lon, alt, on_ground: the smoothed track, thinned. errors: see per_track; a track that fails has
+    one row, with error."""
     r = seq.datum(seq.long_enough(samples, 2))
     r = nearest_airport(r, airports, "elev", "elev").withColumn("elev", F.when(F.col("gnd"), F.col("elev").cast("double"))) if airports is not None else r.withColumn("elev", F.lit(None).cast("double"))
 
     def kernel(c):
-        lat, lon, alt = kalman.smooth(c["t"], c["lat"], c["lon"], c["gnd"], c["alt"], c["elev"], c["gs"], c["trk"], c["vr"], c["src"])
+        lat, lon, alt = kalman.smooth(c["t"], c["lat"], c["lon"], c["gnd"], c["alt"], c["elev"], c["gs"], c["trk"], c["vr"], c["src"], settings)
         xy = _xy(lat, lon)
         keep = thinning.thinned(np.rint(c["t"]), xy[:, 0], xy[:, 1], np.rint(alt), np.array(c["gnd"]), ground_m=ground_m, **limits)
         return {"lat": lat.tolist(), "lon": lon.tolist(), "alt": alt.tolist(), "keep": keep.tolist()}
 
     new = {"lat": "double", "lon": "double", "alt": "double", "keep": "boolean"}
-    r = scans.per_track(r, new, kernel, "t", "lat", "lon", "gnd", "alt", "elev", "gs", "trk", "vr", "src").where("keep")
-    r = seq.last_of_second(r, F.rint("t").cast("int"))
-    return r.select("icao", "seq", F.rint("t").cast("int").alias("t"), geo.encode("lat").alias("lat"), geo.encode("lon").alias("lon"), F.rint("alt").cast("int").alias("alt"), F.col("gnd").alias("on_ground"))
+    r = scans.per_track(r, new, kernel, "t", "lat", "lon", "gnd", "alt", "elev", "gs", "trk", "vr", "src", errors=errors)
+    return _thinned(_chosen(r, "keep", errors), errors)
 
 
 def errors(t, xy: np.ndarray, alt, ground, keep, mode: str, low_ft: float = 3000.0) -> np.ndarray:
@@ -207,10 +230,10 @@ def errors(t, xy: np.ndarray, alt, ground, keep, mode: str, low_ft: float = 3000
     return np.hypot(*(path - xy).T)
 
 
-def analyse(samples: DataFrame, mode: str = "segment", **limits) -> DataFrame:
+def analyse(samples: DataFrame, mode: str = "segment", speed: dict[str, float] | None = None, jump: dict[str, float] | None = None, **limits) -> DataFrame:
     """One row a track: points, kept, rejected, keep_pct, comp_bytes, and for each phase the number of points, the error at rank
     floor(0.95 (n - 1)) and the largest. Without datum, elevations or denoising."""
-    r = seq.long_enough(gated(seq.long_enough(samples, 2)), 2)
+    r = seq.long_enough(gated(seq.long_enough(samples, 2), speed, jump), 2)
     schema = "icao string, kept long, gated long, comp_bytes long, " + ", ".join(f"{p}_n long, {p}_p95 double, {p}_max double" for p in ("ground", "low", "high"))
 
     def run(table: pa.Table) -> pa.Table:
@@ -234,6 +257,23 @@ def analyse(samples: DataFrame, mode: str = "segment", **limits) -> DataFrame:
     return each.join(total, "icao").withColumns({"rejected": F.col("points") - F.col("gated"), "keep_pct": 100.0 * F.col("kept") / F.col("points")}).drop("gated")
 
 
+def fit_report(samples: DataFrame, nodes: DataFrame) -> DataFrame:
+    """One row: tracks, raw (points), nodes, raw_per_node."""
+    a = samples.groupBy("icao").agg(F.count("*").alias("raw"))
+    b = nodes.groupBy("icao").agg(F.count("*").alias("nodes"))
+    return a.join(b, "icao").agg(F.count("*").alias("tracks"), F.sum("raw").alias("raw"), F.sum("nodes").alias("nodes"), (F.sum("raw") / F.sum("nodes")).alias("raw_per_node"))
+
+
+def validation_report(validated: DataFrame) -> DataFrame:
+    """One row over all tracks of validate: tracks, points, the medians over tracks of median and p95, the largest error and its track, and
+    the shares within and strictly within tolerance, by points."""
+    n = F.col("n")
+    return validated.agg(
+        F.count("*").alias("tracks"), F.sum("n").alias("points"), F.median("median").alias("median"), F.median("p95").alias("p95"), F.max("max").alias("max"),
+        F.max_by("icao", F.struct("max", "icao")).alias("worst"), (F.sum(F.col("within") * n) / F.sum(n)).alias("within"), (F.sum(F.col("strict") * n) / F.sum(n)).alias("strict"),
+    )
+
+
 def report(analysed: DataFrame) -> DataFrame:
     """One row over all tracks: points, kept, median, p90 (by rank) and extremes of the points kept, worst errors by phase over tracks that have it."""
     w = Window.orderBy("r")

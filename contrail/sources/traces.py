@@ -49,14 +49,15 @@ def _at(k: int) -> str:
 
 
 def samples(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(samples, quarantine). samples: icao, base_ts, seq, t, lat, lon, gnd, baro, geom, gs, trk, vr, src. quarantine: path and error.
+    """(samples, quarantine). samples: icao, base_ts, seq, t, lat, lon, gnd, baro, gate_ft, geom, gs, trk, vr, src. quarantine: path and error.
 
-    A document with a point that is too short, or has no time or position, is left out as a whole. Its aircraft is its icao, else a part of the file's name.
+    A document with a point that is too short, or has no time or position, is left out as a whole. Its aircraft is its icao, else a part of the file's
+    name, else ??????. gate_ft is what the gates take for the altitude: baro, or a whole number in a string, which is no altitude anywhere else.
     """
     fine = docs.where("error is null")
     each = fine.select(
         "path",
-        F.coalesce(F.try_variant_get("doc", "$.icao", "string"), F.substring("name", 12, 6)).alias("icao"),
+        F.coalesce(F.try_variant_get("doc", "$.icao", "string"), F.nullif(F.substring("name", 12, 6), F.lit("")), F.lit("??????")).alias("icao"),
         F.coalesce(F.try_variant_get("doc", "$.timestamp", "double"), F.lit(0.0)).cast("long").alias("base_ts"),
         F.expr("posexplode_outer(try_variant_get(doc, '$.trace', 'array<variant>'))").alias("seq", "p"),
     )
@@ -65,7 +66,7 @@ def samples(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         "path", "icao", "base_ts", F.col("seq").cast("long").alias("seq"),
         F.expr(_number(_at(0))).alias("t"), F.expr(_number(_at(1))).alias("lat"), F.expr(_number(_at(2))).alias("lon"),
         F.expr(f"coalesce(schema_of_variant({_at(3)}) = 'STRING' AND try_variant_get(p, '$[3]', 'string') = 'ground', false)").alias("gnd"),
-        F.expr(_number(_at(3))).alias("baro"), F.expr(_number(_at(10))).alias("geom"), F.expr(_number(_at(4))).alias("gs"), F.expr(_number(_at(5))).alias("trk"), F.expr(vr).alias("vr"),
+        F.expr(_number(_at(3))).alias("baro"), F.expr(f"coalesce({_number(_at(3))}, CASE WHEN regexp_like(try_variant_get(p, '$[3]', 'string'), '^\\\\s*[+-]?[0-9]+\\\\s*$') THEN try_cast(trim(try_variant_get(p, '$[3]', 'string')) AS double) END)").alias("gate_ft"), F.expr(_number(_at(10))).alias("geom"), F.expr(_number(_at(4))).alias("gs"), F.expr(_number(_at(5))).alias("trk"), F.expr(vr).alias("vr"),
         F.expr(f"CASE WHEN schema_of_variant({_at(9)}) = 'STRING' THEN try_variant_get(p, '$[9]', 'string') ELSE try_variant_get(p, '$[9].type', 'string') END").alias("src"),
         F.expr("size(try_variant_get(p, '$', 'array<variant>'))").alias("_n"),
     )
@@ -78,7 +79,7 @@ def samples(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 def aircraft(docs: DataFrame) -> DataFrame:
     """icao, reg, type, desc, base_ts of every readable document."""
     get = lambda k: F.try_variant_get("doc", f"$.{k}", "string")
-    return docs.where("error is null").select(F.coalesce(get("icao"), F.substring("name", 12, 6)).alias("icao"), get("r").alias("reg"), get("t").alias("type"), get("desc").alias("desc"), F.coalesce(F.try_variant_get("doc", "$.timestamp", "double"), F.lit(0.0)).cast("long").alias("base_ts"))
+    return docs.where("error is null").select(F.coalesce(get("icao"), F.nullif(F.substring("name", 12, 6), F.lit("")), F.lit("??????")).alias("icao"), get("r").alias("reg"), get("t").alias("type"), get("desc").alias("desc"), F.coalesce(F.try_variant_get("doc", "$.timestamp", "double"), F.lit(0.0)).cast("long").alias("base_ts"))
 
 
 def airports(spark: SparkSession, path: str) -> DataFrame:

@@ -37,7 +37,7 @@ def test_trace_documents(spark, folder):
     assert set(rows) == {("aaaaaa", 0), ("aaaaaa", 1), ("aaaaaa", 2), ("aaaaaa", 3), ("bbbbbb", 0)}
     first, text, mlat, none = (rows["aaaaaa", k] for k in range(4))
     assert first.gnd and first.baro is None and first.geom == 1000 and first.vr == 5 and first.src == "adsb_icao" and first.base_ts == 1000
-    assert not text.gnd and text.baro is None
+    assert not text.gnd and text.baro is None and text.gate_ft == 1200 and mlat.gate_ft == 1200 and first.gate_ft is None
     assert mlat.baro == 1200 and mlat.src == "mlat" and mlat.geom is None and mlat.vr == 64 and mlat.t == 2.5
     assert not none.gnd and none.baro is None
     reasons = {r.path[-11:-5]: r.error for r in bad.collect()}
@@ -129,5 +129,42 @@ def test_command_line(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "v/validation.parquet")).first()["within"] > 0.9
     cli.main(["compress", str(src), str(tmp_path / "c"), "--airports", airports, "--partition-by", "date"])
     assert spark.read.parquet(str(tmp_path / "c/traces.parquet")).first()["date"] is not None
-    cli.main(["smooth", str(src), str(tmp_path / "s"), "--airports", airports])
+    assert spark.read.parquet(str(tmp_path / "c/quarantine_tracks")).count() == 0
+    cli.main(["compress", str(src), str(tmp_path / "w"), "--h-low", "2000", "--h-cruise", "2000", "--v-cruise", "9000", "--denormalize"])
+    wide = spark.read.parquet(str(tmp_path / "w/traces.parquet"))
+    assert wide.count() < spark.read.parquet(str(tmp_path / "c/traces.parquet")).count() and wide.first()["reg"] == "X-2"
+    cli.main(["compress", str(src), str(tmp_path / "z"), "--blobs", "--verify"])
+    cli.main(["analyse", str(src), str(tmp_path / "a"), "--recon", "catmull"])
+    assert spark.read.parquet(str(tmp_path / "a/analysis.parquet")).count() == 1
+    cli.main(["smooth", str(src), str(tmp_path / "s"), "--airports", airports, "--jerk", "1.5"])
     assert spark.read.parquet(str(tmp_path / "s/traces.parquet")).count() > 2
+
+
+def test_days_are_tracks_of_their_own(spark, tmp_path):
+    from contrail import cli
+
+    src = tmp_path / "in"
+    src.mkdir()
+    for day, north in ((0, 0.0), (1, 3.0)):
+        flight = [[k * 10.0, 50 + north + k * 0.01, 4.0 + 0.2 * math.sin(k * math.pi / 99), "ground" if k in (0, 99) else 5000, 250.0, 0.0, 0, 0, None, "adsb_icao"] for k in range(100)]
+        (src / str(day)).mkdir()
+        (src / str(day) / "trace_full_abcdef.json").write_text(json.dumps({"icao": "abcdef", "r": "X-2", "t": "A320", "timestamp": 1704067200 + 86400 * day, "trace": flight}))
+    (tmp_path / "airports.csv").write_text("ident,latitude_deg,longitude_deg,elevation_ft\nP,50.0,4.0,100\nQ,53.0,4.0,200\n")
+    airports, out = str(tmp_path / "airports.csv"), str(tmp_path / "out")
+    cli.main(["fit", str(src), out, "--airports", airports])
+    nodes = spark.read.parquet(f"{out}/nodes.parquet")
+    assert {(r.icao, r.date) for r in nodes.collect()} == {("abcdef", "2024-01-01"), ("abcdef", "2024-01-02")}
+    cli.main(["legs", "--traces", f"{out}/nodes.parquet", "--meta", f"{out}/aircraft.parquet", "--airports", airports, "--out-dir", f"{out}/legs"])
+    found = sorted((r.leg_id, r.icao, r.date, r.dep, r.reg) for r in spark.read.parquet(f"{out}/legs/flights.parquet").collect())
+    assert found == [("abcdef_2024-01-01_0", "abcdef", "2024-01-01", "P", "X-2"), ("abcdef_2024-01-02_0", "abcdef", "2024-01-02", "Q", "X-2")]
+
+
+def test_a_track_that_fails_stays_alone(spark):
+    from contrail.operators import scans
+
+    rows = spark.createDataFrame([("a", 0, 0.0, 1.0), ("a", 1, 1.0, 2.0), ("b", 0, 0.0, -1.0), ("b", 1, 1.0, 3.0)], "icao string, seq long, t double, x double")
+    got = scans.per_track(rows, {"y": "double"}, lambda c: {"y": [math.sqrt(v) for v in c["x"]]}, "x", errors=True).orderBy("icao", "seq").collect()
+    assert [r.y is None for r in got] == [False, False, True, True]
+    assert [r.error is None for r in got] == [True, True, False, True] and got[2].error.startswith("ValueError")
+    with pytest.raises(Exception, match="expected a nonnegative input|math domain"):
+        scans.per_track(rows, {"y": "double"}, lambda c: {"y": [math.sqrt(v) for v in c["x"]]}, "x").collect()
