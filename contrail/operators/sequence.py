@@ -145,10 +145,11 @@ def projected(df: DataFrame) -> DataFrame:
     return df.withColumn("_kx", F.cos(F.radians(F.avg("lat").over(whole())))).withColumns({"x": F.col("lon") * F.col("_kx") * geo.M_PER_DEGREE, "y": F.col("lat") * geo.M_PER_DEGREE}).drop("_kx")
 
 
-def bracketed(df: DataFrame, keep: Column) -> DataFrame:
-    """Adds k0 and k1: the kept points around each row, from the row's own or the last before it to the next; of a track's last rows the last pair."""
+def bracketed(df: DataFrame, keep: Column, point: str | None = None) -> DataFrame:
+    """Adds k0 and k1: the kept points around each row, from the row's own or the last before it to the next; of a track's last rows the last
+    pair. point: a column with what to carry of a kept point, else t, seq, x and y."""
     w = ordered()
-    r = df.withColumn("_k", F.when(keep, F.struct("t", "seq", "x", "y")))
+    r = df.withColumn("_k", F.when(keep, F.col(point) if point else F.struct("t", "seq", "x", "y")))
     r = r.withColumn("_kn", following("_k", 1))
     r = r.withColumn("_kp", F.last("_k", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)))
     here = F.last("_k", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
@@ -164,3 +165,23 @@ def linear_error(df: DataFrame, keep: Column) -> DataFrame:
     dx = geo.lerp(F.col("k0.x"), F.col("k1.x"), u) - F.col("x")
     dy = geo.lerp(F.col("k0.y"), F.col("k1.y"), u) - F.col("y")
     return r.withColumn("err", F.sqrt(dx * dx + dy * dy)).drop("k0", "k1")
+
+
+def path_error(df: DataFrame, keep: Column, mode: str = "linear", low_ft: float = 3000.0, alt: str = "baro") -> DataFrame:
+    """Adds err: metres from each row to where the path through the kept points has it at its time: straight lines (linear), centripetal
+    Catmull-Rom curves (catmull), or curves only where an end of the span is on the ground or below low_ft (segment). The first and last row are kept."""
+    if mode == "linear":
+        return linear_error(df, keep)
+    low = F.coalesce("gnd", F.lit(False)) | (F.coalesce(F.col(alt), F.lit(0.0)) < low_ft)
+    r = df.withColumn("_low", low).withColumn("_at", F.when(keep, F.struct("x", "y")))
+    before = F.last("_at", ignorenulls=True).over(ordered().rowsBetween(Window.unboundedPreceding, -1))
+    r = r.withColumn("_point", F.when(keep, F.struct("t", "seq", "x", "y", "_low", before.alias("p"), following("_at", 1).alias("n"))))
+    r = bracketed(r, keep, "_point")
+    k0, k1 = F.col("k0"), F.col("k1")
+    span = k1["t"] - k0["t"]
+    u = F.when(span > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), (F.col("t") - k0["t"]) / span))).otherwise(0.0)
+    ends = [[F.coalesce(k0["p"][c], k0[c]), k0[c], k1[c], F.coalesce(k1["n"][c], k1[c])] for c in "xy"]
+    curve = geo.catmull_rom(list(zip(*ends)), u)
+    bent = F.lit(True) if mode == "catmull" else k0["_low"] | k1["_low"]
+    dx, dy = (F.when(bent, c).otherwise(geo.lerp(e[1], e[2], u)) - F.col(n) for c, e, n in zip(curve, ends, "xy"))
+    return r.withColumn("err", F.sqrt(dx * dx + dy * dy)).drop("k0", "k1", "_low", "_at", "_point")

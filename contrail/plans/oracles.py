@@ -118,11 +118,23 @@ def _knot(i: int, j: int) -> str:
     return f"sqrt(greatest(sqrt((x{j} - x{i}) * (x{j} - x{i}) + (y{j} - y{i}) * (y{j} - y{i})), 1e-9))"
 
 
+#: The path through every tenth point: off has each row's place between its kept points 1 and 2, with those before and after.
+CURVED = f"""{KEPT},
+k AS (SELECT *, gnd OR coalesce(baro, 0) < 3000 AS low FROM xy WHERE keep),
+pairs AS (SELECT icao, i AS i0, lead(i) OVER w AS i1, t AS ta, lead(t) OVER w AS tb, low AS low0, lead(low) OVER w AS low1, lead(i, 2) OVER w IS NULL AS final,
+  coalesce(lag(x) OVER w, x) AS x0, coalesce(lag(y) OVER w, y) AS y0, x AS x1, y AS y1, lead(x) OVER w AS x2, lead(y) OVER w AS y2, coalesce(lead(x, 2) OVER w, lead(x) OVER w) AS x3, coalesce(lead(y, 2) OVER w, lead(y) OVER w) AS y3
+  FROM k WINDOW w AS (PARTITION BY icao ORDER BY i)),
+off AS (SELECT xy.*, CASE WHEN tb - ta > 0 THEN greatest(0e0, least(1e0, (t - ta) / (tb - ta))) ELSE 0e0 END AS u, pairs.* EXCLUDE (icao)
+  FROM xy JOIN pairs ON xy.icao = pairs.icao AND i1 IS NOT NULL AND i >= i0 AND (i < i1 OR final AND i = i1)),
+knots AS (SELECT *, {_knot(0, 1)} AS t1, {_knot(0, 1)} + {_knot(1, 2)} AS t2, {_knot(0, 1)} + {_knot(1, 2)} + {_knot(2, 3)} AS t3 FROM off),
+path AS (SELECT *, {_curve("x")} AS cx, {_curve("y")} AS cy, x1 + (x2 - x1) * u AS sx, y1 + (y2 - y1) * u AS sy FROM (SELECT *, t1 + (t2 - t1) * u AS tt FROM knots))"""
+
+
 BODIES = {
     "airports": f"SELECT ident, {whole('lat', '1e5')} AS lat, {whole('lon', '1e5')} AS lon, elev FROM airports",
     "trace_points": f"SELECT icao, seq, {milli('t')} AS t, {whole('lat', '1e5')} AS lat, {whole('lon', '1e5')} AS lon, baro::BIGINT AS baro, gnd FROM sparse",
     "dense_points": f"SELECT icao, seq, {milli('t')} AS t, {whole('lat', '1e5')} AS lat, {whole('lon', '1e5')} AS lon, gnd, baro::BIGINT AS baro, geom::BIGINT AS geom, {milli('gs')} AS gs, {milli('trk')} AS trk, {milli('vr')} AS vr, src FROM dense",
-    "metadata_lookup": "SELECT icao, c_name AS reg, c_mktsegment AS type FROM (SELECT DISTINCT icao FROM sparse) LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 3 <> 0) ON icao = 'u' || c_custkey",
+    "metadata_lookup": "SELECT icao, c_name AS reg, c_mktsegment AS type FROM (SELECT DISTINCT icao FROM sparse) LEFT JOIN customer ON icao = 'u' || c_custkey",
     "tolerance_ramps": f"""SELECT seq, {milli(ramp(GATE_ALT, 1000.0, 10000.0, 555.0, 1300.0))} AS max_speed, {milli(ramp(GATE_ALT, 1000.0, 10000.0, 0.25, 25.0))} AS max_jump,
   {milli("CASE WHEN baro IS NULL THEN 2e0 ELSE " + ramp("baro", 500.0, 12000.0, 2.0, 150.0) + " END")} AS fit_m,
   {milli("CASE WHEN gnd THEN 10e0 ELSE " + ramp(GATE_ALT, 2000.0, 12000.0, 20.0, 150.0) + " END")} AS thin_m, {milli("CASE WHEN gnd THEN 25e0 ELSE " + ramp(GATE_ALT, 2000.0, 12000.0, 25.0, 250.0) + " END")} AS thin_ft FROM sparse""",
@@ -219,6 +231,11 @@ a AS (SELECT *, CASE WHEN an IS NOT NULL AND bn IS NOT NULL THEN degrees(acos(gr
     "retention": "SELECT date FROM (SELECT date, dense_rank() OVER (ORDER BY date DESC) AS r FROM (SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS date FROM events)) WHERE r > 10",
     "date_of_tag": "SELECT 'v' || strftime(o_orderdate, '%Y.%m.%d') || '-set-' || o_orderkey AS tag, strftime(o_orderdate, '%Y-%m-%d') AS date FROM orders",
     "recon_error_linear": (LINEAR, f"SELECT icao, seq, {milli('err')} AS err FROM err"),
+    "recon_error_catmull": (CURVED, f"SELECT icao, seq, {milli('sqrt((cx - x) * (cx - x) + (cy - y) * (cy - y))')} AS err FROM path"),
+    "recon_error_segment": (
+        CURVED,
+        f"SELECT icao, seq, {milli('sqrt((px - x) * (px - x) + (py - y) * (py - y))')} AS err FROM (SELECT *, CASE WHEN low0 OR low1 THEN cx ELSE sx END AS px, CASE WHEN low0 OR low1 THEN cy ELSE sy END AS py FROM path)",
+    ),
     "error_stats": (
         f"""{LINEAR},
 p AS (SELECT *, {PHASE} AS phase, CASE WHEN baro IS NULL THEN 2e0 ELSE {ramp("baro", 500.0, 12000.0, 2.0, 150.0)} END AS tol FROM err),
@@ -230,7 +247,7 @@ q AS (SELECT *, row_number() OVER (PARTITION BY phase ORDER BY err) - 1 AS j, co
     "cr_polyline": (
         f"""{KEPT},
 s AS (SELECT icao, seq, x AS x1, y AS y1, coalesce(lag(x) OVER w, x) AS x0, coalesce(lag(y) OVER w, y) AS y0, lead(x) OVER w AS x2, lead(y) OVER w AS y2, coalesce(lead(x, 2) OVER w, lead(x) OVER w) AS x3, coalesce(lead(y, 2) OVER w, lead(y) OVER w) AS y3
-  FROM xy WHERE keep WINDOW w AS ({TRACK})),
+  FROM xy WINDOW w AS ({TRACK})),
 d AS (SELECT *, {_knot(0, 1)} AS t1, {_knot(0, 1)} + {_knot(1, 2)} AS t2, {_knot(0, 1)} + {_knot(1, 2)} + {_knot(2, 3)} AS t3 FROM s WHERE x2 IS NOT NULL),
 p AS (SELECT *, t1 + (t2 - t1) * (k / 16e0) AS tt FROM d, range(0, 16) r(k))""",
         f"SELECT icao, seq, k::INT AS k, {whole(_curve('x'), '10e0')} AS x, {whole(_curve('y'), '10e0')} AS y FROM p",

@@ -10,13 +10,14 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contrail.functions import geo
 from contrail.operators import bezier, codec, curves, kalman, scans, thinning
 from contrail.operators import sequence as seq
 from contrail.operators.nearest import nearest_airport, surface_snap
+from contrail.operators.quantiles import at_ranks, between, interpolated
 
 
 def _xy(lat, lon) -> np.ndarray:
@@ -62,6 +63,16 @@ def _chosen(r: DataFrame, keep: str, errors: bool) -> DataFrame:
     return r.where(F.col(keep) | F.col("error").isNotNull()) if errors else r.where(keep)
 
 
+def levelled(samples: DataFrame, airports: DataFrame | None = None, denoise: bool = True, speed: dict[str, float] | None = None, jump: dict[str, float] | None = None, parked: dict[str, float] | None = None) -> DataFrame:
+    """Samples as thinning takes them: gated, parked runs merged, on one datum, at the field's elevation on the ground."""
+    r = gated(samples, speed, jump)
+    r = seq.parked(r, **(parked or {})).drop("merged") if denoise else r
+    whole_feet = {c: F.col(c).cast("long").cast("double") for c in ("baro", "geom")}
+    r = seq.datum(seq.long_enough(r, 2).withColumns(whole_feet))
+    r = r.withColumn("alt", F.when(F.col("geom").isNull(), F.rint("alt")).otherwise(F.col("alt"))).withColumn("alt", F.when(~F.col("gnd"), F.col("alt")))
+    return surface_snap(r, airports) if airports is not None else r
+
+
 def compress(samples: DataFrame, airports: DataFrame | None = None, denoise: bool = True, speed: dict[str, float] | None = None, jump: dict[str, float] | None = None, parked: dict[str, float] | None = None, errors: bool = False, **limits) -> DataFrame:
     """icao, seq, t (whole seconds), lat, lon (hundred-thousandths), alt (feet), on_ground: the thinned track.
 
@@ -69,12 +80,7 @@ def compress(samples: DataFrame, airports: DataFrame | None = None, denoise: boo
     and both again on what is kept. Of rows in one second the last stays. speed and jump: of the gates; parked: gs_kt and radius_m; limits: those of
     thinning. errors: see per_track; a track that fails has one row, with error.
     """
-    r = gated(samples, speed, jump)
-    r = seq.parked(r, **(parked or {})).drop("merged") if denoise else r
-    whole_feet = {c: F.col(c).cast("long").cast("double") for c in ("baro", "geom")}
-    r = seq.datum(seq.long_enough(r, 2).withColumns(whole_feet))
-    r = r.withColumn("alt", F.when(F.col("geom").isNull(), F.rint("alt")).otherwise(F.col("alt"))).withColumn("alt", F.when(~F.col("gnd"), F.col("alt")))
-    r = surface_snap(r, airports) if airports is not None else r
+    r = levelled(samples, airports, denoise, speed, jump, parked)
 
     def kernel(c):
         t, ground = c["t"], np.array(c["gnd"], dtype=bool)
@@ -266,21 +272,19 @@ def fit_report(samples: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def validation_report(validated: DataFrame) -> DataFrame:
     """One row over all tracks of validate: tracks, points, the medians over tracks of median and p95, the largest error and its track, and
-    the shares within and strictly within tolerance, by points."""
-    n = F.col("n")
+    the means over tracks of the shares within and strictly within tolerance."""
     return validated.agg(
         F.count("*").alias("tracks"), F.sum("n").alias("points"), F.median("median").alias("median"), F.median("p95").alias("p95"), F.max("max").alias("max"),
-        F.max_by("icao", F.struct("max", "icao")).alias("worst"), (F.sum(F.col("within") * n) / F.sum(n)).alias("within"), (F.sum(F.col("strict") * n) / F.sum(n)).alias("strict"),
+        F.max_by("icao", F.struct("max", "icao")).alias("worst"), F.avg("within").alias("within"), F.avg("strict").alias("strict"),
     )
 
 
 def report(analysed: DataFrame) -> DataFrame:
     """One row over all tracks: points, kept, median, p90 (by rank) and extremes of the points kept, worst errors by phase over tracks that have it."""
-    w = Window.orderBy("r")
-    ranked = analysed.select(F.col("keep_pct").alias("r"))
-    p90 = ranked.select("r", F.row_number().over(w).alias("i"), F.count("*").over(Window.partitionBy()).alias("n")).where(F.col("i") == F.floor(F.col("n") * 9 / 10) + 1).agg(F.max("r").alias("keep_p90"))
+    ranks = at_ranks(analysed, [], "keep_pct", between(0.5) | {"keep_p90": lambda n: F.least(F.floor(n * 9 / 10), n - 1)})
+    ranks = ranks.select(interpolated(0.5).alias("keep_median"), "keep_p90")
     worst = [F.max(F.when(F.col(f"{p}_n") > 0, F.col(f"{p}_max"))).alias(f"{p}_worst") for p in ("ground", "low", "high")]
-    return analysed.agg(F.count("*").alias("tracks"), F.sum("points").alias("points"), F.sum("kept").alias("kept"), F.median("keep_pct").alias("keep_median"), F.min("keep_pct").alias("keep_min"), F.max("keep_pct").alias("keep_max"), *worst).join(p90)
+    return analysed.agg(F.count("*").alias("tracks"), F.sum("points").alias("points"), F.sum("kept").alias("kept"), F.min("keep_pct").alias("keep_min"), F.max("keep_pct").alias("keep_max"), *worst).join(F.broadcast(ranks))
 
 
 def validate(samples: DataFrame, nodes: DataFrame, ground_m: float = 2.0, cruise_m: float = 150.0) -> DataFrame:
