@@ -10,11 +10,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import folded
+from contrail.llm.common import folded, written
 
 LG_K = 12
 #: Standard errors on either side of the threshold within which lines are counted exactly. One is 1.04 / sqrt(2^LG_K).
 BAND = 6
+#: Lines that are sent to every executor: some 60 bytes each.
+MOST_SENT = 200_000
 
 
 def lines(text: Column) -> Column:
@@ -28,15 +30,21 @@ def occurrences(docs: DataFrame) -> DataFrame:
     return each.where(F.length(F.trim("line")) > 0).select(F.xxhash64(F.trim("line")).alias("h"), F.crc32(F.trim("line")).alias("c"), "doc_id", "t", "site", "pos")
 
 
+def beside(lines: DataFrame) -> DataFrame:
+    """lines as one side of a join: sent to every executor up to MOST_SENT of them, which are counted, else joined by shuffling."""
+    return F.broadcast(lines) if lines.limit(MOST_SENT + 1).count() <= MOST_SENT else lines
+
+
 def spread_lines(found: DataFrame, sites: int) -> DataFrame:
     """(h, c, first): lines on `sites` distinct sites or more; first is their least (doc_id, t, pos), nulls first."""
     margin = BAND * 1.04 / (1 << LG_K) ** 0.5 * sites + 1
     sketched = found.groupBy("h", "c").agg(F.hll_sketch_agg("site", F.lit(LG_K)).alias("s"), F.min(F.struct("doc_id", "t", "pos")).alias("first"))
-    counted = sketched.select("h", "c", "first", F.hll_sketch_estimate("s").alias("n")).where(F.col("n") >= sites - margin)
+    counted = written(sketched.select("h", "c", "first", F.hll_sketch_estimate("s").alias("n")).where(F.col("n") >= sites - margin), "lines")
     near = counted.where(F.col("n") <= sites + margin).select("h", "c", "first")
-    exact = found.join(near, ["h", "c"]).where("site is not null").groupBy("h", "c", "site").agg(F.min("first").alias("first"))
+    # a line's sites are brought together before its occurrences are, so a line that stands everywhere is no group of all its rows
+    exact = found.where("site is not null").join(beside(near), ["h", "c"]).groupBy("h", "c", "site").agg(F.min("first").alias("first"))
     exact = exact.groupBy("h", "c").agg(F.count("*").alias("n"), F.min("first").alias("first")).where(F.col("n") >= sites)
-    return counted.where(F.col("n") > sites + margin).select("h", "c", "first").unionByName(exact.select("h", "c", "first"))
+    return written(counted.where(F.col("n") > sites + margin).select("h", "c", "first").unionByName(exact.select("h", "c", "first")), "spread")
 
 
 def remove_boilerplate(docs: DataFrame, sites: int = 10, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source") -> DataFrame:
@@ -50,7 +58,7 @@ def remove_boilerplate(docs: DataFrame, sites: int = 10, id_col: str = "doc_id",
     rest = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     found = occurrences(docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"), docs[site_col].alias("site")))
     spread = spread_lines(found, sites)
-    doomed = found.join(spread, ["h", "c"]).where(~F.struct("doc_id", "t", "pos").eqNullSafe(F.col("first")))
+    doomed = found.join(beside(spread), ["h", "c"]).where(~F.struct("doc_id", "t", "pos").eqNullSafe(F.col("first")))
     doomed = doomed.groupBy("doc_id", "t").agg(F.collect_set("pos").alias("gone"))
     keyed = docs.select(folded(docs, "n_lines", "n_removed").alias("row"), docs[id_col].alias("i"), docs[text_col].alias("text"), F.xxhash64(docs[text_col]).alias("u"))
     joined = keyed.join(doomed, F.col("i").eqNullSafe(F.col("doc_id")) & (F.col("u") == F.col("t")), "left")
