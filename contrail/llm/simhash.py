@@ -143,7 +143,7 @@ def linked(fps: DataFrame) -> DataFrame:
     """(fp, label) of the distinct fingerprints in fps that have a link: label is one for all that links join.
 
     First every member of a key is held against the key's least fingerprint; that joins nearly all of a group without
-    its pairs. Only keys that still hold several components have their pairs made, between components.
+    its pairs. Only keys that still hold several components have pairs made, between components, of fingerprints that agree in a quarter.
     """
     of_key = Window.partitionBy("key")
     shared = keyed(fps).select(
@@ -155,8 +155,12 @@ def linked(fps: DataFrame) -> DataFrame:
     known = shared.select("key", "fp", "index").join(labels.withColumnRenamed("node", "fp"), "fp", "left").withColumn("label", F.coalesce("label", "fp"))
     mixed = known.select("*", F.min("label").over(of_key).alias("lo"), F.max("label").over(of_key).alias("hi")).where("lo <> hi")
     mixed = written(mixed.select("key", "fp", "index", "label"), "mixed")
+    # of two fingerprints within three bits one of four quarters is equal: pairs are made within quarters of a key only
+    quarters = F.posexplode(F.array(*[F.shiftrightunsigned("fp", 16 * q).bitwiseAND(F.lit(0xFFFF)) for q in range(4)])).alias("q", "bits")
+    mixed = mixed.select("key", "fp", "index", "label", quarters)
     x, y = mixed.where("index").alias("x"), mixed.alias("y")
-    pairs = x.join(y, F.col("x.key") == F.col("y.key")).where((F.col("x.label") != F.col("y.label")) & (far("x.fp", "y.fp") <= LIMIT))
+    equal = (F.col("x.key") == F.col("y.key")) & (F.col("x.q") == F.col("y.q")) & (F.col("x.bits") == F.col("y.bits"))
+    pairs = x.join(y, equal).where((F.col("x.label") != F.col("y.label")) & (far("x.fp", "y.fp") <= LIMIT))
     second = written(components(pairs.select(F.col("x.label").alias("a"), F.col("y.label").alias("b"))), "joined")
     # labels of the second round are over those of the first, or over fingerprints that had no link before
     one = labels.select(F.col("node").alias("fp"), F.col("label").alias("l")).join(second.withColumnRenamed("node", "l"), "l", "left").select("fp", F.coalesce("label", "l").alias("label"))
