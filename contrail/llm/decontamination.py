@@ -8,19 +8,22 @@ gives all occurrences, and places in that string are word numbers, which map bac
 from __future__ import annotations
 
 import re
+import uuid
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from contrail.llm.common import bounded
+from contrail.llm.common import bounded, written
 
 #: Words are runs of digits, a-z and all beyond ASCII, after A-Z are lower-cased: other bytes become blanks.
 NORMAL = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 #: Most bytes of item texts in one automaton: some 4 words a byte of patterns stay under 1 GB.
 MOST_BYTES = 8 << 20
+#: Hash buckets of items, of which parts are made up.
+BUCKETS = 4096
 #: Words that are in no item, and the first character that stands for a word; UTF-16's surrogates are left out.
 OTHER, FIRST, GAP, GAP_SIZE = "\x00", 1, 0xD800, 0x800
 
@@ -78,14 +81,30 @@ def _merged(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _parts(benchmark: DataFrame, most_bytes: int) -> list[list[tuple]]:
-    """The items in lists of at most most_bytes of text, unless one item alone has more. Sizes are checked before anything is fetched."""
-    total = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = -(-total // most_bytes) or 1
-    if n == 1:
-        return [[tuple(r) for r in benchmark.collect()]]
-    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
-    return [[tuple(r) for r in benchmark.where(part == k).collect()] for k in range(n)]
+def _parts(items: DataFrame, most_bytes: int) -> list[DataFrame]:
+    """The items in parts of at most most_bytes of text, unless one of BUCKETS hash buckets alone has more. Sizes are counted before anything is
+    fetched."""
+    bucket = F.pmod(F.xxhash64("item_id", "text"), F.lit(BUCKETS))
+    sizes = items.groupBy(bucket.alias("k")).agg(F.sum(F.octet_length("text")).alias("n")).orderBy("k").collect()
+    parts, size = [[0, BUCKETS]], 0
+    for k, n in sizes:
+        if size and size + n > most_bytes:
+            parts[-1][1] = k
+            parts.append([k, BUCKETS])
+            size = 0
+        size += n
+    return [items.where((bucket >= a) & (bucket < b)) for a, b in parts] if len(parts) > 1 else [items]
+
+
+_MATCHERS: dict[str, Matcher] = {}
+
+
+def _matcher(name: str, part, window: int) -> Matcher:
+    """One automaton for each worker process; another part's takes its place."""
+    if name not in _MATCHERS:
+        _MATCHERS.clear()
+        _MATCHERS[name] = Matcher(part.value, window)
+    return _MATCHERS[name]
 
 
 RESULTS = ("n_words", "n_hit", "item_ids", "spans")
@@ -95,18 +114,22 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = 13, text_col: str
     """docs with n_words, n_hit (words inside any occurrence of a window), item_ids (of items with occurring windows, as
     strings in ascending order) and spans (start, end: characters of the text covered by maximal runs of hit words).
 
-    A benchmark of more than most_bytes is scanned for in several passes, each with an automaton of bounded size, whose hits are
-    united. Null texts have no words. Null item ids hit but are not listed; repeated ids are listed once. Other columns
+    A benchmark of more than most_bytes is scanned for in several passes, one written after the other, each with an automaton of bounded
+    size, whose hits are united; the driver holds one part at a time. Texts are scanned whole, however long; repeated rows alike. Null texts have no words. Null item ids hit but are not listed; repeated ids are listed once. Other columns
     stay; those named as the results are replaced. An empty benchmark hits nothing.
     """
     context = docs.sparkSession.sparkContext
     rest = bounded(docs).drop(*RESULTS)
     items = benchmark.select(benchmark[item_col].cast("string").alias("item_id"), benchmark[item_text_col].alias("text"))
     items = items.where("text is not null")
-    parts = [context.broadcast(x) for x in _parts(items, most_bytes)]
+    parts = _parts(items.distinct(), most_bytes)
     out = rest
     for k, part in enumerate(parts):
-        out = _pass(out, rest.schema, part, window, text_col, k == 0, k == len(parts) - 1)
+        sent = context.broadcast([tuple(r) for r in part.collect()])
+        out = _pass(out, rest.schema, sent, window, text_col, k == 0, k == len(parts) - 1)
+        if k < len(parts) - 1:
+            out = written(out, "scanned")
+            sent.destroy()
     return out
 
 
@@ -120,8 +143,10 @@ def _pass(df: DataFrame, schema: T.StructType, part, window: int, text_col: str,
     arrow = {"n_words": pa.int64(), "n_hit": pa.int64(), "item_ids": pa.list_(pa.string()), "spans": pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])), "_runs": pa.list_(pa.int32()), "_items": pa.list_(pa.string())}
     kept = len(schema.fields)
 
+    name = uuid.uuid4().hex
+
     def run(batches):
-        matcher = Matcher(part.value, window)
+        matcher = _matcher(name, part, window)
         for batch in batches:
             at = batch.schema.get_field_index(text_col)
             rows = []
