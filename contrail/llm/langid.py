@@ -141,19 +141,19 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", s
     the first."""
     rows = bounded(labelled).select(labelled[text_col].alias("text"), labelled[lang_col].alias("lang")).where("lang is not null and text is not null")
     found = rows.mapInArrow(_counts, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    found = found.groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("c")).orderBy("lang").limit(MOST_LANGUAGES + 1)  # DIMS + 1 pairs a language at most
-    got = found.collect()
-    if len(got) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    matrix, docs = np.full((len(got), DIMS + 1), smoothing), np.zeros(len(got))
-    for k, row in enumerate(got):
-        for bucket, count in row["c"]:
-            matrix[k, bucket] += count
-        docs[k], matrix[k, DIMS] = matrix[k, DIMS] - smoothing, 0
-    logs = np.zeros((len(got), DIMS + 1), dtype=np.float32)
-    if got:
+    n_langs = rows.select("lang").distinct().limit(MOST_LANGUAGES + 1).count()
+    if n_langs > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages: the matrix would not fit a worker")
+    got = found.toArrow()  # DIMS + 1 rows a language at most
+    langs = sorted(set(got.column(0).to_pylist()))
+    at = np.searchsorted(np.array(langs, dtype=object), np.array(got.column(0).to_pylist(), dtype=object)) if langs else np.empty(0, dtype=np.int64)
+    counts = np.zeros((len(langs), DIMS + 1))
+    counts[at, got.column(1).to_numpy()] = got.column(2).to_numpy()
+    docs, matrix = counts[:, DIMS].copy(), counts + smoothing
+    logs = np.zeros((len(langs), DIMS + 1), dtype=np.float32)
+    if langs:
         logs[:, :DIMS] = np.log(matrix[:, :DIMS] / matrix[:, :DIMS].sum(axis=1, keepdims=True))
-    return Model([r["lang"] for r in got], logs, np.log(docs / docs.sum()) if got else docs)
+    return Model(langs, logs, np.log(docs / docs.sum()) if langs else docs)
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:

@@ -1,9 +1,11 @@
 import math
+import struct
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from contrail.llm import ann, decontamination, langid, queries, sharding, url_filter
@@ -83,6 +85,26 @@ def test_op4(spark, sf_dir):
     assert len(rows) == len(docs) and all(sorted(s) == list(range(len(s))) for s in slots.values())
 
 
+def drawn(key, node):
+    """The shard of a key, by XXH64 of the key's eight bytes and then of the child's name, each seeded with the hash before."""
+    while node.children:
+        def cost(child):
+            seed = 42 if key is None else xxhash.xxh64_intdigest(struct.pack("<q", key), 42)
+            u = ((xxhash.xxh64_intdigest(child.name.encode(), seed) >> 12) + 0.5) / 2**52
+            return -math.log(u) / child.weight
+
+        node = min(node.children, key=cost)
+    return node.shard
+
+
+def test_shards_by_hand(spark):
+    ids = [None, 0, 1, -5, 2**62, *range(1000, 3000, 7)]
+    docs = spark.createDataFrame([(i, "x") for i in ids], "doc_id long, text string")
+    for n in (1, 5, 24, 26):
+        got = {r.doc_id: (r.shard, r.grown_shard) for r in sharding.assign(docs, n).collect()}
+        assert got == {i: (drawn(i, sharding.topology(n)), drawn(i, sharding.topology(n + 1))) for i in ids}
+
+
 def test_sharding_odd_rows(odd_docs, odd_rows, no_docs):
     rows = sharding.assign(odd_docs, 24, spread=4).collect()
     assert Counter((r.doc_id, r.size) for r in rows) == Counter((r[0], len((r[1] or "").encode()) + 8) for r in odd_rows)
@@ -161,6 +183,36 @@ def test_language_odd_rows(spark, odd_docs, odd_rows, no_docs, monkeypatch):
     assert whole[0] == cut[0] and np.allclose(whole[1], cut[1], atol=1e-3)
 
 
+def counted(text):
+    """{bucket: n} of a text's n-grams, each hashed by itself."""
+    padded = [32, 32, *[ord(c.lower()) if c.isalpha() else 32 for c in text], 32, 32]
+    out = Counter()
+    for n in langid.SIZES:
+        for p in range(len(padded) - n + 1):
+            g = padded[p : p + n]
+            if (n == 1 and g[0] == 32) or any(g[k] == 32 == g[k + 1] for k in range(n - 1)):
+                continue
+            h = 0
+            for c, f in zip(g, langid.FACTORS):
+                h = (h + c * f) & 0xFFFFFFFF
+            out[(((h ^ h >> 15) * (langid.SIZE_FACTOR + 2 * n)) & 0xFFFFFFFF) >> 17] += 1
+    return out
+
+
+def test_training_by_hand(spark):
+    """Counts, smoothing and priors; rows without language or text, repeated rows and texts without letters."""
+    rows = [("en", "The cat"), ("en", "the cat"), ("en", "the cat"), ("de", "Die Katze, ja!"), ("fr", "..."), (None, "nothing"), ("en", None), ("de", "")]
+    model = langid.train(spark.createDataFrame(rows, "lang string, text string").repartition(3))
+    assert model.languages == ["de", "en", "fr"]
+    known = [(x, t) for x, t in rows if x and t is not None]
+    for k, lang in enumerate(model.languages):
+        total = sum((counted(t) for x, t in known if x == lang), Counter())
+        whole = sum(total.values()) + 0.5 * langid.DIMS
+        want = np.log([(total[b] + 0.5) / whole for b in range(langid.DIMS)])
+        assert np.allclose(model.matrix[k, : langid.DIMS], want, atol=1e-5) and model.matrix[k, langid.DIMS] == 0
+        assert math.isclose(model.priors[k], math.log(sum(x == lang for x, _ in known) / len(known)))
+
+
 def test_naive_bayes_by_hand():
     """Scores of a text are sums over its n-grams, each looked up by itself."""
     model = langid.Model(["a", "b"], np.vstack([np.append(np.random.default_rng(k).normal(size=langid.DIMS), 0) for k in (0, 1)]).astype(np.float32), np.zeros(2))
