@@ -3,8 +3,9 @@
 Texts of similarity 4/5 differ in about ten of 64 fingerprint bits, so Golay keys, which find three, settle the closest
 copies only. For the rest each text has keys of a second kind: the least of its shingles under `ROWS` orders, for BANDS sets
 of orders. Two texts of similarity s have a key in common but with probability (1 - s^ROWS)^BANDS: 3 in a million at 4/5.
-What shares a key is verified exactly: a text is held against one text of each key first, which joins nearly all of a group
-without its pairs; keys that still hold several groups take more and more of their texts as such, so nothing is left out.
+What shares a key is verified exactly: a text is held against one text of a key first, then against a few, which joins nearly all of a
+group without its pairs. Texts of keys that still hold several groups are held against those that share one of their rarest shingles,
+which no pair of similarity 4/5 escapes.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from contrail.llm import simhash
@@ -27,8 +28,8 @@ BLOCK = 1 << 19
 BASE = 0x9E3779B97F4A7C15
 UNBASE = pow(BASE, -1, 1 << 64)
 ORDERS = np.random.default_rng(7).integers(1 << 63, size=BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-#: How many texts of a key the others are held against grows by this factor with each round.
-GROWTH = 4
+#: How many texts of a key the others are held against, by round.
+PICKED = (1, 4)
 
 _POWERS: list[np.ndarray] = []
 
@@ -173,6 +174,30 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return written(both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "alike")
 
 
+def rare_pairs(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, b): texts of members (t, label) with different labels that may be alike, by a shingle that both have.
+
+    All shingles have one order: those that one label alone has come first, then by the number of texts that have them. Two sets of
+    similarity 4/5 share one of their first n - ceil(4 n / 5) + 1 shingles, n being either's size, and its place bounds how many they can share.
+    """
+
+    def run(batches):
+        for batch in batches:
+            for part in (batch.slice(k, 200) for k in range(0, batch.num_rows, 200)):
+                sets = [shingles(x.as_py()) for x in part.column(2)]
+                sizes = [len(x) for x in sets]
+                yield pa.record_batch({"t": np.repeat(part.column(0).to_numpy(), sizes), "label": np.repeat(part.column(1).to_numpy(), sizes), "s": np.concatenate(sets), "n": np.repeat(np.array(sizes, dtype=np.int64), sizes)})
+
+    each = written(members.join(texts, "t").select("t", "label", "text").mapInArrow(run, "t long, label long, s long, n long"), "shingles")
+    several = each.groupBy("s").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("df")).where("lo <> hi").select("s", "df")
+    own = Window.partitionBy("t")  # a text's own shingles
+    placed = each.join(several, "s").withColumn("c", F.count("*").over(own)).withColumn("rest", F.col("c") - F.row_number().over(own.orderBy("df", "s")))
+    first = written(placed.where(F.col("n") - F.col("rest") <= F.col("n") - F.ceil(F.col("n") * 4 / 5) + 1).select("s", "t", "label", "n", "rest"), "firsts")
+    x, y = first.alias("x"), first.alias("y")
+    may = (F.col("x.t") < F.col("y.t")) & (F.col("x.label") != F.col("y.label")) & (9 * (F.least("x.rest", "y.rest") + 1) >= 4 * (F.col("x.n") + F.col("y.n")))
+    return x.join(y, (F.col("x.s") == F.col("y.s")) & may).select(F.col("x.t").alias("a"), F.col("y.t").alias("b"))
+
+
 def golay_pairs(sketched: DataFrame) -> DataFrame:
     """(a, b): texts within three bits of the least text of one of their Golay keys, one pair for each fingerprint."""
     fps = sketched.groupBy("fp").agg(F.min("t").alias("t"))
@@ -209,30 +234,32 @@ def linked(docs: DataFrame, text_col: str = "text") -> DataFrame:
     wanted = left.select("t").unionByName(pairs.select(F.col("a").alias("t"))).unionByName(pairs.select(F.col("b").alias("t"))).distinct()
     each = docs.select(F.xxhash64(text_col).alias("t"), F.coalesce(text_col, F.lit("")).alias("text"))
     texts = written(each.join(wanted, "t", "left_semi").groupBy("t").agg(F.first("text").alias("text")), "texts")
-    tried, labels, n = pairs, joined(None, verified(pairs, texts)), 1
-    while True:
+    tried, labels = pairs, joined(None, verified(pairs, texts))
+    for n in (*PICKED, None):
         known = left.select("key", "t").join(labels, "t", "left").withColumn("label", F.coalesce("label", "t"))
-        chance = F.pmod(F.xxhash64("t", F.lit(n)), F.lit(1 << 40))
+        chance = F.pmod(F.xxhash64("t", F.lit(n or 0)), F.lit(1 << 40))
         several = known.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n"), F.min(F.struct(chance.alias("h"), "t")).alias("first"))
         several = several.where("lo <> hi").select("key", "n", F.col("first.t").alias("first"))
         # the texts that the others of their key are held against
-        picked = (F.col("t") == F.col("first")) | (chance < F.lit(float(n << 40)) / F.col("n"))
+        picked = (F.col("t") == F.col("first")) | (chance < F.lit(float((n or 0) << 40)) / F.col("n"))
         now = written(known.join(several, "key").select("key", "t", "label", picked.alias("picked")), "mixed")
         dropped(left)
         if now.isEmpty():
-            return labels
-        x, y = now.alias("x"), now.where("picked").alias("y")
-        # of two picked texts of a key one is held against the other
-        once = (F.col("x.label") != F.col("y.label")) & (~F.col("x.picked") | (F.col("x.t") < F.col("y.t")))
-        pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & once).select(F.least("x.t", "y.t").alias("a"), F.greatest("x.t", "y.t").alias("b"), F.col("x.t").alias("member"))
+            break
+        if n is None:
+            pairs = rare_pairs(now.select("t", "label").distinct(), texts)
+        else:
+            x, y = now.alias("x"), now.where("picked").alias("y")
+            # of two picked texts of a key one is held against the other
+            once = (F.col("x.label") != F.col("y.label")) & (~F.col("x.picked") | (F.col("x.t") < F.col("y.t")))
+            pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & once).select(F.least("x.t", "y.t").alias("a"), F.greatest("x.t", "y.t").alias("b"), F.col("x.t").alias("member"))
         if n == 1:  # most groups are joined by one pair for each text
             pairs = pairs.groupBy("member").agg(F.min(F.struct("a", "b")).alias("p")).select("p.a", "p.b")
         pairs = written(pairs.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
         tried = tried.unionByName(pairs)
         labels = joined(labels, verified(pairs, texts))
-        # a text that all others of its key were held against is done with that key
-        left = now if n == 1 else now.where("not picked")
-        n *= GROWTH
+        left = now
+    return labels
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -48,14 +48,16 @@ def near_copies():
         base = prose(rng, size)
         rows += [base, *[changed(rng, base, rng.randint(0, max(1, size // 30))) for _ in range(8)]]
         rows += [base + " " + prose(rng, max(1, size // k)) for k in (3, 4, 5, 8)]
+    base = prose(rng, 120)  # many around a threshold to one text, few of them alike
+    rows += [base, *[changed(rng, base, 4 + k % 4) for k in range(60)]]
     rows += [prose(rng, 30) + " " + passage + " " + prose(rng, 30) for _ in range(40)] + ["x", "X", "", " \n", None, "one two", "One  two three"]
     rng.shuffle(rows)
     return list(enumerate(rows))
 
 
-@pytest.mark.parametrize("growth,block", [(4, 2 << 20), (2, 300)])
-def test_stage_finds_every_near_copy(spark, near_copies, monkeypatch, growth, block):
-    monkeypatch.setattr(jaccard, "GROWTH", growth)
+@pytest.mark.parametrize("picked,block", [((1, 4), 1 << 19), ((1,), 300), ((), 1 << 19)])
+def test_stage_finds_every_near_copy(spark, near_copies, monkeypatch, picked, block):
+    monkeypatch.setattr(jaccard, "PICKED", picked)
     monkeypatch.setattr(jaccard, "BLOCK", block)
     docs = spark.createDataFrame(near_copies, "doc_id long, text string").repartition(3)
     got = [r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()]
