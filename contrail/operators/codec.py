@@ -107,13 +107,18 @@ def predicted(nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes - d * third[0], nodes + d * third[1]
 
 
+def residuals(nodes: np.ndarray, handles: np.ndarray, predict: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """(there, off): which handles there are, and what they differ from a smooth curve's by, or from their nodes, in whole steps."""
+    base = np.stack(predicted(nodes), axis=1) if predict else np.repeat(nodes[:, None], 2, axis=1)
+    there = ~np.isnan(handles[:, :, 0])
+    return there, np.rint(np.where(there[:, :, None], handles - base, 0) / HANDLE_M).astype(np.int64)
+
+
 def encode_nodes(fixed: np.ndarray, cusp: np.ndarray, nodes: np.ndarray, handles: np.ndarray, predict: bool) -> bytes:
     """fixed: whole numbers (lat, lon, alt in 25 ft steps); nodes: metres; handles: (n, 2, 2) in and out, NaN where there is none.
     With predict only what the handles differ from a smooth curve's is kept."""
     n = len(nodes)
-    base = np.stack(predicted(nodes), axis=1) if predict else np.repeat(nodes[:, None], 2, axis=1)
-    there = ~np.isnan(handles[:, :, 0])
-    off = np.rint(np.where(there[:, :, None], handles - base, 0) / HANDLE_M).astype(np.int64)
+    there, off = residuals(nodes, handles, predict)
     steps = zigzag(np.diff(fixed, axis=0, prepend=np.zeros((1, 3), dtype=np.int64)))
     out: list[int] = []
     for i in range(n):

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from contrail.functions import geo
-from contrail.operators.nearest import nearest_airport
+from contrail.operators.nearest import nearest_airport, sent
 from contrail.operators.sequence import TRACK, following, islands, ordered, whole
 
 
@@ -99,7 +99,7 @@ def clip(rows: DataFrame, airports: DataFrame, radius_km: float) -> DataFrame:
     """Rows of fan_out that lie within radius_km of their airport (great circle); all of them for 0."""
     if radius_km <= 0:
         return rows
-    at = F.broadcast(airports.select(F.col("ident").alias("airport"), F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon")))
+    at = sent(airports.select(F.col("ident").alias("airport"), F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon")))
     return rows.join(at, "airport").where(geo.haversine_km("p_lat", "p_lon", "lat", "lon") < radius_km).drop("p_lat", "p_lon")
 
 

@@ -15,6 +15,12 @@ from contrail.functions import geo
 MOST_SENT = 500_000
 
 
+def sent(airports: DataFrame, lists: DataFrame | None = None) -> DataFrame:
+    """lists, or airports themselves, to every executor if there are at most MOST_SENT airports, which are counted; else joined by shuffling."""
+    out = airports if lists is None else lists
+    return F.broadcast(out) if airports.limit(MOST_SENT + 1).count() <= MOST_SENT else out
+
+
 def cells(airports: DataFrame, payload: str) -> DataFrame:
     """(cy, cx, near): the airports of a cell and its eight neighbours. Rows without coordinates are left out."""
     steps = F.array(*[F.struct(F.lit(y).alias("y"), F.lit(x).alias("x")) for y in (-1, 0, 1) for x in (-1, 0, 1)])
@@ -26,9 +32,7 @@ def cells(airports: DataFrame, payload: str) -> DataFrame:
 
 def nearest_airport(points: DataFrame, airports: DataFrame, payload: str, name: str, lat: str = "lat", lon: str = "lon", radius_km: float = 10.0) -> DataFrame:
     """points with name: payload of the nearest airport closer than radius_km, the first in the file among equals; else null."""
-    lists = cells(airports, payload)
-    if airports.count() <= MOST_SENT:
-        lists = F.broadcast(lists)
+    lists = sent(airports, cells(airports, payload))
     r = points.withColumns({"_cy": F.rint(lat).cast("int"), "_cx": F.rint(lon).cast("int")})
     r = r.join(lists, (F.col("_cy") == F.col("cy")) & (F.col("_cx") == F.col("cx")), "left")
     ranked = F.transform("near", lambda a: F.struct(geo.km(F.col(lat), F.col(lon), a["a_lat"], a["a_lon"]).alias("d"), a["pos"].alias("pos"), a["payload"].alias("payload")))

@@ -389,6 +389,11 @@ def bezier_nodes(spark, d):
     return tracks.bezier_nodes(fixtures.dense(spark, d), fixtures.airports(spark, d))
 
 
+@query
+def bezier_columns(spark, d):
+    return tracks.bezier_columns(fixtures.dense(spark, d), fixtures.airports(spark, d))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

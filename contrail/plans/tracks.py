@@ -167,21 +167,33 @@ def fit(samples: DataFrame, airports: DataFrame | None = None, ground_m: float =
     return _chosen(r, "node", errors).select("icao", "seq", F.rint(F.col("t") * 10).cast("int").alias("t"), geo.encode("lat").alias("lat"), geo.encode("lon").alias("lon"), F.rint("node_alt").cast("int").alias("alt"), F.col("gnd").alias("on_ground"), "cusp", *(["error"] if errors else []))
 
 
+def _unthinned(samples: DataFrame, airports: DataFrame | None, least: int = 3) -> DataFrame:
+    """Samples of tracks of `least` points and more on one datum, with elev: the field's elevation on the ground."""
+    r = seq.datum(seq.long_enough(samples, least))
+    if airports is None:
+        return r.withColumn("elev", F.lit(None).cast("double"))
+    return nearest_airport(r, airports, "elev", "elev").withColumn("elev", F.when(F.col("gnd"), F.col("elev").cast("double")))
+
+
+def _bezier(table: pa.Table, ground_m: float, cruise_m: float, degrees: float):
+    """(places in the sorted table, metres, altitudes, nodes among them, cusp, handles, metres to a degree east); None for tracks of less than three points."""
+    c = {n: table.column(n).to_pylist() for n in ("lat", "lon", "alt", "elev", "gnd")}
+    at, xy, alt, ground = _track(c, 1.5)
+    if len(at) < 3:
+        return None
+    k, cusp, handles = bezier.nodes(xy, thinning.ramp(alt, 500.0, 12000.0, ground_m, cruise_m), ground, degrees)
+    return at, xy, alt, k, cusp, handles, geo.M_PER_DEGREE * np.cos(np.radians(np.mean(c["lat"])))
+
+
 def bezier_nodes(samples: DataFrame, airports: DataFrame | None = None, ground_m: float = 2.0, cruise_m: float = 150.0, degrees: float = 35.0) -> DataFrame:
     """icao, n_nodes, n_points, naive_bytes, predicted_bytes, worst_handle_m: Bezier fits of unthinned tracks and their codecs' sizes."""
-    r = seq.datum(seq.long_enough(samples, 3))
-    r = nearest_airport(r, airports, "elev", "elev").withColumn("elev", F.when(F.col("gnd"), F.col("elev").cast("double"))) if airports is not None else r.withColumn("elev", F.lit(None).cast("double"))
     schema = "icao string, n_points long, n_nodes long, naive_bytes long, predicted_bytes long, worst_handle_m double"
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by([("t", "ascending"), ("seq", "ascending")])
-        c = {n: table.column(n).to_pylist() for n in ("lat", "lon", "alt", "elev", "gnd")}
-        at, xy, alt, ground = _track(c, 1.5)
         rows = []
-        if len(at) >= 3:
-            tol = thinning.ramp(alt, 500.0, 12000.0, ground_m, cruise_m)
-            k, cusp, handles = bezier.nodes(xy, tol, ground, degrees)
-            kx = geo.M_PER_DEGREE * np.cos(np.radians(np.mean(c["lat"])))
+        if (fitted := _bezier(table, ground_m, cruise_m, degrees)) is not None:
+            at, xy, alt, k, cusp, handles, kx = fitted
             fixed = np.rint(np.stack((xy[k, 1] / geo.M_PER_DEGREE * geo.SCALE, xy[k, 0] / kx * geo.SCALE, alt[k] / codec.ALT_FT), axis=1)).astype(np.int64)
 
             def metres(f):
@@ -195,14 +207,34 @@ def bezier_nodes(samples: DataFrame, airports: DataFrame | None = None, ground_m
             rows.append((table.column("icao")[0].as_py(), len(at), len(k), *sizes, off))
         return pa.table([pa.array(list(x), t) for x, t in zip(zip(*rows) if rows else [[]] * 6, (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64()))], names=["icao", "n_points", "n_nodes", "naive_bytes", "predicted_bytes", "worst_handle_m"])
 
-    return r.groupBy("icao").applyInArrow(run, schema)
+    return _unthinned(samples, airports).groupBy("icao").applyInArrow(run, schema)
+
+
+def bezier_columns(samples: DataFrame, airports: DataFrame | None = None, ground_m: float = 2.0, cruise_m: float = 150.0, degrees: float = 35.0) -> DataFrame:
+    """One row a node of the Bezier fit: icao, seq, t (whole seconds), lat, lon, alt, on_ground, cusp, has_in, has_out, and in half metres what its
+    handles differ by from those of a smooth curve: hin_dx, hin_dy, hout_dx, hout_dy, 0 where there is no handle."""
+    schema = "icao string, seq long, t int, lat int, lon int, alt int, on_ground boolean, cusp boolean, has_in boolean, has_out boolean, hin_dx int, hin_dy int, hout_dx int, hout_dy int"
+    names = [x.split()[0] for x in schema.split(", ")]
+    kinds = [pa.string(), pa.int64(), *[pa.int32()] * 4, *[pa.bool_()] * 4, *[pa.int32()] * 4]
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("t", "ascending"), ("seq", "ascending")])
+        columns = [[] for _ in names]
+        if (fitted := _bezier(table, ground_m, cruise_m, degrees)) is not None:
+            at, xy, alt, k, cusp, handles, kx = fitted
+            own = table.take(pa.array(at[k]))
+            there, off = codec.residuals(xy[k], handles)
+            place = np.rint(np.stack((xy[k, 1] / geo.M_PER_DEGREE, xy[k, 0] / kx)) * geo.SCALE)
+            columns = [own.column("icao"), own.column("seq"), np.trunc(own.column("t").to_numpy()), *place, np.rint(alt[k]), own.column("gnd"), cusp, there[:, 0], there[:, 1], *off.reshape(len(k), 4).T]
+        return pa.table([pa.array(c).cast(t) if not isinstance(c, pa.ChunkedArray) else c.cast(t) for c, t in zip(columns, kinds)], names=names)
+
+    return _unthinned(samples, airports).groupBy("icao").applyInArrow(run, schema)
 
 
 def smooth(samples: DataFrame, airports: DataFrame | None = None, ground_m: float = 5.0, settings: kalman.Settings = kalman.Settings(), errors: bool = False, **limits) -> DataFrame:
     """icao, seq, t (whole seconds), lat, lon, alt, on_ground: the smoothed track, thinned. errors: see per_track; a track that fails has
     one row, with error."""
-    r = seq.datum(seq.long_enough(samples, 2))
-    r = nearest_airport(r, airports, "elev", "elev").withColumn("elev", F.when(F.col("gnd"), F.col("elev").cast("double"))) if airports is not None else r.withColumn("elev", F.lit(None).cast("double"))
+    r = _unthinned(samples, airports, 2)
 
     def kernel(c):
         lat, lon, alt = kalman.smooth(c["t"], c["lat"], c["lon"], c["gnd"], c["alt"], c["elev"], c["gs"], c["trk"], c["vr"], c["src"], settings)

@@ -6,7 +6,7 @@ import statistics
 import numpy as np
 import pytest
 
-from contrail.operators import codec
+from contrail.operators import bezier, codec
 from contrail.plans import registry, tracks
 from contrail.plans.oracles import LEGS, milli
 from contrail.sources import fixtures
@@ -392,6 +392,34 @@ def test_bezier_nodes(spark, sf_dir):
     assert all(2 <= r.n_nodes <= r.n_points and r.worst_handle_m <= codec.HANDLE_M / 2 + 1e-9 for r in got.values()), got
 
 
+def test_bezier_columns(spark, sf_dir):
+    """Handles put together again from the residuals, by the plain prediction, are those of the fit."""
+    nodes, samples = by_track(registry.queries()["bezier_columns"](spark, sf_dir)), by_track(tracks._unthinned(fixtures.dense(spark, sf_dir), fixtures.airports(spark, sf_dir)))
+    counts = {r.icao: r.n_nodes for r in registry.queries()["bezier_nodes"](spark, sf_dir).collect()}
+    assert {k: len(v) for k, v in nodes.items()} == counts
+    for icao, own in list(nodes.items())[:5]:
+        rows = samples[icao]
+        every, place = tracks._xy([r.lat for r in rows], [r.lon for r in rows]).tolist(), {r.seq: i for i, r in enumerate(rows)}
+        own.sort(key=lambda r: place[r.seq])
+        p = [every[place[r.seq]] for r in own]
+        for k, r in enumerate(own):
+            s = rows[place[r.seq]]
+            assert (r.t, r.lat, r.lon, r.on_ground) == (int(s.t), fixed(s.lat), fixed(s.lon), s.gnd) and r.has_in == (k > 0) and r.has_out == (k < len(own) - 1)
+        handles = []
+        for k, r in enumerate(own):
+            a, b = p[max(k - 1, 0)], p[min(k + 1, len(p) - 1)]
+            n = math.dist(a, b) or 1.0
+            d = ((b[0] - a[0]) / n, (b[1] - a[1]) / n)
+            back, on = math.dist(a, p[k]) / 3, math.dist(b, p[k]) / 3
+            handles.append(((p[k][0] - d[0] * back + r.hin_dx / 2, p[k][1] - d[1] * back + r.hin_dy / 2), (p[k][0] + d[0] * on + r.hout_dx / 2, p[k][1] + d[1] * on + r.hout_dy / 2)))
+        at = moved(every, 1.5)
+        alt = [e if e is not None else rows[i].alt or 0.0 for i, e in zip(at, held([rows[i].elev for i in at], [rows[i].gnd for i in at]))]
+        k, cusp, want = bezier.nodes(np.array(every)[at], np.array([ramp(a, 500, 12000, 2, 150) for a in alt]), np.array([rows[i].gnd for i in at]))
+        assert [at[i] for i in k] == [place[r.seq] for r in own] and cusp.tolist() == [r.cusp for r in own]
+        for h, w in zip(handles, want):
+            assert all(np.isnan(y).any() or max(abs(x[0] - y[0]), abs(x[1] - y[1])) <= 0.26 for x, y in zip(h, w))
+
+
 @pytest.mark.parametrize("values", [[5.0], [1.0, 1.0, 1.0], [0.0, -3.0, 7.5, 7.5, 1e9, 1e-9], list(map(float, range(1000)))])
 def test_ranks(spark, values):
     from pyspark.sql import functions as F
