@@ -100,3 +100,27 @@ def test_track_plans_without_points(track):
     assert tracks.compress(none).count() == tracks.fit(none).count() == tracks.smooth(none).count() == 0
     one = track({})
     assert tracks.compress(one).count() == tracks.fit(one).count() == tracks.smooth(one).count() == 0
+
+
+def test_a_track_of_a_whole_day(spark):
+    """50,000 fixes of one aircraft: what follows a row is found without going through the track anew for each row."""
+    import time
+
+    from pyspark.sql import functions as F
+
+    from contrail.operators import legs
+    from contrail.operators import sequence as seq
+
+    n = 50_000
+    i = F.col("id")
+    r = spark.range(n).select(
+        F.lit("a").alias("icao"), i.alias("seq"), i.cast("double").alias("t"), (40 + i * 1e-5).alias("lat"), (2 + i * 1e-5).alias("lon"), ((i < 100) | (i > n - 100)).alias("gnd"),
+        F.when((i == 0) | (i == n - 1), F.lit(100.0)).alias("geom"), F.lit(50.0).alias("baro"),
+    )
+    r = r.withColumn("baro", F.when(F.col("gnd"), None).otherwise(F.col("baro")))
+    began = time.time()
+    assert seq.datum(r).agg(F.count("alt")).first()[0] > 0
+    assert legs.leg_points(r).agg(F.max("leg")).first()[0] == 0
+    kept = seq.linear_error(seq.projected(r), (F.col("seq") == 0) | (F.col("seq") == n - 1))
+    assert kept.agg(F.max("err")).first()[0] < 1
+    assert time.time() - began < 60
