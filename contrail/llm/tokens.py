@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import os
 import re
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,7 +19,11 @@ import pyarrow.compute as pc
 #: Kinds of characters: letters, digits, the blank, other white space, and everything else.
 LETTER, DIGIT, OTHER, BLANK, SPACE = range(5)
 #: Bytes of text that are worked on at a time; a longer text is cut before a blank.
-BLOCK = 4 << 20
+BLOCK = 2 << 20
+#: Bytes of the longest pre-tokens that are looked up; longer ones are encoded each time.
+LONGEST = 64
+#: Powers of two odd bases.
+POWERS = [np.cumprod(np.full(LONGEST + 1, x, dtype=np.uint64), dtype=np.uint64) for x in (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)]
 #: A blank before a printable ASCII sign always begins a pre-token.
 SAFE = re.compile(rb" [!-~]")
 #: What an apostrophe makes one pre-token with, by the usual pattern of byte-level vocabularies.
@@ -116,41 +119,100 @@ def begins(data: np.ndarray, firsts: np.ndarray, kinds: Kinds) -> np.ndarray:
             new[at + 1] = False
             end = at + size
             new[end[end < n]] = True
-    return np.flatnonzero(new)
-
-
-class Cache(dict):
-    """Numbers of pre-tokens in the order in which they came; their ids stand one after the other in a flat array. When half of
-    `keep` have come, they become the old ones, and those that come again move on; the older ones go."""
+    del kind, white, group, starts_text
+    return np.flatnonzero(new).astype(np.int32)
+
+
+def hashed(parts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent 64-bit hashes of each part: polynomials of its bytes modulo 2^64 in two odd bases, mixed with its length."""
+    n = len(parts)
+    offsets = np.frombuffer(parts.buffers()[1], dtype=np.int32)[parts.offset : parts.offset + n + 1]
+    data = np.frombuffer(parts.buffers()[2], dtype=np.uint8)[offsets[0] : offsets[-1]].astype(np.uint64) + np.uint64(1)
+    starts, size = offsets[:-1] - offsets[0], np.diff(offsets)
+    within = np.arange(len(data), dtype=np.int32) - np.repeat(starts, size)
+    np.minimum(within, LONGEST, out=within)  # longer parts aren't looked up
+    out = []
+    for powers in POWERS:
+        h = np.add.reduceat(data * powers[within], starts) if n else np.empty(0, dtype=np.uint64)
+        h = (h ^ size.astype(np.uint64) ^ h >> np.uint64(31)) * POWERS[0][1]
+        out.append(h ^ h >> np.uint64(29))
+    return out[0], out[1]
+
+
+class Cache:
+    """Ids of pre-tokens by 128 bits of hashes, at most `keep` of them and those of one block: 28 bytes each beside the ids, in sorted arrays, the newest
+    apart until they are many. When it is full it forgets all but the newest."""
 
     def __init__(self, make, keep: int):
-        self.make, self.keep, self.old = make, keep, ({}, array("I"), array("q", [0]))
-        self.flat, self.ends = array("I"), array("q", [0])
-
-    def age(self) -> None:
-        if len(self) > self.keep // 2:
-            self.old = (dict(self), self.flat, self.ends)
-            self.clear()
-            self.flat, self.ends = array("I"), array("q", [0])
-
-    def __missing__(self, part: str) -> int:
-        known, flat, ends = self.old
-        at = known.get(part)
-        self.flat.extend(self.make(part) if at is None else flat[ends[at] : ends[at + 1]])
-        self.ends.append(len(self.flat))
-        self[part] = k = len(self.ends) - 2
-        return k
+        self.make, self.keep = make, keep
+        self.levels = [self._none(), self._none()]
+        self.flat, self.used = np.empty(1 << 16, dtype=np.uint32), 0
+
+    @staticmethod
+    def _none() -> tuple[np.ndarray, ...]:
+        return tuple(np.empty(0, dtype=t) for t in (np.uint64, np.uint64, np.int32, np.int32))
+
+    def __len__(self) -> int:
+        return sum(len(x[0]) for x in self.levels)
+
+    def _add(self, ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+        """Where in flat the ids of each part begin, and their number."""
+        size = np.fromiter(map(len, ids), dtype=np.int32, count=len(ids))
+        new = np.fromiter((x for part in ids for x in part), dtype=np.uint32, count=int(size.sum()))
+        if self.used + len(new) > len(self.flat):
+            self.flat = np.concatenate((self.flat[: self.used], np.empty(self.used + 2 * len(new), dtype=np.uint32)))
+        self.flat[self.used : self.used + len(new)] = new
+        begin = self.used + np.cumsum(size, dtype=np.int32) - size
+        self.used += len(new)
+        return begin.astype(np.int32), size
+
+    def _forget(self) -> None:
+        """Keep the newest level only, or nothing where that is all there is."""
+        h, g, begin, size = self.levels[1] if len(self.levels[0][0]) else self._none()
+        total = np.cumsum(size, dtype=np.int32)
+        take = np.repeat(begin - (total - size), size) + np.arange(total[-1] if len(total) else 0, dtype=np.int32)
+        ids = self.flat[take]
+        self.flat, self.used = np.concatenate((ids, np.empty(1 << 16, dtype=np.uint32))), len(ids)
+        self.levels = [(h, g, (total - size).astype(np.int32), size), self._none()]
+
+    def find(self, parts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """(begin, size) in flat of the ids of distinct parts; those that are missing are made."""
+        n = len(parts)
+        if len(self) > self.keep:
+            self._forget()
+        h, g = hashed(parts)
+        begin, size, missing = np.zeros(n, dtype=np.int32), np.zeros(n, dtype=np.int32), np.ones(n, dtype=bool)
+        for known in self.levels:
+            if len(known[0]):
+                at = np.minimum(np.searchsorted(known[0], h), len(known[0]) - 1)
+                hit = (known[0][at] == h) & (known[1][at] == g) & missing
+                begin[hit], size[hit] = known[2][at[hit]], known[3][at[hit]]
+                missing &= ~hit
+        long = pc.binary_length(parts).to_numpy() > LONGEST
+        missing |= long
+        new = np.flatnonzero(missing)
+        if len(new):
+            begin[new], size[new] = self._add([self.make(x) for x in parts.take(pa.array(new)).to_pylist()])
+            new = new[~long[new]]
+            grown = [np.concatenate((x, y[new])) for x, y in zip(self.levels[1], (h, g, begin, size))]
+            if len(grown[0]) > self.keep // 8:
+                grown, self.levels[1] = [np.concatenate(x) for x in zip(self.levels[0], grown)], self._none()
+                level = 0
+            else:
+                level = 1
+            by = np.argsort(grown[0], kind="stable")
+            self.levels[level] = tuple(x[by] for x in grown)
+        return begin, size
 
 
 class Encoder:
     """Ids of texts by a tokenizers JSON file, without the special tokens that a post-processor adds.
 
     Texts that hold one of the vocabulary's added tokens go to the library whole, as do all texts of tokenizers of another build than plain
-    byte-level BPE. special_as_text: added tokens in a text are ordinary text. The cache holds at most `keep` pre-tokens and
-    those of one block.
+    byte-level BPE. special_as_text: added tokens in a text are ordinary text. See Cache for keep.
     """
 
-    def __init__(self, path: str, keep: int = 400_000, special_as_text: bool = False):
+    def __init__(self, path: str, keep: int = 1_000_000, special_as_text: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -175,19 +237,21 @@ class Encoder:
     def _block(self, data: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, their number up to each of firsts): of texts of which one starts at each of firsts."""
         n = len(data)
-        at = begins(data, np.unique(firsts[firsts < n]), self.kinds) if n else np.empty(0, dtype=np.int64)
-        edges = np.append(at, n).astype(np.int32)
-        parts = pa.Array.from_buffers(pa.string(), len(at), [None, pa.py_buffer(edges), pa.py_buffer(data)]).dictionary_encode()
-        self.cache.age()
-        distinct = parts.dictionary.to_pylist()
-        number = np.fromiter(map(self.cache.__getitem__, distinct), dtype=np.int64, count=len(distinct))
-        ends = np.frombuffer(self.cache.ends, dtype=np.int64)
-        number = number[parts.indices.to_numpy()]
-        begin, size = ends[number], ends[number + 1] - ends[number]
-        total = np.concatenate(([0], np.cumsum(size)))
-        ids = np.frombuffer(self.cache.flat, dtype=np.uint32)[np.repeat(begin - total[:-1], size) + np.arange(total[-1])] if len(self.cache.flat) else np.empty(0, dtype=np.uint32)
-        del ends  # else the arrays can't grow
-        return ids, total[np.searchsorted(at, firsts)]
+        if not n:
+            return np.empty(0, dtype=np.uint32), np.zeros(len(firsts), dtype=np.int64)
+        at = begins(data, np.unique(firsts[firsts < n]), self.kinds)
+        parts = pa.Array.from_buffers(pa.string(), len(at), [None, pa.py_buffer(np.append(at, np.int32(n))), pa.py_buffer(data)]).dictionary_encode()
+        begin, size = self.cache.find(parts.dictionary)
+        number = parts.indices.to_numpy()
+        del parts
+        begin, size = begin[number], size[number]
+        total = np.zeros(len(number) + 1, dtype=np.int32)
+        np.cumsum(size, out=total[1:])
+        begin -= total[:-1]
+        take = np.repeat(begin, size)
+        take += np.arange(total[-1], dtype=np.int32)
+        ids = self.cache.flat[take]
+        return ids, total[np.searchsorted(at, firsts)].astype(np.int64)
 
     def _long(self, data: bytes) -> np.ndarray:
         """Ids of a text of any length, block by block."""
