@@ -19,11 +19,11 @@ from pyspark.sql import functions as F
 #: Half a window at radius 1, in standard deviations of the projection of a difference of length 1: the chance to be inside is 0.77.
 WIDTH = 1.2
 #: By how many standard deviations of a count the threshold lies below what is expected at a window's own radius.
-MARGIN = 0.5
+MARGIN = 0.7
 #: Bytes and rows of vectors in one index, and queries that are put to it at a time.
 BLOCK_BYTES, BLOCK, QUERIES = 32 << 20, 1 << 14, 1 << 10
-#: The last radius covers whole arrays.
-RADII = np.array([0.1 * 1.12**k for k in range(27)] + [np.inf])
+#: Coarse steps where few vectors are met, fine ones where most of the work is. The last radius covers whole arrays.
+RADII = np.array([0.1 * 1.6**k for k in range(5)] + [0.8 * 1.06**k for k in range(17)] + [np.inf])
 
 
 def bases(dim: int, n: int, seed: int) -> np.ndarray:
