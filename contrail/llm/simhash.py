@@ -160,7 +160,7 @@ def linked(fps: DataFrame) -> DataFrame:
     mixed = mixed.select("key", "fp", "index", "label", quarters)
     x, y = mixed.where("index").alias("x"), mixed.alias("y")
     equal = (F.col("x.key") == F.col("y.key")) & (F.col("x.q") == F.col("y.q")) & (F.col("x.bits") == F.col("y.bits"))
-    pairs = x.join(y, equal).where((F.col("x.label") != F.col("y.label")) & (far("x.fp", "y.fp") <= LIMIT))
+    pairs = x.hint("merge").join(y.hint("merge"), equal).where((F.col("x.label") != F.col("y.label")) & (far("x.fp", "y.fp") <= LIMIT))
     second = written(components(pairs.select(F.col("x.label").alias("a"), F.col("y.label").alias("b"))), "joined")
     # labels of the second round are over those of the first, or over fingerprints that had no link before
     one = labels.select(F.col("node").alias("fp"), F.col("label").alias("l")).join(second.withColumnRenamed("node", "l"), "l", "left").select("fp", F.coalesce("label", "l").alias("label"))
