@@ -41,11 +41,13 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of BASE and of its inverse, n at least."""
-    if not _POWERS or len(_POWERS[0]) < n:
-        size = max(n, BLOCK * 2)
-        _POWERS[:] = [np.cumprod(np.concatenate((np.ones(1, dtype=np.uint64), np.full(size, x, dtype=np.uint64))), dtype=np.uint64) for x in (BASE, UNBASE)]
-    return _POWERS[0], _POWERS[1]
+    """Powers of BASE and of its inverse, n at least; those that a block needs are kept."""
+    if _POWERS and len(_POWERS[0]) >= n:
+        return _POWERS[0], _POWERS[1]
+    made = [np.cumprod(np.concatenate((np.ones(1, dtype=np.uint64), np.full(max(n, BLOCK * 2), x, dtype=np.uint64))), dtype=np.uint64) for x in (BASE, UNBASE)]
+    if n <= BLOCK * 2:
+        _POWERS[:] = made
+    return made[0], made[1]
 
 
 _LOWER = np.frombuffer(simhash.LOWER, dtype=np.uint8)

@@ -137,8 +137,8 @@ class Model:
 
 
 def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", smoothing: float = 0.5) -> Model:
-    """Fit on all labelled rows whose language and text aren't null. Languages stand in ascending order, so ties go to
-    the first."""
+    """Fit on all labelled rows whose language and text aren't null, repeated ones each time. Languages stand in ascending order, so ties
+    go to the first. No rows give a model of no language."""
     rows = bounded(labelled).select(labelled[text_col].alias("text"), labelled[lang_col].alias("lang")).where("lang is not null and text is not null")
     found = rows.mapInArrow(_counts, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     n_langs = rows.select("lang").distinct().limit(MOST_LANGUAGES + 1).count()
@@ -160,7 +160,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
     """docs with lang_pred and score: the posterior of the predicted language, 0 to 1.
 
     und with score 0 for null texts, texts without letters, and where no language was learned. Only the text decides,
-    the whole of it; every row keeps its other columns, but for columns named lang_pred or score, which are replaced.
+    the whole of it, however long; repeated rows are judged alike; no rows, no rows; every row keeps its other columns, but for columns named lang_pred or score, which are replaced.
     """
     rest = bounded(docs).drop("lang_pred", "score")
     sent = docs.sparkSession.sparkContext.broadcast(model)  # languages * DIMS * 4 bytes: 131 MB for the most languages

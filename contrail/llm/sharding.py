@@ -68,7 +68,7 @@ def assign(docs: DataFrame, shards: int = 24, base: int = 24, spread: int = 1024
     (with one shard more).
 
     The id and the shard count alone decide the shard, so repeated ids and all null ids share one. Null and empty
-    texts have 8 bytes and crc32 0. Other columns are not read. Slots: rows are dealt over `spread` parts of
+    texts have 8 bytes and crc32 0; long ones count in full; equal rows get a slot each; no rows, no rows. Other columns are not read. Slots: rows are dealt over `spread` parts of
     each shard by a hash, those of equal ids too, numbered within a part, and moved by the rows of the parts before;
     so no task numbers a whole shard.
     """

@@ -151,7 +151,7 @@ def judge(pages: DataFrame, weights: list[float], allow: Iterable[str], block: I
     """page_id, host, path, rule, verdict ("allow" or "block"), log_odds (null where a rule decides).
 
     A url that is null or has no :// has empty host and path and is judged by the regression, as every row without
-    a rule is: block at log-odds of 0 and more. Repeated rows are judged alike; other columns are not read.
+    a rule is: block at log-odds of 0 and more. Urls are judged whole, however long; repeated rows alike; no rows, no rows; other columns are not read.
     """
     allow, block = list(allow), list(block)
     rows = pages.select(pages[id_col].alias("page_id"), host(pages[url_col]).alias("host"), path(pages[url_col]).alias("path"))
