@@ -18,7 +18,10 @@ from contrail.sources import sinks, traces
 SPEED = {"max-speed": ("high_kmh", 1300.0), "max-speed-low": ("low_kmh", 555.0)}
 JUMP = {"max-jump": ("high_km", 25.0), "max-jump-low": ("low_km", 0.25)}
 PARKED = {"gs-stationary": ("gs_kt", 2.0), "stationary-radius": ("radius_m", 20.0)}
-THIN = {"h-ground": ("ground_m", 10.0), "h-low": ("low_m", 20.0), "h-cruise": ("cruise_m", 150.0), "v-ground": ("ground_ft", 25.0), "v-cruise": ("cruise_ft", 250.0), "low-alt": ("low_alt_ft", 2000.0), "high-alt": ("high_alt_ft", 12000.0)}
+THIN = {
+    "h-ground": ("ground_m", 10.0), "h-low": ("low_m", 20.0), "h-cruise": ("cruise_m", 150.0), "v-ground": ("ground_ft", 25.0),
+    "v-cruise": ("cruise_ft", 250.0), "low-alt": ("low_alt_ft", 2000.0), "high-alt": ("high_alt_ft", 12000.0),
+}
 
 
 def parser() -> argparse.ArgumentParser:
@@ -132,7 +135,10 @@ def main(argv: list[str] | None = None) -> None:
         return tracks.validation_report(spark.read.parquet(f"{a.out}/validation.parquet")).show(truncate=False)
     if a.command == "smooth":
         settings = kalman.Settings(**{f.name: getattr(a, f.name) for f in fields(kalman.Settings)})
-        return sinks.write_sorted(_settled(spark, tracks.by_day(tracks.smooth, samples, airports, a.tol_ground, settings, True, cruise_m=a.tol_cruise), a.out), f"{a.out}/traces.parquet")
+        return sinks.write_sorted(
+            _settled(spark, tracks.by_day(tracks.smooth, samples, airports, a.tol_ground, settings, True, cruise_m=a.tol_cruise), a.out),
+            f"{a.out}/traces.parquet",
+        )
     if a.command == "analyse":
         tracks.by_day(tracks.analyse, samples, a.recon, _of(a, SPEED), _of(a, JUMP), **_of(a, THIN)).write.mode("overwrite").parquet(f"{a.out}/analysis.parquet")
         return tracks.report(spark.read.parquet(f"{a.out}/analysis.parquet")).show(truncate=False)

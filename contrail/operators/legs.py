@@ -31,13 +31,19 @@ def leg_points(points: DataFrame, least_km: float = 2.0) -> DataFrame:
     air = ~F.coalesce("gnd", F.lit(False))
     r = islands(points.where(F.col(TRACK).isNotNull()).withColumn("i", F.row_number().over(w) - 1), air, "_run")
     run = Window.partitionBy(TRACK, "_run")
-    r = r.withColumns({"_s": F.min("i").over(run), "_e": F.max("i").over(run), "_box": geo.km(F.min("lat").over(run), F.min("lon").over(run), F.max("lat").over(run), F.max("lon").over(run))})
+    r = r.withColumns({
+        "_s": F.min("i").over(run), "_e": F.max("i").over(run),
+        "_box": geo.km(F.min("lat").over(run), F.min("lon").over(run), F.max("lat").over(run), F.max("lon").over(run)),
+    })
     flight = air & (F.col("_box") > least_km)
     r = r.withColumn("_flight", flight)
     r = r.withColumn("_flies", F.max("_flight").over(track)).where("_flies")
     begin = F.when(F.col("_flight") & (F.col("i") == F.col("_s")), F.struct("i", "t"))
     r = r.withColumn("_begin", begin).withColumn("_next", following("_begin", 1))
-    done = F.when(F.col("_flight") & (F.col("i") == F.col("_e")) & F.col("_next").isNotNull(), F.struct(F.col("i").alias("e"), F.col("_next.i").alias("s"), ((F.col("t") + F.col("_next.t")) / 2).alias("mid")))
+    done = F.when(
+        F.col("_flight") & (F.col("i") == F.col("_e")) & F.col("_next").isNotNull(),
+        F.struct(F.col("i").alias("e"), F.col("_next.i").alias("s"), ((F.col("t") + F.col("_next.t")) / 2).alias("mid")),
+    )
     r = r.withColumn("_done", done).withColumn("_gap", F.last("_done", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
     may = (F.col("i") <= F.col("_gap.s")) & ((F.col("t") >= F.col("_gap.mid")) | (F.col("i") == F.col("_gap.s")))
     r = r.withColumn("_may", F.when(may, F.col("i"))).withColumn("_cut", F.min("_may").over(Window.partitionBy(TRACK, "_gap.e")))
@@ -78,7 +84,10 @@ def points_legs(points: DataFrame, airports: DataFrame, meta: DataFrame | None =
     every = Window.partitionBy(TRACK, "leg").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     at = F.struct("lat", "lon")
     ground = F.when(F.coalesce("gnd", F.lit(False)), at)
-    ends = {"_a": F.coalesce(F.first(ground, ignorenulls=True).over(every), F.first(at).over(every)), "_b": F.coalesce(F.last(ground, ignorenulls=True).over(every), F.last(at).over(every))}
+    ends = {
+        "_a": F.coalesce(F.first(ground, ignorenulls=True).over(every), F.first(at).over(every)),
+        "_b": F.coalesce(F.last(ground, ignorenulls=True).over(every), F.last(at).over(every)),
+    }
     out = legs.withColumns(ends).withColumns({"_ay": F.col("_a.lat"), "_ax": F.col("_a.lon"), "_by": F.col("_b.lat"), "_bx": F.col("_b.lon")})
     out = nearest_airport(out, airports, "ident", "dep", "_ay", "_ax", radius_km)
     out = nearest_airport(out, airports, "ident", "arr", "_by", "_bx", radius_km)

@@ -93,11 +93,17 @@ def stationary_snap(df: DataFrame, stop_kt: float = 3.0, dwell_s: float = 20.0,
     r = islands(df.withColumn("_still", still), F.col("_still"), "_run")
     run = Window.partitionBy(TRACK, "_run")
     lat, lon = F.avg("lat").over(run), F.avg("lon").over(run)
-    r = r.withColumns({"_lat": lat, "_lon": lon, "_dt": F.max("t").over(run) - F.min("t").over(run), "_n": F.count("*").over(run), "_dy": F.max("lat").over(run) - F.min("lat").over(run), "_dx": F.max("lon").over(run) - F.min("lon").over(run)})
+    r = r.withColumns({
+        "_lat": lat, "_lon": lon, "_dt": F.max("t").over(run) - F.min("t").over(run), "_n": F.count("*").over(run),
+        "_dy": F.max("lat").over(run) - F.min("lat").over(run), "_dx": F.max("lon").over(run) - F.min("lon").over(run),
+    })
     box = F.greatest(F.col("_dy") * geo.M_PER_DEGREE, F.col("_dx") * geo.M_PER_DEGREE * F.cos(F.radians("_lat")))
     snap = F.col("_still") & ((F.col("_dt") >= dwell_s) | ((F.col("_n") >= 3) & (box < box_m)))
     r = r.withColumn("snapped", snap)
-    return r.withColumns({"lat": F.when(F.col("snapped"), F.col("_lat")).otherwise(F.col("lat")), "lon": F.when(F.col("snapped"), F.col("_lon")).otherwise(F.col("lon")), "gnd": F.col("gnd") | F.col("_still")}).drop("_still", "_run", "_lat", "_lon", "_dt", "_n", "_dx", "_dy")
+    return r.withColumns({
+        "lat": F.when(F.col("snapped"), F.col("_lat")).otherwise(F.col("lat")), "lon": F.when(F.col("snapped"), F.col("_lon")).otherwise(F.col("lon")),
+        "gnd": F.col("gnd") | F.col("_still"),
+    }).drop("_still", "_run", "_lat", "_lon", "_dt", "_n", "_dx", "_dy")
 
 
 def parked(df: DataFrame, gs_kt: float = 2.0, radius_m: float = 20.0) -> DataFrame:
@@ -106,7 +112,11 @@ def parked(df: DataFrame, gs_kt: float = 2.0, radius_m: float = 20.0) -> DataFra
     r = islands(df.withColumn("_still", still), F.col("_still"), "_run")
     run = Window.partitionBy(TRACK, "_run")
     inner = run.orderBy(*ORDER)
-    r = r.withColumns({"_lat0": F.first("lat").over(inner), "_lon0": F.first("lon").over(inner), "_i": F.row_number().over(inner), "_n": F.count("*").over(run), "_t0": F.min("t").over(run), "_gs": F.median(F.coalesce("gs", F.lit(0.0))).over(run), "_mlat": F.median("lat").over(run), "_mlon": F.median("lon").over(run)})
+    r = r.withColumns({
+        "_lat0": F.first("lat").over(inner), "_lon0": F.first("lon").over(inner), "_i": F.row_number().over(inner), "_n": F.count("*").over(run),
+        "_t0": F.min("t").over(run), "_gs": F.median(F.coalesce("gs", F.lit(0.0))).over(run), "_mlat": F.median("lat").over(run),
+        "_mlon": F.median("lon").over(run),
+    })
     r = r.withColumn("_d", F.max(geo.km("_lat0", "_lon0", "lat", "lon") * 1000).over(run))
     merge = F.col("_still") & (F.col("_n") >= 3) & ((F.col("_d") < radius_m) | ((F.col("_gs") < 1.0) & (F.col("_d") < 200.0)))
     r = r.withColumn("_merge", merge).where(~F.col("_merge") | (F.col("_i") == 1) | ((F.col("_i") == F.col("_n")) & (F.col("t") != F.col("_t0"))))
@@ -142,7 +152,9 @@ def corners(df: DataFrame, degrees: float = 35.0) -> DataFrame:
 
 def projected(df: DataFrame) -> DataFrame:
     """Adds x and y: metres in the track's own projection about its mean latitude."""
-    return df.withColumn("_kx", F.cos(F.radians(F.avg("lat").over(whole())))).withColumns({"x": F.col("lon") * F.col("_kx") * geo.M_PER_DEGREE, "y": F.col("lat") * geo.M_PER_DEGREE}).drop("_kx")
+    return df.withColumn("_kx", F.cos(F.radians(F.avg("lat").over(whole())))).withColumns({
+        "x": F.col("lon") * F.col("_kx") * geo.M_PER_DEGREE, "y": F.col("lat") * geo.M_PER_DEGREE,
+    }).drop("_kx")
 
 
 def bracketed(df: DataFrame, keep: Column, point: str | None = None) -> DataFrame:

@@ -51,7 +51,10 @@ def ramp(alt: np.ndarray, low_ft: float, high_ft: float, low: float, high: float
     return np.interp(alt, [low_ft, high_ft], [low, high])
 
 
-def tolerances(alt: np.ndarray, ground: np.ndarray, ground_m=10.0, low_m=20.0, cruise_m=150.0, ground_ft=25.0, cruise_ft=250.0, low_alt_ft=2000.0, high_alt_ft=12000.0) -> tuple[np.ndarray, np.ndarray]:
+def tolerances(
+    alt: np.ndarray, ground: np.ndarray, ground_m=10.0, low_m=20.0, cruise_m=150.0, ground_ft=25.0, cruise_ft=250.0, low_alt_ft=2000.0,
+    high_alt_ft=12000.0,
+) -> tuple[np.ndarray, np.ndarray]:
     """(metres, feet) for each point."""
     across = np.where(ground, ground_m, ramp(alt, low_alt_ft, high_alt_ft, low_m, cruise_m))
     up = np.where(ground, ground_ft, ramp(alt, low_alt_ft, high_alt_ft, ground_ft, cruise_ft))

@@ -71,13 +71,19 @@ def metadata_lookup(spark, d):
 def tolerance_ramps(spark, d):
     r = fixtures.sparse(spark, d).select("seq", "baro", "gnd")
     alt = geo.gate_altitude("baro", "gnd")
-    return r.select("seq", milli(geo.ramp(alt, 1000.0, 10000.0, 555.0, 1300.0)).alias("max_speed"), milli(geo.ramp(alt, 1000.0, 10000.0, 0.25, 25.0)).alias("max_jump"), milli(geo.fit_tolerance("baro")).alias("fit_m"), milli(geo.thin_tolerance(alt, "gnd")).alias("thin_m"), milli(geo.thin_tolerance_ft(alt, "gnd")).alias("thin_ft"))
+    return r.select(
+        "seq", milli(geo.ramp(alt, 1000.0, 10000.0, 555.0, 1300.0)).alias("max_speed"),
+        milli(geo.ramp(alt, 1000.0, 10000.0, 0.25, 25.0)).alias("max_jump"), milli(geo.fit_tolerance("baro")).alias("fit_m"),
+        milli(geo.thin_tolerance(alt, "gnd")).alias("thin_m"), milli(geo.thin_tolerance_ft(alt, "gnd")).alias("thin_ft"),
+    )
 
 
 @query
 def source_noise(spark, d):
     n = geo.source_noise("src")
-    return fixtures.dense(spark, d).groupBy("src").agg(F.count("*").alias("n")).select("src", "n", n["pos_m"].alias("pos_m"), n["vel_ms"].alias("vel_ms"), n["alt_m"].alias("alt_m"))
+    return fixtures.dense(spark, d).groupBy("src").agg(F.count("*").alias("n")).select(
+        "src", "n", n["pos_m"].alias("pos_m"), n["vel_ms"].alias("vel_ms"), n["alt_m"].alias("alt_m"),
+    )
 
 
 @query
@@ -123,13 +129,19 @@ def parked_denoise(spark, d):
 
 @query
 def stationary_snap(spark, d):
-    return seq.stationary_snap(fixtures.dense(spark, d)).select("icao", "seq", F.rint(F.col("lat") * 1e6).cast("long").alias("lat"), F.rint(F.col("lon") * 1e6).cast("long").alias("lon"), "gnd", "snapped")
+    return seq.stationary_snap(fixtures.dense(spark, d)).select(
+        "icao", "seq", F.rint(F.col("lat") * 1e6).cast("long").alias("lat"), F.rint(F.col("lon") * 1e6).cast("long").alias("lon"), "gnd", "snapped",
+    )
 
 
 @query
 def decimate_1s(spark, d):
     r = scans.decimate(fixtures.dense(spark, d))
-    return r.select("icao", "bucket", "seq", milli("t").alias("t"), F.rint(F.col("lat") * 1e6).cast("long").alias("lat"), F.rint(F.col("lon") * 1e6).cast("long").alias("lon"), "gnd", *[milli(c).alias(c) for c in ("baro", "geom", "gs", "vr", "trk")], "src", "merged")
+    return r.select(
+        "icao", "bucket", "seq", milli("t").alias("t"), F.rint(F.col("lat") * 1e6).cast("long").alias("lat"),
+        F.rint(F.col("lon") * 1e6).cast("long").alias("lon"), "gnd", *[milli(c).alias(c) for c in ("baro", "geom", "gs", "vr", "trk")], "src",
+        "merged",
+    )
 
 
 @query
@@ -181,12 +193,18 @@ def corners(spark, d):
 def fixed_point(spark, d):
     """Degrees as whole hundred-thousandths and what is lost by that."""
     r = fixtures.sparse(spark, d)
-    return r.select("icao", "seq", geo.encode("lat").alias("lat_fixed"), F.rint(F.abs(geo.decode(geo.encode("lat")) - F.col("lat")) * 1e9).cast("long").alias("lost"), F.rint(F.col("t") * 10).cast("int").alias("ds"))
+    return r.select(
+        "icao", "seq", geo.encode("lat").alias("lat_fixed"),
+        F.rint(F.abs(geo.decode(geo.encode("lat")) - F.col("lat")) * 1e9).cast("long").alias("lost"), F.rint(F.col("t") * 10).cast("int").alias("ds"),
+    )
 
 
 @query
 def airborne_runs(spark, d):
-    return legs.airborne_runs(fixtures.sparse(spark, d)).select("icao", F.col("s").cast("long").alias("s"), F.col("e").cast("long").alias("e"), milli("t_s").alias("t_s"), milli("t_e").alias("t_e"), milli("km").alias("m"), "flight")
+    return legs.airborne_runs(fixtures.sparse(spark, d)).select(
+        "icao", F.col("s").cast("long").alias("s"), F.col("e").cast("long").alias("e"), milli("t_s").alias("t_s"), milli("t_e").alias("t_e"),
+        milli("km").alias("m"), "flight",
+    )
 
 
 @query
@@ -257,7 +275,9 @@ def retention(spark, d):
 def date_of_tag(spark, d):
     from contrail.sources.sinks import tag_date
 
-    tags = spark.read.parquet(f"{d}/orders.parquet").select(F.concat(F.lit("v"), F.date_format("o_orderdate", "yyyy.MM.dd"), F.lit("-set-"), F.col("o_orderkey").cast("string")).alias("tag"))
+    tags = spark.read.parquet(f"{d}/orders.parquet").select(F.concat(
+        F.lit("v"), F.date_format("o_orderdate", "yyyy.MM.dd"), F.lit("-set-"), F.col("o_orderkey").cast("string"),
+    ).alias("tag"))
     return tags.select("tag", tag_date("tag").alias("date"))
 
 
@@ -292,7 +312,10 @@ def error_stats(spark, d):
     r = seq.linear_error(seq.projected(_every_tenth(fixtures.sparse(spark, d))), F.col("keep"))
     r = r.withColumns({"phase": geo.phase("gnd", F.coalesce("baro", F.lit(0.0))), "tol": geo.fit_tolerance("baro")})
     ranks = at_ranks(r, ["phase"], "err", between(0.5) | between(0.95) | {"p95_rank": lambda n: F.floor(0.95 * (n - 1))})
-    rest = r.groupBy("phase").agg(F.max("err").alias("max"), F.avg((F.col("err") <= 1.5 * F.col("tol") + 1.0).cast("double")).alias("within"), F.max_by("seq", F.struct(F.col("err"), -F.col("seq"))).alias("worst_seq"))
+    rest = r.groupBy("phase").agg(
+        F.max("err").alias("max"), F.avg((F.col("err") <= 1.5 * F.col("tol") + 1.0).cast("double")).alias("within"),
+        F.max_by("seq", F.struct(F.col("err"), -F.col("seq"))).alias("worst_seq"),
+    )
     return rest.join(ranks, "phase").select(
         "phase", "n", milli(interpolated(0.5)).alias("median"), milli(interpolated(0.95)).alias("p95"), milli("p95_rank").alias("p95_rank"), milli("max").alias("max"), F.rint(F.col("within") * 1e6).cast("long").alias("within"), "worst_seq"
     )
@@ -312,7 +335,10 @@ def cr_polyline(spark, d):
     w = seq.ordered()
     ends = {f"{c}{k}": (F.lag if k == 0 else F.lead)(c, 1 if k < 3 else 2).over(w) for c in "xy" for k in (0, 2, 3)}
     r = r.withColumns(ends).where("x2 is not null")
-    p = [tuple(F.coalesce(F.col(f"{c}0"), F.col(c)) for c in "xy"), (F.col("x"), F.col("y")), (F.col("x2"), F.col("y2")), tuple(F.coalesce(F.col(f"{c}3"), F.col(f"{c}2")) for c in "xy")]
+    p = [
+        tuple(F.coalesce(F.col(f"{c}0"), F.col(c)) for c in "xy"), (F.col("x"), F.col("y")), (F.col("x2"), F.col("y2")),
+        tuple(F.coalesce(F.col(f"{c}3"), F.col(f"{c}2")) for c in "xy"),
+    ]
     r = r.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(15))))
     x, y = geo.catmull_rom(p, F.col("k") / 16.0)
     return r.select("icao", "seq", "k", F.rint(x * 10).cast("long").alias("x"), F.rint(y * 10).cast("long").alias("y"))
@@ -324,7 +350,10 @@ def codec_roundtrip(spark, d):
     from contrail.operators import codec
 
     r = fixtures.sparse(spark, d)
-    fixed_ = r.select("icao", "seq", F.rint("t").cast("long").alias("t"), F.rint(F.col("lat") * 1e5).cast("long").alias("lat"), F.rint(F.col("lon") * 1e5).cast("long").alias("lon"), F.coalesce("baro", F.lit(0.0)).cast("long").alias("alt"))
+    fixed_ = r.select(
+        "icao", "seq", F.rint("t").cast("long").alias("t"), F.rint(F.col("lat") * 1e5).cast("long").alias("lat"),
+        F.rint(F.col("lon") * 1e5).cast("long").alias("lon"), F.coalesce("baro", F.lit(0.0)).cast("long").alias("alt"),
+    )
     return codec.points(codec.blobs(fixed_)).select("icao", "t", "lat", "lon", "alt")
 
 
@@ -333,7 +362,10 @@ def archive_check(spark, d):
     from contrail.operators import codec
 
     r = fixtures.sparse(spark, d)
-    fixed_ = r.select("icao", "seq", F.rint("t").cast("long").alias("t"), F.rint(F.col("lat") * 1e5).cast("long").alias("lat"), F.rint(F.col("lon") * 1e5).cast("long").alias("lon"), F.lit(0).alias("alt"))
+    fixed_ = r.select(
+        "icao", "seq", F.rint("t").cast("long").alias("t"), F.rint(F.col("lat") * 1e5).cast("long").alias("lat"),
+        F.rint(F.col("lon") * 1e5).cast("long").alias("lon"), F.lit(0).alias("alt"),
+    )
     return codec.verified(fixed_, codec.blobs(fixed_))
 
 

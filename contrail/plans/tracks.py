@@ -63,7 +63,10 @@ def _chosen(r: DataFrame, keep: str, errors: bool) -> DataFrame:
     return r.where(F.col(keep) | F.col("error").isNotNull()) if errors else r.where(keep)
 
 
-def levelled(samples: DataFrame, airports: DataFrame | None = None, denoise: bool = True, speed: dict[str, float] | None = None, jump: dict[str, float] | None = None, parked: dict[str, float] | None = None) -> DataFrame:
+def levelled(
+    samples: DataFrame, airports: DataFrame | None = None, denoise: bool = True, speed: dict[str, float] | None = None,
+    jump: dict[str, float] | None = None, parked: dict[str, float] | None = None,
+) -> DataFrame:
     """Samples as thinning takes them: gated, parked runs merged, on one datum, at the field's elevation on the ground."""
     r = gated(samples, speed, jump)
     r = seq.parked(r, **(parked or {})).drop("merged") if denoise else r
@@ -73,7 +76,10 @@ def levelled(samples: DataFrame, airports: DataFrame | None = None, denoise: boo
     return surface_snap(r, airports) if airports is not None else r
 
 
-def compress(samples: DataFrame, airports: DataFrame | None = None, denoise: bool = True, speed: dict[str, float] | None = None, jump: dict[str, float] | None = None, parked: dict[str, float] | None = None, errors: bool = False, **limits) -> DataFrame:
+def compress(
+    samples: DataFrame, airports: DataFrame | None = None, denoise: bool = True, speed: dict[str, float] | None = None,
+    jump: dict[str, float] | None = None, parked: dict[str, float] | None = None, errors: bool = False, **limits,
+) -> DataFrame:
     """icao, seq, t (whole seconds), lat, lon (hundred-thousandths), alt (feet), on_ground: the thinned track.
 
     Gates, parked runs, one altitude datum, field elevations, then in one kernel despiking, thinning across and up, reversals,
@@ -102,7 +108,10 @@ def compress(samples: DataFrame, airports: DataFrame | None = None, denoise: boo
 
 def _thinned(r: DataFrame, errors: bool) -> DataFrame:
     r = seq.last_of_second(r, F.rint("t").cast("int"))
-    return r.select("icao", "seq", F.rint("t").cast("int").alias("t"), geo.encode("lat").alias("lat"), geo.encode("lon").alias("lon"), F.rint("alt").cast("int").alias("alt"), F.col("gnd").alias("on_ground"), *(["error"] if errors else []))
+    return r.select(
+        "icao", "seq", F.rint("t").cast("int").alias("t"), geo.encode("lat").alias("lat"), geo.encode("lon").alias("lon"),
+        F.rint("alt").cast("int").alias("alt"), F.col("gnd").alias("on_ground"), *(["error"] if errors else []),
+    )
 
 
 def counts(samples: DataFrame, kept: DataFrame) -> DataFrame:
@@ -110,7 +119,9 @@ def counts(samples: DataFrame, kept: DataFrame) -> DataFrame:
     a = samples.groupBy("icao").agg(F.count("*").alias("n_orig"))
     b = kept.groupBy("icao").agg(F.count("*").alias("n_kept"))
     g = gated(samples).groupBy("icao").agg(F.count("*").alias("n_gated"))
-    return a.join(b, "icao", "left").join(g, "icao", "left").select("icao", "n_orig", F.coalesce("n_kept", F.lit(0)).alias("n_kept"), (F.col("n_orig") - F.coalesce("n_gated", F.lit(0))).alias("n_rejected"))
+    return a.join(b, "icao", "left").join(g, "icao", "left").select(
+        "icao", "n_orig", F.coalesce("n_kept", F.lit(0)).alias("n_kept"), (F.col("n_orig") - F.coalesce("n_gated", F.lit(0))).alias("n_rejected"),
+    )
 
 
 def prepared(samples: DataFrame, airports: DataFrame | None) -> DataFrame:
@@ -164,7 +175,10 @@ def fit(samples: DataFrame, airports: DataFrame | None = None, ground_m: float =
         return out
 
     r = scans.per_track(prepared(samples, airports), {"node": "boolean", "cusp": "boolean", "node_alt": "double"}, kernel, "t", "lat", "lon", "alt", "elev", "gnd", errors=errors)
-    return _chosen(r, "node", errors).select("icao", "seq", F.rint(F.col("t") * 10).cast("int").alias("t"), geo.encode("lat").alias("lat"), geo.encode("lon").alias("lon"), F.rint("node_alt").cast("int").alias("alt"), F.col("gnd").alias("on_ground"), "cusp", *(["error"] if errors else []))
+    return _chosen(r, "node", errors).select(
+        "icao", "seq", F.rint(F.col("t") * 10).cast("int").alias("t"), geo.encode("lat").alias("lat"), geo.encode("lon").alias("lon"),
+        F.rint("node_alt").cast("int").alias("alt"), F.col("gnd").alias("on_ground"), "cusp", *(["error"] if errors else []),
+    )
 
 
 def _unthinned(samples: DataFrame, airports: DataFrame | None, least: int = 3) -> DataFrame:
@@ -205,7 +219,10 @@ def bezier_nodes(samples: DataFrame, airports: DataFrame | None = None, ground_m
                 sizes.append(len(blob))
                 off = max(off, float(np.nanmax(np.abs(codec.decode_nodes(blob, metres, predict)[2] - handles))))
             rows.append((table.column("icao")[0].as_py(), len(at), len(k), *sizes, off))
-        return pa.table([pa.array(list(x), t) for x, t in zip(zip(*rows) if rows else [[]] * 6, (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64()))], names=["icao", "n_points", "n_nodes", "naive_bytes", "predicted_bytes", "worst_handle_m"])
+        return pa.table(
+            [pa.array(list(x), t) for x, t in zip(zip(*rows) if rows else [[]] * 6, (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64()))],
+            names=["icao", "n_points", "n_nodes", "naive_bytes", "predicted_bytes", "worst_handle_m"],
+        )
 
     return _unthinned(samples, airports).groupBy("icao").applyInArrow(run, schema)
 
@@ -225,13 +242,19 @@ def bezier_columns(samples: DataFrame, airports: DataFrame | None = None, ground
             own = table.take(pa.array(at[k]))
             there, off = codec.residuals(xy[k], handles)
             place = np.rint(np.stack((xy[k, 1] / geo.M_PER_DEGREE, xy[k, 0] / kx)) * geo.SCALE)
-            columns = [own.column("icao"), own.column("seq"), np.trunc(own.column("t").to_numpy()), *place, np.rint(alt[k]), own.column("gnd"), cusp, there[:, 0], there[:, 1], *off.reshape(len(k), 4).T]
+            columns = [
+                own.column("icao"), own.column("seq"), np.trunc(own.column("t").to_numpy()), *place, np.rint(alt[k]), own.column("gnd"), cusp,
+                there[:, 0], there[:, 1], *off.reshape(len(k), 4).T,
+            ]
         return pa.table([pa.array(c).cast(t) if not isinstance(c, pa.ChunkedArray) else c.cast(t) for c, t in zip(columns, kinds)], names=names)
 
     return _unthinned(samples, airports).groupBy("icao").applyInArrow(run, schema)
 
 
-def smooth(samples: DataFrame, airports: DataFrame | None = None, ground_m: float = 5.0, settings: kalman.Settings = kalman.Settings(), errors: bool = False, **limits) -> DataFrame:
+def smooth(
+    samples: DataFrame, airports: DataFrame | None = None, ground_m: float = 5.0, settings: kalman.Settings = kalman.Settings(), errors: bool = False,
+    **limits,
+) -> DataFrame:
     """icao, seq, t (whole seconds), lat, lon, alt, on_ground: the smoothed track, thinned. errors: see per_track; a track that fails has
     one row, with error."""
     r = _unthinned(samples, airports, 2)
@@ -316,7 +339,10 @@ def report(analysed: DataFrame) -> DataFrame:
     ranks = at_ranks(analysed, [], "keep_pct", between(0.5) | {"keep_p90": lambda n: F.least(F.floor(n * 9 / 10), n - 1)})
     ranks = ranks.select(interpolated(0.5).alias("keep_median"), "keep_p90")
     worst = [F.max(F.when(F.col(f"{p}_n") > 0, F.col(f"{p}_max"))).alias(f"{p}_worst") for p in ("ground", "low", "high")]
-    return analysed.agg(F.count("*").alias("tracks"), F.sum("points").alias("points"), F.sum("kept").alias("kept"), F.min("keep_pct").alias("keep_min"), F.max("keep_pct").alias("keep_max"), *worst).join(F.broadcast(ranks))
+    return analysed.agg(
+        F.count("*").alias("tracks"), F.sum("points").alias("points"), F.sum("kept").alias("kept"), F.min("keep_pct").alias("keep_min"),
+        F.max("keep_pct").alias("keep_max"), *worst,
+    ).join(F.broadcast(ranks))
 
 
 def validate(samples: DataFrame, nodes: DataFrame, ground_m: float = 2.0, cruise_m: float = 150.0) -> DataFrame:
@@ -337,7 +363,10 @@ def validate(samples: DataFrame, nodes: DataFrame, ground_m: float = 2.0, cruise
         d = curves.distances(points, line, 512)
         baro = np.array([np.nan if g or b is None else b for b, g in zip(left.column("baro").to_pylist(), left.column("gnd").to_pylist())], dtype=np.float64)
         tol = np.where(np.isnan(baro), ground_m, thinning.ramp(np.nan_to_num(baro), 500.0, 12000.0, ground_m, cruise_m))
-        row = (left.column("icao")[0].as_py(), len(d), float(np.median(d)), float(np.percentile(d, 95)), float(d.max()), float((d <= 1.5 * tol + 1.0).mean()), float((d <= tol).mean()), left.column("seq")[int(d.argmax())].as_py())
+        row = (
+            left.column("icao")[0].as_py(), len(d), float(np.median(d)), float(np.percentile(d, 95)), float(d.max()),
+            float((d <= 1.5 * tol + 1.0).mean()), float((d <= tol).mean()), left.column("seq")[int(d.argmax())].as_py(),
+        )
         return pa.table([pa.array([v], k) for v, k in zip(row, kinds)], names=names)
 
     points = samples.select("icao", "t", "seq", "lat", "lon", "baro", "gnd")

@@ -32,7 +32,10 @@ def documents(found: DataFrame) -> DataFrame:
                 except (OSError, EOFError, zlib.error, UnicodeDecodeError) as e:
                     texts.append(None)
                     errors.append(f"unreadable: {type(e).__name__}")
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(errors, pa.string())], names=["path", "name", "text", "error"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(errors, pa.string())],
+                names=["path", "name", "text", "error"],
+            )
 
     text = found.select("path", "name", "content").mapInArrow(run, "path string, name string, text string, error string")
     r = text.select("path", "name", F.try_parse_json("text").alias("doc"), "error")
@@ -70,7 +73,9 @@ def samples(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.expr(f"CASE WHEN schema_of_variant({_at(9)}) = 'STRING' THEN try_variant_get(p, '$[9]', 'string') ELSE try_variant_get(p, '$[9].type', 'string') END").alias("src"),
         F.expr("size(try_variant_get(p, '$', 'array<variant>'))").alias("_n"),
     )
-    bad = F.when(F.col("seq").isNull(), "no trace").when(F.col("t").isNull() | F.col("lat").isNull() | F.col("lon").isNull(), "point without time or position").when(F.col("_n") < 8, "point too short")
+    bad = F.when(F.col("seq").isNull(), "no trace").when(
+        F.col("t").isNull() | F.col("lat").isNull() | F.col("lon").isNull(), "point without time or position",
+    ).when(F.col("_n") < 8, "point too short")
     r = r.withColumn("error", bad)
     wrong = r.where("error is not null").groupBy("path").agg(F.min("error").alias("error"))
     return r.join(wrong.select("path"), "path", "left_anti").drop("path", "_n", "error"), docs.where("error is not null").select("path", "error").unionByName(wrong)
@@ -79,12 +84,19 @@ def samples(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 def aircraft(docs: DataFrame) -> DataFrame:
     """icao, reg, type, desc, base_ts of every readable document."""
     get = lambda k: F.try_variant_get("doc", f"$.{k}", "string")
-    return docs.where("error is null").select(F.coalesce(get("icao"), F.nullif(F.substring("name", 12, 6), F.lit("")), F.lit("??????")).alias("icao"), get("r").alias("reg"), get("t").alias("type"), get("desc").alias("desc"), F.coalesce(F.try_variant_get("doc", "$.timestamp", "double"), F.lit(0.0)).cast("long").alias("base_ts"))
+    return docs.where("error is null").select(
+        F.coalesce(get("icao"), F.nullif(F.substring("name", 12, 6), F.lit("")), F.lit("??????")).alias("icao"), get("r").alias("reg"),
+        get("t").alias("type"), get("desc").alias("desc"),
+        F.coalesce(F.try_variant_get("doc", "$.timestamp", "double"), F.lit(0.0)).cast("long").alias("base_ts"),
+    )
 
 
 def airports(spark: SparkSession, path: str) -> DataFrame:
     """pos, ident, lat, lon, elev (whole feet, null if blank) of an airports table with a header; rows without numbers for the position are left out.
     pos orders the rows of one file."""
     r = spark.read.option("header", "true").csv(path)
-    r = r.select("ident", F.expr("try_cast(latitude_deg AS double)").alias("lat"), F.expr("try_cast(longitude_deg AS double)").alias("lon"), F.expr("cast(try_cast(elevation_ft AS double) AS int)").alias("elev"))
+    r = r.select(
+        "ident", F.expr("try_cast(latitude_deg AS double)").alias("lat"), F.expr("try_cast(longitude_deg AS double)").alias("lon"),
+        F.expr("cast(try_cast(elevation_ft AS double) AS int)").alias("elev"),
+    )
     return r.withColumn("pos", F.monotonically_increasing_id()).where("ident is not null and lat is not null and lon is not null")

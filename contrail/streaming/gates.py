@@ -42,4 +42,6 @@ def speed_gate(samples: DataFrame, idle: str | None = None) -> DataFrame:
 
 def minute_counts(samples: DataFrame, time_col: str = "ts", late: str = "10 minutes") -> DataFrame:
     """icao, start, n, ground: fixes by aircraft and minute of event time, late ones up to `late`."""
-    return samples.withWatermark(time_col, late).groupBy("icao", F.window(time_col, "1 minute").alias("w")).agg(F.count("*").alias("n"), F.sum(F.col("gnd").cast("int")).alias("ground")).select("icao", F.col("w.start").alias("start"), "n", "ground")
+    return samples.withWatermark(time_col, late).groupBy("icao", F.window(time_col, "1 minute").alias("w")).agg(
+        F.count("*").alias("n"), F.sum(F.col("gnd").cast("int")).alias("ground"),
+    ).select("icao", F.col("w.start").alias("start"), "n", "ground")
