@@ -129,7 +129,10 @@ def _matrices(table: pa.Table):
 FOUND = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
 
-def nearest(vectors: DataFrame, is_query, k: int = 5, projections: int = 128, seed: int = 11, id_col: str = "vec_id", vector_col: str = "embedding", block: int = BLOCK) -> DataFrame:
+def nearest(
+    vectors: DataFrame, is_query, k: int = 5, projections: int = 128, seed: int = 11, id_col: str = "vec_id", vector_col: str = "embedding",
+    block: int = BLOCK,
+) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: for each row where is_query holds its k nearest found among all
     rows with another id, by cosine of the original vectors in double precision, ties to smaller ids.
 

@@ -110,7 +110,10 @@ def _matcher(name: str, part, window: int) -> Matcher:
 RESULTS = ("n_words", "n_hit", "item_ids", "spans")
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, window: int = 13, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", most_bytes: int = MOST_BYTES) -> DataFrame:
+def scan(
+    docs: DataFrame, benchmark: DataFrame, window: int = 13, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
+    most_bytes: int = MOST_BYTES,
+) -> DataFrame:
     """docs with n_words, n_hit (words inside any occurrence of a window), item_ids (of items with occurring windows, as
     strings in ascending order) and spans (start, end: characters of the text covered by maximal runs of hit words).
 
@@ -140,7 +143,10 @@ def _pass(df: DataFrame, schema: T.StructType, part, window: int, text_col: str,
         new = [("n_words", T.LongType()), ("n_hit", T.LongType()), ("item_ids", T.ArrayType(T.StringType())), ("spans", T.ArrayType(span))]
     else:
         new = [("_runs", ints), ("_items", T.ArrayType(T.StringType()))]  # read by place, so their names may clash
-    arrow = {"n_words": pa.int64(), "n_hit": pa.int64(), "item_ids": pa.list_(pa.string()), "spans": pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])), "_runs": pa.list_(pa.int32()), "_items": pa.list_(pa.string())}
+    arrow = {
+        "n_words": pa.int64(), "n_hit": pa.int64(), "item_ids": pa.list_(pa.string()),
+        "spans": pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])), "_runs": pa.list_(pa.int32()), "_items": pa.list_(pa.string()),
+    }
     kept = len(schema.fields)
 
     name = uuid.uuid4().hex

@@ -188,7 +188,10 @@ def rare_pairs(members: DataFrame, texts: DataFrame) -> DataFrame:
             for part in (batch.slice(k, 200) for k in range(0, batch.num_rows, 200)):
                 sets = [shingles(x.as_py()) for x in part.column(2)]
                 sizes = [len(x) for x in sets]
-                yield pa.record_batch({"t": np.repeat(part.column(0).to_numpy(), sizes), "label": np.repeat(part.column(1).to_numpy(), sizes), "s": np.concatenate(sets), "n": np.repeat(np.array(sizes, dtype=np.int64), sizes)})
+                yield pa.record_batch({
+                    "t": np.repeat(part.column(0).to_numpy(), sizes), "label": np.repeat(part.column(1).to_numpy(), sizes), "s": np.concatenate(sets),
+                    "n": np.repeat(np.array(sizes, dtype=np.int64), sizes),
+                })
 
     each = written(members.join(texts, "t").select("t", "label", "text").mapInArrow(run, "t long, label long, s long, n long"), "shingles")
     several = each.groupBy("s").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("df")).where("lo <> hi").select("s", "df")

@@ -65,7 +65,10 @@ def remove_boilerplate(docs: DataFrame, sites: int = 10, id_col: str = "doc_id",
     split, gone = lines(F.col("text")), F.col("gone")
     kept = F.array_join(F.filter(split, lambda x, i: ~F.array_contains(gone, i)), "\n")
     text = F.when(gone.isNull(), F.col("text")).otherwise(kept)
-    return joined.select(*[(text if c == text_col else F.col("row")[c]).alias(c) for c in rest], F.coalesce(F.size(split), F.lit(0)).cast("long").alias("n_lines"), F.coalesce(F.size(gone), F.lit(0)).cast("long").alias("n_removed"))
+    return joined.select(
+        *[(text if c == text_col else F.col("row")[c]).alias(c) for c in rest], F.coalesce(F.size(split), F.lit(0)).cast("long").alias("n_lines"),
+        F.coalesce(F.size(gone), F.lit(0)).cast("long").alias("n_removed"),
+    )
 
 
 def oracle(sites: int) -> str:

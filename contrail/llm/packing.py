@@ -131,7 +131,10 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 1,
     return bounded(docs).select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInArrow(run, SCHEMA)
 
 
-PIECES = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("class", pa.int32()), ("ids", pa.binary())])
+PIECES = pa.schema([
+    ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()),
+    ("offset", pa.int64()), ("class", pa.int32()), ("ids", pa.binary()),
+])
 
 
 def record_batches(rows, schema: pa.Schema, size: int = 10_000):

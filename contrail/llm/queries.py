@@ -29,7 +29,10 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from contrail.llm.suffix_dedup import remove_repeats
 
     found = remove_repeats(table(spark, sf_dir, "documents"), length=50)
-    return found.select("doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    return found.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
 
 
 RULES_ALLOW, RULES_BLOCK = ("org/", "com/fr/"), ("example.org/es/", "example.org/en/1", "com/de/")

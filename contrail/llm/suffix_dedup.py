@@ -153,15 +153,23 @@ def shared_anchors(docs: DataFrame, length: int) -> DataFrame:
                 first = np.flatnonzero(new | (d == least) & np.append(False, d[1:] != d[:-1]))
                 none = pa.nulls(len(first), pa.list_(pa.int64()))
                 yield pa.record_batch({"h": h[first], "whole": w[first], "doc_id": d[first], "known": none})
-                yield pa.record_batch({"h": hashes(whose.tobytes(), 8)[::8].view(np.int64) if len(whose) else whose, "whole": pa.nulls(len(whose), pa.int64()), "doc_id": whose, "known": known})
+                yield pa.record_batch({
+                    "h": hashes(whose.tobytes(), 8)[::8].view(np.int64) if len(whose) else whose, "whole": pa.nulls(len(whose), pa.int64()),
+                    "doc_id": whose, "known": known,
+                })
 
     w, same = Window.partitionBy("h"), Window.partitionBy("h", "whole")
     own = F.when(F.col("whole").isNotNull(), F.col("doc_id"))
     found = docs.select("doc_id", "text").mapInArrow(run, "h long, whole long, doc_id long, known array<long>")
-    found = found.select("doc_id", "h", "whole", "known", F.min(own).over(w).alias("lo"), F.max(own).over(w).alias("hi"), F.min("whole").over(w).alias("first"), F.max("whole").over(w).alias("last"))
+    found = found.select(
+        "doc_id", "h", "whole", "known", F.min(own).over(w).alias("lo"), F.max(own).over(w).alias("hi"), F.min("whole").over(w).alias("first"),
+        F.max("whole").over(w).alias("last"),
+    )
     found = found.where("known is not null or lo <> hi").withColumn("least", F.min(own).over(same))
     settled = F.col("whole").isNotNull() & (F.col("least") < F.col("doc_id"))
-    found = found.select("doc_id", "h", "whole", "known", settled.alias("settled"), (F.col("first") != F.col("last")).alias("several")).where("known is not null or settled or several")
+    found = found.select(
+        "doc_id", "h", "whole", "known", settled.alias("settled"), (F.col("first") != F.col("last")).alias("several"),
+    ).where("known is not null or settled or several")
     found = found.withColumn("n", F.sum(F.when(F.col("whole").isNotNull() & ~F.col("settled"), 1).otherwise(0)).over(w))
     open_ = F.col("whole").isNotNull() & ~F.col("settled")
     lists = {"settled": F.col("settled"), "open": open_ & (F.col("n") <= HOT), "hot": open_ & (F.col("n") > HOT)}
@@ -208,7 +216,10 @@ def shared_stretches(docs: DataFrame, anchors: DataFrame, length: int) -> DataFr
     return joined.mapInArrow(run, "doc_id long, t long, at int, key long, part binary, strings array<long>, starts array<int>, ends array<int>")
 
 
-STRETCH = pa.schema([("doc_id", pa.int64()), ("t", pa.int64()), ("at", pa.int32()), ("key", pa.int64()), ("part", pa.binary()), ("strings", pa.list_(pa.int64())), ("starts", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32()))])
+STRETCH = pa.schema([
+    ("doc_id", pa.int64()), ("t", pa.int64()), ("at", pa.int32()), ("key", pa.int64()), ("part", pa.binary()), ("strings", pa.list_(pa.int64())),
+    ("starts", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32())),
+])
 
 
 def counted(stretches: DataFrame) -> DataFrame:
@@ -260,7 +271,10 @@ def repeated(parts: DataFrame, length: int) -> DataFrame:
             gone = v < ids[part]
             part, at = part[gone], table.column("at").to_numpy()
             if len(part):
-                yield pa.record_batch({"doc_id": ids[part], "t": table.column("t").to_numpy()[part], "a": (at[part] + a[gone]).astype(np.int32), "b": (at[part] + b[gone]).astype(np.int32)})
+                yield pa.record_batch({
+                    "doc_id": ids[part], "t": table.column("t").to_numpy()[part], "a": (at[part] + a[gone]).astype(np.int32),
+                    "b": (at[part] + b[gone]).astype(np.int32),
+                })
 
         for batch in batches:
             keys = batch.column(3).to_numpy()

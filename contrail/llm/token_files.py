@@ -116,7 +116,10 @@ def write(docs: DataFrame, tokenizer: str, path: str, length: int = 2048, end_id
             sink.close()
             files.move(part, final)
             name = final if "://" not in path else f"{path}/{final.rpartition('/')[2]}"
-            yield pa.record_batch({"file_no": pa.array([task.partitionId()], pa.int32()), "path": [name], "n_sequences": [made.n_sequences], "n_tokens": [made.n_tokens], "n_docs": [made.n_docs]})
+            yield pa.record_batch({
+                "file_no": pa.array([task.partitionId()], pa.int32()), "path": [name], "n_sequences": [made.n_sequences], "n_tokens": [made.n_tokens],
+                "n_docs": [made.n_docs],
+            })
 
     narrow = bounded(docs).select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
     # equal ids may be many: the text's hash and the place in the input let a range end among them
@@ -179,7 +182,10 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
                 rows = [(d, base + s, n, c) for d, s, n, c in Reader(name).documents()]
                 for k in range(0, len(rows), 10_000):
                     d, s, n, c = zip(*rows[k : k + 10_000])
-                    yield pa.record_batch({"doc_id": pa.array(d, pa.int64()), "start": pa.array(s, pa.int64()), "n_tokens": pa.array(n, pa.int64()), "ids_crc32": pa.array(c, pa.int64())})
+                    yield pa.record_batch({
+                        "doc_id": pa.array(d, pa.int64()), "start": pa.array(s, pa.int64()), "n_tokens": pa.array(n, pa.int64()),
+                        "ids_crc32": pa.array(c, pa.int64()),
+                    })
 
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return files.repartition(tasks).mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")

@@ -40,7 +40,10 @@ WANTED = {
     "work": "engineering software-notes open-source data-science accounting hardware-store printing logistics agriculture steel-works shipping construction",
     "travel": "travel-guide train-times airport hotel-review road-map island-ferry city-walks beach-holiday countryside heritage-trail railway-museum tourist-office",
 }
-PLACES = ("https://{}.test/", "http://{}.invalid/index.php", "https://shop.{}.localhost/a/b?q=1", "http://{}-site.test/home", "https://{}.city.invalid/~x/page.htm", "http://w3.{}.test:8080/")
+PLACES = (
+    "https://{}.test/", "http://{}.invalid/index.php", "https://shop.{}.localhost/a/b?q=1", "http://{}-site.test/home",
+    "https://{}.city.invalid/~x/page.htm", "http://w3.{}.test:8080/",
+)
 
 
 def labelled_names() -> list[tuple[str, int]]:
