@@ -88,10 +88,11 @@ def datum(df: DataFrame, name: str = "alt") -> DataFrame:
 
 
 def stationary_snap(df: DataFrame, stop_kt: float = 3.0, dwell_s: float = 20.0, box_m: float = 40.0) -> DataFrame:
-    """Runs below stop_kt are on the ground; those that last or are tight move to their centre. Adds `snapped`."""
+    """Runs below stop_kt are on the ground; those that last or are tight move to their centre, the sum in (t, seq) order by their number. Adds `snapped`."""
     still = F.col("gs").isNotNull() & (F.col("gs") < stop_kt)
     r = islands(df.withColumn("_still", still), F.col("_still"), "_run")
-    run = Window.partitionBy(TRACK, "_run")
+    # sums of doubles depend on their order, and rows of a run come in any order once a sort has spilled
+    run = Window.partitionBy(TRACK, "_run").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     lat, lon = F.avg("lat").over(run), F.avg("lon").over(run)
     r = r.withColumns({
         "_lat": lat, "_lon": lon, "_dt": F.max("t").over(run) - F.min("t").over(run), "_n": F.count("*").over(run),

@@ -51,6 +51,24 @@ def test_stops_are_snapped(track):
     assert column(r, "snapped") == [True, True, False] and len(set(column(r, "lat")[:2])) == 1
 
 
+@pytest.fixture
+def backwards(spark, track):
+    """Two tracks whose rows come the other way round, while each sort spills after every row, as it does at size. Their latitudes add up to 0 only in order of time."""
+    conf, spills = spark._jvm.org.apache.spark.SparkEnv.get().conf(), "spark.shuffle.spill.numElementsForceSpillThreshold"
+    before = conf.get(spills, str(2**31 - 1))
+    conf.set(spills, "1")
+    yield track(*[{"icao": i, "t": k / 100, "lat": x, "gnd": False} for i in "ab" for k, x in enumerate([2.0**53, *[1.0] * 38, -(2.0**53)])]).orderBy(F.desc("seq"))
+    conf.set(spills, before)
+
+
+def test_means_of_buckets_in_order_of_time(backwards):
+    assert column(scans.decimate(backwards), "lat") == [0.0] * 2
+
+
+def test_centres_of_stops_in_order_of_time(backwards):
+    assert column(seq.stationary_snap(backwards.withColumn("t", F.col("t") * 100)), "lat") == [0.0] * 80
+
+
 def test_reversals(track):
     parked = track({}, {"lat": 50 + 20 * M, "gs": 0.0}, {"lat": 50 + 5 * M})
     assert column(seq.ground_reversals(parked), "reversal") == [False, True, False]
