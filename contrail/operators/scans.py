@@ -8,7 +8,9 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -116,17 +118,38 @@ def bucket_starts(t, width: float = 1.0) -> list[int]:
 
 
 def decimate(df: DataFrame, width: float = 1.0) -> DataFrame:
-    """One sample for each bucket: means of what is known, on the ground by at least half, the last track angle and source. seq: the bucket's first."""
-    held = per_track(df, {"bucket": "long"}, lambda c: {"bucket": bucket_starts(c["t"], width)}, "t")
-    last = F.struct("t", "seq")
-    return held.groupBy("icao", "bucket").agg(
-        F.min("seq").alias("seq"),
-        *[F.avg(x).alias(x) for x in ("t", "lat", "lon", "baro", "geom", "gs", "vr")],
-        (F.sum(F.col("gnd").cast("int")) * 2 >= F.count("*")).alias("gnd"),
-        F.max_by("trk", last).alias("trk"),
-        F.max_by("src", last).alias("src"),
-        F.count("*").alias("merged"),
-    )
+    """One sample for each bucket: means of what is known, on the ground by at least half, the last track angle and source. seq: the bucket's first.
+
+    Means are sums in (t, seq) order, so they don't depend on how rows were dealt out or spilled."""
+    means = ("t", "lat", "lon", "baro", "geom", "gs", "vr")
+    kind = {f.name: f.dataType for f in df.schema.fields}
+    schema = T.StructType([
+        T.StructField("icao", kind["icao"]), T.StructField("bucket", T.LongType()), T.StructField("seq", kind["seq"]), *[T.StructField(c, T.DoubleType()) for c in means],
+        T.StructField("gnd", T.BooleanType()), T.StructField("trk", kind["trk"]), T.StructField("src", kind["src"]), T.StructField("merged", T.LongType()),
+    ])
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("t", "ascending"), ("seq", "ascending")])
+        bucket = np.array(bucket_starts(table.column("t").to_pylist(), width))
+        n = np.bincount(bucket)
+        last = pa.array(np.cumsum(n) - 1)
+
+        def sums(c: str) -> tuple[np.ndarray, np.ndarray]:
+            """Of each bucket the sum of what is known, one row after the other, and how many are."""
+            x = table.column(c).cast(pa.float64()).combine_chunks()
+            known = pc.is_valid(x).to_numpy(zero_copy_only=False)
+            return np.bincount(bucket[known], x.drop_null().to_numpy(), len(n)), np.bincount(bucket[known], minlength=len(n))
+
+        out = {"icao": table.column("icao").take(last), "bucket": np.arange(len(n))}
+        out["seq"] = pa.table({"bucket": bucket, "seq": table.column("seq")}).group_by("bucket", use_threads=False).aggregate([("seq", "min")]).column("seq_min")
+        for c in means:
+            total, known = sums(c)
+            out[c] = pa.array(total / np.maximum(known, 1), mask=known == 0, from_pandas=False)
+        ground, known = sums("gnd")
+        out["gnd"] = pa.array(ground * 2 >= n, mask=known == 0)
+        return pa.table(out | {c: table.column(c).take(last) for c in ("trk", "src")} | {"merged": n})
+
+    return df.select("icao", "seq", *means, "gnd", "trk", "src").groupBy("icao").applyInArrow(run, schema)
 
 
 def despiked(t, alt, ground, off_ft: float = 400.0, flank_ft: float = 400.0, span_s: float = 30.0, longest: int = 2) -> list[float | None]:
