@@ -23,10 +23,10 @@ from contrail.llm.suffix_array import permuted_prefixes, suffix_array
 ANCHOR = 16
 #: Strings that are handled at a time; places within fit into PLACE bits.
 BLOCK, PLACE = 1 << 20, np.uint64((1 << 21) - 1)
-#: Of anchors of more kinds of stretches each string goes by its own hash.
-HOT = 1_000
 #: Bytes of one shard's suffix array.
 SHARD = 1 << 20
+#: Of anchors of more kinds of stretches each string goes by its own hash: those whose stretches, of length 50, don't fit a shard of their own.
+HOT = SHARD // (2 * 50 - ANCHOR)
 #: Odd multipliers of the hash.
 MIX_A, MIX_B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 

@@ -86,6 +86,27 @@ def test_one_id_with_null_empty_and_repeated_text(spark, monkeypatch, hot):
     assert Counter((r.doc_id, r.n_bytes, r.n_bytes - len(r.kept), len(r.spans), hashlib.sha256(r.kept).hexdigest()) for r in got) == removed(docs)
 
 
+def around(phrases, n, seed):
+    """n documents, each phrase in its own surroundings in every one."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=60))
+    return [(k, word() + "".join(p + word() for p in phrases)) for k in range(n)]
+
+
+def kinds(spark, docs, column):
+    anchors = suffix_dedup.shared_anchors(spark.createDataFrame(docs, "doc_id long, text string"), 50)
+    return sum(len(r[0]) for r in anchors.select(column).collect())
+
+
+def test_kinds_that_fit_a_shard_are_sorted(spark):
+    """1,500 surroundings of one phrase: no string goes by itself, as all fit one suffix array."""
+    docs = around(["The whole of one phrase that stands in every text."[:45]], 1_500, 3)
+    docs += [(2_000 + k, t[20:140]) for k, t in docs[:20]]
+    assert kinds(spark, docs, "hot") == 0 < kinds(spark, docs, "open")
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert Counter((r.doc_id, r.n_bytes, r.n_bytes - len(r.kept), len(r.spans), hashlib.sha256(r.kept).hexdigest()) for r in got) == removed(docs)
+
+
 def test_one_letter_many_times(spark):
     docs = [(k, "a" * (40 + 10 * k) + ("b" if k % 2 else "")) for k in range(8)]
     got = suffix_dedup.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string")).collect()
