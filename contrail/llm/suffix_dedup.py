@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from contrail.llm.common import bounded, dropped, written
 from contrail.llm.suffix_array import permuted_prefixes, suffix_array
 
-ANCHOR = 16
+ANCHOR = 20
 #: Strings that are handled at a time; places within fit into PLACE bits.
 BLOCK, PLACE = 1 << 20, np.uint64((1 << 21) - 1)
 #: Bytes of one shard's suffix array.

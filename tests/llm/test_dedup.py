@@ -107,6 +107,12 @@ def test_kinds_that_fit_a_shard_are_sorted(spark):
     assert Counter((r.doc_id, r.n_bytes, r.n_bytes - len(r.kept), len(r.spans), hashlib.sha256(r.kept).hexdigest()) for r in got) == removed(docs)
 
 
+def test_short_phrases_open_nothing(spark):
+    """Sixteen bytes in common, which chance gives texts, are no reason to sort what stands around them."""
+    phrases = [f"phrase no. {k:05}" for k in range(40)]
+    assert kinds(spark, around(phrases, 8, 4), "open") == 0
+
+
 def test_one_letter_many_times(spark):
     docs = [(k, "a" * (40 + 10 * k) + ("b" if k % 2 else "")) for k in range(8)]
     got = suffix_dedup.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string")).collect()
