@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import posixpath
 import re
+import sys
 import tempfile
 import uuid
 
+import pyarrow as pa
+from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +45,44 @@ def bounded(df: DataFrame) -> DataFrame:
     return df
 
 
+#: What worker processes keep for tasks to come, by module: encoders and automata.
+KEPT = {"contrail.llm.tokens": "_ENCODERS", "contrail.llm.decontamination": "_MATCHERS"}
+
+
+def lean(*keep: str) -> None:
+    """At the start of a worker's task: give back what tasks of other operators have left in its process, but for modules named in keep.
+
+    Spark uses one process for all tasks, so a vocabulary of some 80 MB would stay beside whatever comes later.
+    """
+    held = [found for name, kept in KEPT.items() if name not in keep and (found := getattr(sys.modules.get(name), kept, None))]
+    if not held:
+        return
+    for found in held:
+        found.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc; others have none
+    if trim is not None:
+        trim(0)
+
+
+def eased(spark: SparkSession) -> str | None:
+    """Give back to the system what the driver's JVM has freed outside its heap, and what it says to that; None for a JVM that can't.
+
+    Each statement's code is compiled on the driver too. What its compilers free stays with the C library, scattered over its arenas: some 250 MB after
+    the statements of the near-duplicate stage.
+    """
+    jvm = spark._jvm
+    try:
+        server = jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer()
+        call = next(m for m in jvm.java.lang.Class.forName("javax.management.MBeanServer").getMethods() if m.getName() == "invoke")
+        given = spark.sparkContext._gateway.new_array(jvm.java.lang.Object, 4)  # name, operation, no arguments
+        given[0], given[1] = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand"), "systemTrimNativeHeap"
+        return call.invoke(server, given)
+    except Py4JError:
+        return None
+
+
 #: Spark's own switch for dropping a statement's shuffle files when it has ended.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -53,6 +96,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+    eased(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from contrail.llm.common import bounded, written
+from contrail.llm.common import bounded, lean, written
 
 #: Words are runs of digits, a-z and all beyond ASCII, after A-Z are lower-cased: other bytes become blanks.
 NORMAL = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -152,6 +152,7 @@ def _pass(df: DataFrame, schema: T.StructType, part, window: int, text_col: str,
     name = uuid.uuid4().hex
 
     def run(batches):
+        lean("contrail.llm.decontamination")
         matcher = _matcher(name, part, window)
         for batch in batches:
             at = batch.schema.get_field_index(text_col)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from contrail.llm.common import dropped, written
@@ -24,16 +24,20 @@ def _small(edges: DataFrame) -> DataFrame:
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, label) of every node in an edge: label is the least node reachable. Loops and repeated edges do no harm;
-    edges with a null end are left out; no edges give no rows. The rounds end when the edges stay as they are."""
+    edges with a null end are left out; no edges give no rows. The rounds end when the edges stay as they are.
+
+    The edges are written before the first round and each round's sums are taken as it is written: what stands below the edges would else be
+    planned several times in a round, and a job of its own for the sums costs the driver as much as a round.
+    """
     x, y = F.col(a), F.col(b)
     edges = edges.where(x.isNotNull() & y.isNotNull() & (x != y)).select(F.greatest(x, y).alias("u"), F.least(x, y).alias("v")).distinct()
-    state = held = None
+    edges, state = written(edges, "edges"), None
     while True:
-        edges = written(_small(_large(edges)), "stars")
+        held, sums = edges, Observation()
+        edges = written(_small(_large(held)).observe(sums, F.count("*").alias("n"), F.expr("bit_xor(xxhash64(u, v))").alias("x")), "stars")
         dropped(held)
-        held = edges
-        now = edges.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))")).first()
-        if tuple(now) == state or now[0] == 0:
+        now = sums.get
+        if now["n"] == 0 or now == state:
             break
-        state = tuple(now)
+        state = now
     return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from contrail.llm import simhash
-from contrail.llm.common import bounded, dropped, written
+from contrail.llm.common import bounded, dropped, lean, written
 from contrail.llm.graph import components
 
 SHINGLE = 5
@@ -124,6 +124,7 @@ def sketches(docs: DataFrame, text_col: str) -> DataFrame:
     """(t, fp, bands) of each distinct text: its hash, its fingerprint and its band keys."""
 
     def run(batches):
+        lean()
         for batch in batches:
             for a, b in blocks(batch.column(1)):
                 part = batch.slice(a, b - a)
@@ -162,6 +163,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     both = pairs.join(texts.select(F.col("t").alias("a"), F.col("text").alias("x")), "a").join(texts.select(F.col("t").alias("b"), F.col("text").alias("y")), "b")
 
     def run(batches):
+        lean()
         last, held = None, None
         for batch in batches:
             for part in (batch.slice(k, 1000) for k in range(0, batch.num_rows, 1000)):
@@ -184,6 +186,7 @@ def rare_pairs(members: DataFrame, texts: DataFrame) -> DataFrame:
     """
 
     def run(batches):
+        lean()
         for batch in batches:
             for part in (batch.slice(k, 200) for k in range(0, batch.num_rows, 200)):
                 sets = [shingles(x.as_py()) for x in part.column(2)]
@@ -221,7 +224,7 @@ def joined(labels: DataFrame | None, found: DataFrame) -> DataFrame:
         return written(components(found), "labels").select(F.col("node").alias("t"), "label")
     ends = [labels.select(F.col("t").alias(c), F.col("label").alias(f"l{c}")) for c in "ab"]
     between = found.join(ends[0], "a", "left").join(ends[1], "b", "left").select(F.coalesce("la", "a").alias("x"), F.coalesce("lb", "b").alias("y"))
-    moved = written(components(between, "x", "y"), "moved")
+    moved = components(between, "x", "y")
     before = labels.select("t", F.col("label").alias("node")).join(moved, "node", "left").select("t", F.coalesce("label", "node").alias("label"))
     new = moved.join(labels.select(F.col("t").alias("node")), "node", "left_anti").select(F.col("node").alias("t"), "label")
     out = written(before.unionByName(new), "labels")

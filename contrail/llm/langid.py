@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import bounded
+from contrail.llm.common import bounded, lean
 
 DIMS = 1 << 15
 SIZES = (1, 2, 3)
@@ -95,6 +95,7 @@ def pieces(texts: list[str | None]):
 
 def _counts(batches):
     """(lang, bucket, n) of each partition's labelled texts."""
+    lean()
     totals: dict[str, np.ndarray] = {}
     docs: dict[str, int] = {}
     for batch in batches:
@@ -166,6 +167,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
     sent = docs.sparkSession.sparkContext.broadcast(model)  # languages * DIMS * 4 bytes: 131 MB for the most languages
 
     def run(batches):
+        lean()
         at = None
         for batch in batches:
             at = batch.schema.get_field_index(text_col) if at is None else at

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from contrail.llm.common import bounded
+from contrail.llm.common import bounded, lean
 from contrail.llm.tokens import encoder
 
 SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, class int, ids binary"
@@ -110,6 +110,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 1,
     def run(batches):
         from pyspark import TaskContext
 
+        lean("contrail.llm.tokens")
         tool = encoder(tokenizer)
         end = np.array([end_id], dtype="<u4").tobytes()
         bins = Bins(capacity, TaskContext.get().partitionId() * WORKER)

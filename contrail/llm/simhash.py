@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from contrail.llm.common import bounded, folded, written
+from contrail.llm.common import bounded, folded, lean, written
 from contrail.llm.graph import components
 
 LIMIT = 3
@@ -126,6 +126,7 @@ def keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def keyed(fps: DataFrame) -> DataFrame:
     def run(batches):
+        lean()
         for batch in batches:
             for part in (batch.slice(k, 2000) for k in range(0, batch.num_rows, 2000)):
                 fp = part.column(0).to_numpy()
