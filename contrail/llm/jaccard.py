@@ -203,7 +203,7 @@ def rare_pairs(members: DataFrame, texts: DataFrame) -> DataFrame:
     first = written(placed.where(F.col("n") - F.col("rest") <= F.col("n") - F.ceil(F.col("n") * 4 / 5) + 1).select("s", "t", "label", "n", "rest"), "firsts")
     x, y = first.alias("x"), first.alias("y")
     may = (F.col("x.t") < F.col("y.t")) & (F.col("x.label") != F.col("y.label")) & (9 * (F.least("x.rest", "y.rest") + 1) >= 4 * (F.col("x.n") + F.col("y.n")))
-    return x.join(y, (F.col("x.s") == F.col("y.s")) & may).select(F.col("x.t").alias("a"), F.col("y.t").alias("b"))
+    return x.hint("merge").join(y.hint("merge"), (F.col("x.s") == F.col("y.s")) & may).select(F.col("x.t").alias("a"), F.col("y.t").alias("b"))
 
 
 def golay_pairs(sketched: DataFrame) -> DataFrame:
@@ -211,7 +211,8 @@ def golay_pairs(sketched: DataFrame) -> DataFrame:
     fps = sketched.groupBy("fp").agg(F.min("t").alias("t"))
     keyed = simhash.keyed(fps)
     first = keyed.where("index").groupBy("key").agg(F.min("fp").alias("pivot"))
-    near = keyed.select("key", "fp").join(first, "key").where((F.col("fp") != F.col("pivot")) & (simhash.far("fp", "pivot") <= simhash.LIMIT))
+    # Spark sizes keys as if each fingerprint had one, and would send them all out; so it does with what explode gives
+    near = keyed.select("key", "fp").hint("merge").join(first.hint("merge"), "key").where((F.col("fp") != F.col("pivot")) & (simhash.far("fp", "pivot") <= simhash.LIMIT))
     near = near.groupBy("fp").agg(F.min("pivot").alias("pivot"))
     pairs = near.join(fps, "fp").select(F.col("t").alias("a"), F.col("pivot").alias("fp")).join(fps, "fp").select("a", F.col("t").alias("b"))
     same = sketched.select(F.col("t").alias("a"), "fp").join(fps, "fp").select("a", F.col("t").alias("b")).where("a <> b")
@@ -232,12 +233,17 @@ def joined(labels: DataFrame | None, found: DataFrame) -> DataFrame:
     return out
 
 
+def members(sketched: DataFrame) -> DataFrame:
+    """(key, t): the texts of each band key that several have."""
+    keys = sketched.select("t", F.explode("bands").alias("key"))
+    shared = keys.groupBy("key").agg(F.min("t").alias("lo"), F.max("t").alias("hi")).where("lo <> hi").select("key")
+    return keys.hint("merge").join(shared.hint("merge"), "key").distinct()
+
+
 def linked(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(t, label) of the texts, as hashes, that have a link: label is one for all that links join."""
     sketched = sketches(docs, text_col)
-    keys = sketched.select("t", F.explode("bands").alias("key"))
-    shared = keys.groupBy("key").agg(F.min("t").alias("lo"), F.max("t").alias("hi")).where("lo <> hi").select("key")
-    left = written(keys.join(shared, "key").distinct(), "members")
+    left = written(members(sketched), "members")
     pairs = written(golay_pairs(sketched).distinct(), "pairs")
     wanted = left.select("t").unionByName(pairs.select(F.col("a").alias("t"))).unionByName(pairs.select(F.col("b").alias("t"))).distinct()
     each = docs.select(F.xxhash64(text_col).alias("t"), F.coalesce(text_col, F.lit("")).alias("text"))
